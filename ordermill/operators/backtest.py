@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ordermill.functions.months import month_label, normalized_key, shift_key
 from ordermill.functions.numeric import non_negative, ratio
@@ -18,6 +20,7 @@ MIN_MONTHS, MAX_MONTHS = 4, 6  # fixed values: validation months wanted
 QUALITY = ["is_partial_period", "is_low_volume_period", "is_comparable_period"]
 NAIVE, BOOSTED = "naive_lag_1", "boosted_trees"
 PREDICTIONS = {NAIVE: "naive_prediction", BOOSTED: "boosted_prediction"}
+ROWS_PER_PARTITION = 500_000
 # Size and rate of the boosted model.
 BOOSTED_PARAMS = {
     "maxIter": 120,
@@ -169,10 +172,12 @@ def naive_backtest(features: DataFrame, most: int = MAX_MONTHS) -> DataFrame:
 def boosted_backtest(
     features: DataFrame, most: int = MAX_MONTHS, params: dict | None = None
 ) -> DataFrame:
-    """The naive rows plus the prediction of boosted trees trained before each month."""
+    """The naive rows plus the prediction of boosted trees trained before each month.
+
+    The folds (at most ``most``) are independent and are fitted at the same time.
+    """
     usable = comparable_rows(features)
     folds = require_folds(backtest_folds(features, most))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="_features")
     learner = GBTRegressor(
         featuresCol="_features",
         labelCol=TARGET,
@@ -180,28 +185,36 @@ def boosted_backtest(
         **{**BOOSTED_PARAMS, **(params or {})},
     )
     numeric = usable.withColumns({name: F.col(name).cast("double") for name in [TARGET, *FEATURES]})
-    assembled = vectors.transform(numeric).persist()
-    parts = []
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(numeric)
+    month = F.col("forecast_month")
+    # Boosting runs several short jobs per tree: few, well-filled partitions.
+    parts = 1 + int(folds[-1]["train_rows"]) // ROWS_PER_PARTITION
+    training = rows.select("forecast_month", TARGET, "_features").repartition(parts).persist()
     try:
-        for fold in folds:
-            month = F.col("forecast_month")
-            model = learner.fit(assembled.where(month < fold["forecast_month"]))
-            parts.append(
-                model.transform(vectors.transform(numeric.where(month == fold["forecast_month"])))
-                .withColumns(
-                    {
-                        "fold": F.lit(fold["fold"]),
-                        "train_rows": F.lit(fold["train_rows"]).cast("bigint"),
-                        "max_train_forecast_month": F.lit(fold["max_train_forecast_month"]),
-                        "naive_prediction": non_negative("lag_1"),
-                        "boosted_prediction": non_negative("_boosted"),
-                    }
-                )
-                .drop("_features", "_boosted")
-            )
+        fit = inheritable_thread_target(rows.sparkSession)(
+            lambda fold: learner.fit(training.where(month < fold["forecast_month"]))
+        )
+        with ThreadPoolExecutor(len(folds)) as pool:
+            models = list(pool.map(fit, folds))
     finally:
-        assembled.unpersist()
-    return reduce(DataFrame.unionAll, parts)
+        training.unpersist()
+
+    def predicted(fold, model) -> DataFrame:
+        return (
+            model.transform(rows.where(month == fold["forecast_month"]))
+            .withColumns(
+                {
+                    "fold": F.lit(fold["fold"]),
+                    "train_rows": F.lit(fold["train_rows"]).cast("bigint"),
+                    "max_train_forecast_month": F.lit(fold["max_train_forecast_month"]),
+                    "naive_prediction": non_negative("lag_1"),
+                    "boosted_prediction": non_negative("_boosted"),
+                }
+            )
+            .drop("_features", "_boosted")
+        )
+
+    return reduce(DataFrame.unionAll, [predicted(*pair) for pair in zip(folds, models)])
 
 
 def regression_metrics(actual: str = TARGET, predicted: str = "prediction") -> list[Column]:

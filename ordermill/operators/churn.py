@@ -14,10 +14,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from ordermill.functions.months import first_start_from
-from ordermill.functions.numeric import MONEY, flag, ratio
+from ordermill.functions.numeric import flag, from_ticks, ratio, ticks
 from ordermill.operators.orders import fulfilled
 from ordermill.operators.skew import hot_keys, join_one
 
@@ -28,7 +27,7 @@ STUDY_FIRST, STUDY_LAST = "2017-01-01", "2018-05-01"
 # Booked amounts and how two bookings of one customer combine.
 _SUMMED = {
     "orders": "bigint",
-    "revenue": DecimalType(38, 4),
+    "revenue": "bigint",
     "valued": "bigint",
     "late": "bigint",
     "judged": "bigint",
@@ -144,7 +143,7 @@ def _dated(orders: DataFrame) -> DataFrame:
 def _purchase_amounts() -> dict[str, Column]:
     return {
         "orders": F.lit(1),
-        "revenue": F.col("order_revenue").cast(MONEY),
+        "revenue": ticks("order_revenue"),
         "valued": flag(F.col("order_revenue").isNotNull()),
         "first_ts": F.col("order_purchase_timestamp"),
         "last_ts": F.col("order_purchase_timestamp"),
@@ -208,13 +207,13 @@ def churn_features(
     panel = _panel([purchases, deliveries, scores], window, horizon_days)
     age = F.datediff("last_ts", "first_ts")
     recency = F.datediff("snapshot_date", "last_ts")
-    revenue = F.col("revenue").cast("double")
+    revenue = from_ticks("revenue")
     return panel.select(
         "snapshot_date",
         "customer_unique_id",
         F.col("orders").alias("total_orders"),
         revenue.alias("total_revenue"),
-        ratio("revenue", "valued", empty=None).alias("avg_order_value"),
+        ratio(revenue, "valued", empty=None).alias("avg_order_value"),
         F.col("first_ts").alias("first_purchase_timestamp"),
         F.col("last_ts").alias("last_purchase_timestamp"),
         recency.alias("recency_days"),
@@ -263,7 +262,7 @@ def churn_features_first_known(
     late_rate = ratio("late", "judged")
     age = F.datediff("last_ts", "first_ts")
     recency = F.datediff("snapshot_date", "last_ts")
-    revenue = F.coalesce(F.col("revenue").cast("double"), F.lit(0.0))
+    revenue = F.coalesce(from_ticks("revenue"), F.lit(0.0))
     return panel.select(
         "customer_unique_id",
         "snapshot_date",
@@ -271,7 +270,7 @@ def churn_features_first_known(
         F.col("last_ts").alias("last_purchase"),
         F.col("orders").alias("total_orders"),
         revenue.alias("total_revenue"),
-        ratio("revenue", "valued").alias("avg_order_value"),
+        ratio(revenue, "valued").alias("avg_order_value"),
         ratio("score", "scored").alias("avg_review_score"),
         late_rate.alias("late_delivery_rate"),
         "is_churned",

@@ -70,8 +70,8 @@ def customer_profile(master: DataFrame, reference_date: str = REFERENCE_DATE) ->
         F.min("first_purchase").alias("first_purchase"),
         F.max("last_purchase").alias("last_purchase"),
         F.sum("orders").alias("total_orders"),
-        F.sum("revenue").cast("double").alias("total_revenue"),
-        ratio(F.sum("revenue"), F.sum("valued_orders"), empty=None).alias("avg_order_value"),
+        money_sum("revenue").alias("total_revenue"),
+        ratio(money_sum("revenue"), F.sum("valued_orders"), empty=None).alias("avg_order_value"),
         ratio(F.sum("score_sum"), F.sum("scored_orders"), empty=None).alias("avg_review_score"),
         ratio(F.sum("late_orders"), F.sum("judged_orders"), empty=None).alias("late_delivery_rate"),
         F.min("state").alias("customer_state"),
@@ -109,7 +109,7 @@ def customer_profile_first_order(
         F.min(bought).alias("first_purchase"),
         F.max(bought).alias("last_purchase"),
         F.count("order_id").alias("total_orders"),
-        money_sum("order_revenue").cast("double").alias("total_revenue"),
+        money_sum("order_revenue").alias("total_revenue"),
         ratio(money_sum("order_revenue"), F.count("order_revenue"), empty=None).alias(
             "avg_order_value"
         ),

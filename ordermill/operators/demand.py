@@ -49,8 +49,8 @@ def category_sales(
     )
     return labelled.groupBy("category_name_english", "order_year_month").agg(
         F.sum("units").alias("monthly_units"),
-        F.sum("revenue").cast("double").alias("monthly_revenue"),
-        ratio(F.sum("revenue"), F.sum("priced"), empty=None).alias("avg_price"),
+        money_sum("revenue").alias("monthly_revenue"),
+        ratio(money_sum("revenue"), F.sum("priced"), empty=None).alias("avg_price"),
     )
 
 

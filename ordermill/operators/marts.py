@@ -31,7 +31,7 @@ def late_delivery_rate() -> Column:
 
 
 def _or_zero(total: Column) -> Column:
-    return F.coalesce(total.cast("double"), F.lit(0.0))
+    return F.coalesce(total, F.lit(0.0))
 
 
 def overview_kpis(master: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.labels import UNKNOWN
 from ordermill.functions.months import month_key
-from ordermill.functions.numeric import flag, money_sum, ratio
+from ordermill.functions.numeric import flag, from_ticks, money_sum, ratio, ticks
 from ordermill.operators.skew import join_one
 
 DELIVERED = "delivered"
@@ -102,23 +102,23 @@ def item_totals(items: DataFrame, count_lines: bool = False) -> DataFrame:
     """Money and item count per order; ``count_lines`` skips items without a number."""
     counted = F.count("order_item_id") if count_lines else F.count(F.lit(1))
     return items.groupBy("order_id").agg(
-        money_sum("price").cast("double").alias("order_revenue"),
-        money_sum("freight_value").cast("double").alias("freight_total"),
+        money_sum("price").alias("order_revenue"),
+        money_sum("freight_value").alias("freight_total"),
         counted.alias("item_count"),
     )
 
 
 def payment_types(payments: DataFrame) -> DataFrame:
-    """Paid value and first sequence number per order and payment type."""
+    """Paid ticks and first sequence number per order and payment type."""
     return payments.groupBy("order_id", "payment_type").agg(
-        money_sum("payment_value").alias("type_value"),
+        F.sum(ticks("payment_value")).alias("type_value"),
         F.min("payment_sequential").alias("first_sequence"),
     )
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(
-        money_sum("payment_value").cast("double").alias("payment_total")
+        money_sum("payment_value").alias("payment_total")
     )
 
 
@@ -137,7 +137,7 @@ def payments_by_type(payments: DataFrame) -> DataFrame:
     leading = _first_in_order(F.desc("type_value"), F.asc("first_sequence"), F.asc("payment_type"))
     return (
         payment_types(payments)
-        .withColumn("payment_total", F.sum("type_value").over(whole_order).cast("double"))
+        .withColumn("payment_total", from_ticks(F.sum("type_value").over(whole_order)))
         .withColumn("_leading", leading)
         .where("_leading")
         .select("order_id", "payment_total", F.col("payment_type").alias("primary_payment_type"))

@@ -21,7 +21,7 @@ def bi_revenue(master: DataFrame) -> DataFrame:
     """Orders, revenue and late rate per month, state and primary payment type."""
     return master.groupBy(*GRAIN).agg(
         F.count("order_id").alias("total_orders"),
-        money_sum("order_revenue").cast("double").alias("total_revenue"),
+        money_sum("order_revenue").alias("total_revenue"),
         ratio(money_sum("order_revenue"), F.count("order_revenue"), empty=None).alias(
             "avg_order_value"
         ),
@@ -44,7 +44,7 @@ def bi_revenue_delivered(master: DataFrame) -> DataFrame:
         master.groupBy(*GRAIN)
         .agg(
             F.count("order_id").alias("total_orders"),
-            money_sum("order_revenue").cast("double").alias(value),
+            money_sum("order_revenue").alias(value),
             F.count_if(valid).alias("delivered_order_count"),
             F.count_if(valid & (F.col("is_late") == 1)).alias("late_delivery_count"),
         )

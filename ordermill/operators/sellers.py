@@ -49,9 +49,9 @@ def seller_performance(
     """One row per seller; the tier looks at revenue including freight."""
     totals = _order_shares(items, master).groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("product_revenue").cast("double").alias("total_product_revenue"),
-        F.sum("freight").cast("double").alias("total_freight"),
-        F.sum("revenue").cast("double").alias("total_revenue"),
+        money_sum("product_revenue").alias("total_product_revenue"),
+        money_sum("freight").alias("total_freight"),
+        money_sum("revenue").alias("total_revenue"),
         F.avg("avg_review_score").alias("avg_review"),
         F.avg("is_late").alias("late_rate"),
     )
@@ -73,7 +73,7 @@ def seller_performance_two_level(
     """The shorter variant; an unlisted seller keeps a NULL state."""
     totals = _order_shares(items, master).groupBy("seller_id").agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("revenue").cast("double").alias("total_revenue"),
+        money_sum("revenue").alias("total_revenue"),
         F.avg("avg_review_score").alias("avg_review"),
         F.avg("is_late").alias("late_rate"),
     )
@@ -116,7 +116,7 @@ def top_seller_state(ranking: DataFrame) -> DataFrame:
     value = money_sum("seller_attributed_order_value")
     return (
         ranking.groupBy("seller_state")
-        .agg(value.cast("double").alias("seller_attributed_order_value"))
+        .agg(value.alias("seller_attributed_order_value"))
         .orderBy(F.desc("seller_attributed_order_value"), F.asc("seller_state"))
         .limit(1)
     )
