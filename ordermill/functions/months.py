@@ -13,8 +13,8 @@ def month_key(moment: Column | str) -> Column:
 
 
 def month_start(key: Column | str) -> Column:
-    """First day of a ``yyyy-MM`` month."""
-    return F.to_date(F.concat(as_column(key), F.lit("-01")))
+    """First day of a ``yyyy-MM`` month; NULL if the text is no month."""
+    return as_column(key).try_cast("date")
 
 
 def shift_key(key: Column | str, months: int) -> Column:
@@ -27,9 +27,8 @@ def month_label(key: Column | str) -> Column:
 
 
 def normalized_key(value: Column | str) -> Column:
-    """``yyyy-MM`` for a month key, a date, or text starting with one; NULL if unreadable."""
-    text = as_column(value).cast("string")
-    return month_key(F.try_to_timestamp(F.concat(F.substring(text, 1, 7), F.lit("-01")), F.lit("yyyy-MM-dd")))
+    """``yyyy-MM`` for a month key, a date or the text of one; NULL if unreadable."""
+    return month_key(as_column(value).try_cast("date"))
 
 
 def first_start_from(day: Column | str) -> Column:

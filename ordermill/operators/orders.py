@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import UNKNOWN
@@ -122,38 +122,47 @@ def payment_totals(payments: DataFrame) -> DataFrame:
     )
 
 
-def _first_in_order(*ranking: Column) -> Column:
-    return F.row_number().over(Window.partitionBy("order_id").orderBy(*ranking)) == 1
-
-
 def payments_by_type(payments: DataFrame) -> DataFrame:
     """Paid total per order and the type with the largest *summed* value.
 
     Ties go to the earlier sequence number, then to the alphabet. Both results
-    come from the same per-type rows, so payments are shuffled once and an
-    order never holds more rows than there are types.
+    come from the same per-type rows in one sort, so payments are shuffled once
+    and an order never holds more rows than there are types.
     """
-    whole_order = Window.partitionBy("order_id")
-    leading = _first_in_order(F.desc("type_value"), F.asc("first_sequence"), F.asc("payment_type"))
+    ranked = Window.partitionBy("order_id").orderBy(
+        F.desc("type_value"), F.asc("first_sequence"), F.asc("payment_type")
+    )
+    whole_order = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
         payment_types(payments)
-        .withColumn("payment_total", from_ticks(F.sum("type_value").over(whole_order)))
-        .withColumn("_leading", leading)
-        .where("_leading")
-        .select("order_id", "payment_total", F.col("payment_type").alias("primary_payment_type"))
+        .select(
+            "order_id",
+            from_ticks(F.sum("type_value").over(whole_order)).alias("payment_total"),
+            F.col("payment_type").alias("primary_payment_type"),
+            F.row_number().over(ranked).alias("_place"),
+        )
+        .where("_place = 1")
+        .drop("_place")
     )
 
 
 def primary_payment_by_row(payments: DataFrame) -> DataFrame:
-    """Type of the largest *single* payment of each order."""
-    leading = _first_in_order(
+    """Type of the largest *single* payment of each order.
+
+    Spark keeps only the first row per order already before the shuffle, so an
+    order with very many payments does not end up in one task.
+    """
+    ranked = Window.partitionBy("order_id").orderBy(
         F.desc("payment_value"), F.asc("payment_sequential"), F.asc("payment_type")
     )
     return (
-        payments.select("order_id", "payment_type", "payment_value", "payment_sequential")
-        .withColumn("_leading", leading)
-        .where("_leading")
-        .select("order_id", F.col("payment_type").alias("primary_payment_type"))
+        payments.select(
+            "order_id",
+            F.col("payment_type").alias("primary_payment_type"),
+            F.row_number().over(ranked).alias("_place"),
+        )
+        .where("_place = 1")
+        .drop("_place")
     )
 
 
@@ -203,7 +212,10 @@ def with_reviews(
 
 
 def with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Add the customer columns; one customer may own a large part of the orders."""
+    """Add the customer columns; one customer may own a large part of the orders.
+
+    Best done on plain orders: finding such customers scans the given table.
+    """
     wanted = customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
     return join_one(orders, wanted, "customer_id", spread_on="order_id").withColumns(
         {
@@ -225,10 +237,10 @@ def master_orders(
     Every detail table is brought to one row per order before it is joined, so
     no join can multiply orders. An order without reviews keeps a NULL score.
     """
-    facts = with_item_totals(orders, items)
+    facts = with_customers(orders, customers)
+    facts = with_item_totals(facts, items)
     facts = with_payments(facts, payments_by_type(payments))
-    facts = with_reviews(facts, reviews)
-    return with_customers(facts, customers)
+    return with_reviews(facts, reviews)
 
 
 def master_orders_by_row(
@@ -239,9 +251,7 @@ def master_orders_by_row(
     customers: DataFrame,
 ) -> DataFrame:
     """The variant that ranks single payments and scores missing reviews as 0."""
-    facts = with_item_totals(orders, items, count_lines=True)
+    facts = with_customers(orders, customers)
+    facts = with_item_totals(facts, items, count_lines=True)
     facts = with_payments(facts, payments_by_row(payments))
-    facts = with_reviews(facts, reviews, missing_score=0.0)
-    return with_customers(facts, customers).dropDuplicates(["order_id"])
-
-
+    return with_reviews(facts, reviews, missing_score=0.0).dropDuplicates(["order_id"])

@@ -36,9 +36,12 @@ class Shop:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # Raw views ---------------------------------------------------------------
 
@@ -74,8 +77,8 @@ class Shop:
             "l_shipdate AS shipping_limit_date",
             "CASE WHEN l_quantity = 1 THEN 0.0D WHEN l_quantity = 2 THEN NULL"
             " ELSE l_extendedprice END AS price",
-            "CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_tax AS DECIMAL(4, 2)) AS DOUBLE)"
-            " AS freight_value",
+            "CAST(rint(l_extendedprice * 100) AS BIGINT) * CAST(rint(l_tax * 100) AS BIGINT)"
+            " / 10000.0D AS freight_value",
         )
 
     @cached_property
@@ -85,8 +88,8 @@ class Shop:
             "l_linenumber AS payment_sequential",
             "concat(l_returnflag, l_linestatus) AS payment_type",
             "CAST(l_quantity AS INT) AS payment_installments",
-            "CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) * (1 + CAST(l_tax AS DECIMAL(4, 2)))"
-            " AS DOUBLE) AS payment_value",
+            "CAST(rint(l_extendedprice * 100) AS BIGINT) * (100 + CAST(rint(l_tax * 100) AS BIGINT))"
+            " / 10000.0D AS payment_value",
         )
 
     @cached_property
@@ -223,9 +226,8 @@ class Shop:
     @cached_property
     def valued_orders(self) -> DataFrame:
         """Orders with item money and customer only: no payments, no reviews."""
-        return orders.with_customers(
-            orders.with_item_totals(self.clean_orders, self.clean_items), self.customers
-        )
+        owned = orders.with_customers(self.clean_orders, self.customers)
+        return orders.with_item_totals(owned, self.clean_items)
 
     @cached_property
     def stored_valued_orders(self) -> DataFrame:
@@ -341,14 +343,14 @@ CTES: dict[str, tuple[str, str]] = {
         concat('Supplier#', lpad(CAST(l_suppkey AS VARCHAR), 9, '0')) AS seller_id,
         l_shipdate AS shipping_limit_date,
         CASE WHEN l_quantity = 1 THEN 0.0 WHEN l_quantity = 2 THEN NULL ELSE l_extendedprice END AS price,
-        CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_tax AS DECIMAL(4, 2)) AS DOUBLE) AS freight_value
+        CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_tax * 100) AS BIGINT) / CAST(10000 AS DOUBLE) AS freight_value
         FROM lineitem""",
     ),
     "v_payments": (
         "",
         """SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential,
         concat(l_returnflag, l_linestatus) AS payment_type, CAST(l_quantity AS INTEGER) AS payment_installments,
-        CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) * (1 + CAST(l_tax AS DECIMAL(4, 2))) AS DOUBLE) AS payment_value
+        CAST(round(l_extendedprice * 100) AS BIGINT) * (100 + CAST(round(l_tax * 100) AS BIGINT)) / CAST(10000 AS DOUBLE) AS payment_value
         FROM lineitem""",
     ),
     "v_reviews": (

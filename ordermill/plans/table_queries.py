@@ -114,15 +114,11 @@ def _month_calendar(shop: Shop):
 
 
 def _churn_nb(shop: Shop):
+    owned = orders.with_customers(
+        orders.clean_orders(shop.orders, delivered_only=True), shop.customers
+    )
     facts = orders.with_reviews(
-        orders.with_customers(
-            orders.with_item_totals(
-                orders.clean_orders(shop.orders, delivered_only=True),
-                shop.clean_items,
-                count_lines=True,
-            ),
-            shop.customers,
-        ),
+        orders.with_item_totals(owned, shop.clean_items, count_lines=True),
         shop.reviews,
         missing_score=0.0,
     )
@@ -267,9 +263,9 @@ QUERIES = {
     ),
     "preferred_payment": (
         lambda shop: customers.preferred_payment(
-            orders.with_customers(
-                orders.with_payments(shop.clean_orders, orders.payments_by_type(shop.payments)),
-                shop.customers,
+            orders.with_payments(
+                orders.with_customers(shop.clean_orders, shop.customers),
+                orders.payments_by_type(shop.payments),
             )
         ),
         sql("SELECT * FROM preferred", "preferred"),
@@ -476,13 +472,7 @@ QUERIES = {
     "bi_revenue_delivered": (
         lambda shop: show(
             revenue.bi_revenue_delivered(
-                orders.with_customers(
-                    orders.with_payments(
-                        orders.with_item_totals(shop.clean_orders, shop.clean_items),
-                        orders.payments_by_type(shop.payments),
-                    ),
-                    shop.customers,
-                )
+                orders.with_payments(shop.valued_orders, orders.payments_by_type(shop.payments))
             ),
             rounded="late_delivery_rate",
         ),

@@ -16,12 +16,13 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    root = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="ordermill-")
-        spark.conf.set(_SETTING, root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 

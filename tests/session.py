@@ -5,11 +5,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session() -> SparkSession:
+def local_session(parallelism: int = 8) -> SparkSession:
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("ordermill-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", parallelism)
+        .config("spark.default.parallelism", parallelism)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -17,5 +18,5 @@ def local_session() -> SparkSession:
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     )
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     return spark
