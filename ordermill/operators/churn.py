@@ -56,6 +56,13 @@ def snapshot_bounds(
     )
 
 
+def require_snapshots(bounds: DataFrame) -> DataFrame:
+    """``bounds`` itself, after checking that there is a snapshot."""
+    if bounds.first()["first_snapshot"] is None:
+        raise ValueError("no snapshot has enough days before and after it")
+    return bounds
+
+
 def month_calendar(bounds: DataFrame) -> DataFrame:
     """Month starts from ``first_snapshot`` to ``last_snapshot``, both included."""
     months = F.sequence("first_snapshot", "last_snapshot", F.expr("INTERVAL 1 MONTH"))

@@ -74,13 +74,17 @@ def silver_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
+def _churn(store: Store) -> DataFrame:
+    master = store.read("silver/master_orders")
+    bounds = churn.require_snapshots(churn.snapshot_bounds(churn.eligible_orders(master)))
+    return churn.churn_features(master, store.read("bronze/reviews"), bounds)
+
+
 def gold_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
     done = lambda name: store.read(f"silver/{name}")
     return {
         "demand_features": lambda: demand.demand_features(done("product_demand")),
-        "churn_features": lambda: churn.churn_features(
-            done("master_orders"), store.read("bronze/reviews")
-        ),
+        "churn_features": lambda: _churn(store),
         "rfm_segments": lambda: rfm.rfm_segments(done("customer_profile")),
         "bi_revenue": lambda: revenue.bi_revenue(done("master_orders")),
     }

@@ -21,7 +21,10 @@ def write_table(
     gathered = df.hint("rebalance", *keys) if keys else df
     writer = gathered.write.format(fmt).mode("overwrite").option("overwriteSchema", True)
     (writer.partitionBy(*keys) if keys else writer).save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    reader = df.sparkSession.read.format(fmt)
+    # A given schema saves the inference and keeps the types of partition
+    # columns; a Delta table brings its own.
+    return (reader if fmt == "delta" else reader.schema(df.schema)).load(path)
 
 
 def ensure_schema(

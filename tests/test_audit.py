@@ -27,6 +27,12 @@ def tables(spark, **changes):
     }
 
 
+def findings_of(tables, **options):
+    """The findings as stored rows: the tests look at them more than once."""
+    findings = audit.audit_findings(tables, **options)
+    return findings.sparkSession.createDataFrame(findings.collect(), findings.schema).coalesce(1)
+
+
 def verdict(findings):
     return audit.audit_verdict(findings).first()
 
@@ -43,18 +49,18 @@ def order(**values):
 
 
 def test_clean_tables_are_ready(spark):
-    result = verdict(audit.audit_findings(tables(spark)))
+    result = verdict(findings_of(tables(spark)))
     assert (result["executive_verdict"], result["safe_to_run"]) == ("READY", "YES")
 
 
 def test_warnings_only(spark):
-    doubled = tables(spark, customers=CLEAN["customers"] * 1, payments=CLEAN["payments"] * 2)
-    findings = audit.audit_findings(doubled, unexpected_files=["more.csv"])
+    doubled = tables(spark, payments=CLEAN["payments"] * 2)
+    findings = findings_of(doubled, unexpected_files=["more.csv"])
     assert verdict(findings)["executive_verdict"] == "READY WITH WARNINGS"
     assert found(findings) == {"exact duplicate rows", "unexpected files"}
-    gap = audit.audit_findings(tables(spark, category_translation=[("x", "y")]))
+    gap = findings_of(tables(spark, category_translation=[("x", "y")]))
     assert found(gap) == {"untranslated categories"}
-    zips = audit.audit_findings(tables(spark, geolocation=CLEAN["geolocation"] + [("01000", "3", "4", "b", "SP")]))
+    zips = findings_of(tables(spark, geolocation=CLEAN["geolocation"] + [("01000", "3", "4", "b", "SP")]))
     assert found(zips) == {"repeated zip codes"} and verdict(zips)["safe_to_run"] == "YES"
 
 
@@ -71,18 +77,18 @@ DEFECTS = [
 
 @pytest.mark.parametrize("changes, category", DEFECTS)
 def test_defects_are_fatal(spark, changes, category):
-    findings = audit.audit_findings(tables(spark, **changes))
+    findings = findings_of(tables(spark, **changes))
     assert found(findings) == {category}
     result = verdict(findings)
     assert (result["executive_verdict"], result["safe_to_run"]) == ("NOT READY", "NO")
 
 
 def test_missing_table_and_other_schema_are_fatal(spark):
-    missing = audit.audit_findings(tables(spark, sellers=None))
+    missing = findings_of(tables(spark, sellers=None))
     assert found(missing) == {"missing expected files", "schema mismatch", "relationship mismatch"}
     extra = tables(spark)
     extra["sellers"] = extra["sellers"].selectExpr("*", "1 AS more")
-    assert found(audit.audit_findings(extra)) == {"schema mismatch"}
+    assert found(findings_of(extra)) == {"schema mismatch"}
     errors = {r["table_name"]: r["error"] for r in audit.schema_results(spark, extra).collect()}
     assert errors["sellers"] == "schema mismatch" and errors["orders"] is None
 
