@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.operators.marts import row_counts
 from ordermill.sources.contract import RAW_TABLES, TIMESTAMP_FORMAT
 
 # Which column must be found in which other table.
@@ -303,3 +304,27 @@ def audit_verdict(findings: DataFrame) -> DataFrame:
             "safe_to_run": F.when(fatal, "NO").otherwise("YES"),
         }
     )
+
+
+def source_row_counts(
+    tables: Mapping[str, DataFrame], expected: dict[str, int] | DataFrame
+) -> DataFrame:
+    """Actual against expected rows per source, as PASS or FAIL."""
+    actual = row_counts(tables).withColumnRenamed("row_count", "actual_rows")
+    if isinstance(expected, dict):
+        spark = actual.sparkSession
+        expected = spark.createDataFrame(list(expected.items()), "table_name string, expected_rows bigint")
+    matches = F.col("actual_rows") == F.col("expected_rows")
+    return (
+        expected.join(actual, "table_name", "full")
+        .withColumn("status", F.when(matches, "PASS").otherwise("FAIL"))
+        .select("table_name", "expected_rows", "actual_rows", "status")
+    )
+
+
+def require_all_pass(report: DataFrame) -> DataFrame:
+    """``report`` itself, after checking that no row says FAIL."""
+    failed = report.where(F.col("status") != "PASS").count()
+    if failed:
+        raise ValueError(f"{failed} checks failed")
+    return report

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.labels import UNTRANSLATED_PREFIX
 from ordermill.functions.months import month_label, normalized_key, shift_key
-from ordermill.operators.backtest import backtest_category_errors, backtest_monthly
+from ordermill.operators.backtest import (
+    PREDICTIONS,
+    backtest_category_errors,
+    backtest_monthly,
+)
 from ordermill.operators.orders import fulfilled, key_uniqueness
 from ordermill.operators.revenue import GRAIN
 
@@ -317,8 +321,6 @@ def backtest_audit(
     inputs: DataFrame,
 ) -> DataFrame:
     """Checks of stored backtest results against the prediction rows they came from."""
-    from ordermill.operators.backtest import PREDICTIONS
-
     guesses = [name for name in PREDICTIONS.values() if name in predictions.columns]
     numbers = ["actual_units", *guesses, "champion_prediction"]
     needed = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.months import month_start
@@ -26,6 +26,11 @@ def period_coverage(master: DataFrame) -> DataFrame:
     )
 
 
+def _first_and_last(monthly: DataFrame) -> Column:
+    key = "order_year_month"
+    return monthly.agg(F.struct(F.min(key).alias("first"), F.max(key).alias("last"))).scalar()
+
+
 def flag_period_quality(
     monthly: DataFrame, order_col: str = "order_count", min_orders: int = MIN_PERIOD_ORDERS
 ) -> DataFrame:
@@ -35,9 +40,8 @@ def flag_period_quality(
     last month when its last purchase comes before the month's last day.
     """
     key = F.col("order_year_month")
-    months = monthly.select("order_year_month")
-    opens = key == months.agg(F.min("order_year_month").alias("first")).scalar()
-    closes = key == months.agg(F.max("order_year_month").alias("last")).scalar()
+    bounds = _first_and_last(monthly)
+    opens, closes = key == bounds["first"], key == bounds["last"]
     partial = F.lit(False)
     if "first_purchase" in monthly.columns:
         partial = partial | (opens & (F.dayofmonth("first_purchase") > 1))
@@ -67,9 +71,7 @@ def edge_period_flags(master: DataFrame, min_orders: int = MIN_PERIOD_ORDERS) ->
         .groupBy("order_year_month")
         .agg(F.count("order_id").alias("order_count"))
     )
-    bounds = coverage.agg(
-        F.struct(F.min("order_year_month").alias("first"), F.max("order_year_month").alias("last"))
-    ).scalar()
+    bounds = _first_and_last(coverage)
     key = F.col("order_year_month")
     return coverage.select(
         "order_year_month",

@@ -7,7 +7,7 @@ once; the only global step adds up one row count per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,39 +68,44 @@ def _sort_key(value: Column, missing: int) -> Column:
 
 
 def _cut_rows(
-    df: DataFrame, keys: Mapping[str, Column], tie_break: str, cut_at: Column, parts: int
+    df: DataFrame,
+    keys: Mapping[str, Column],
+    tie_break: str,
+    place_of: Callable[[Column, int], Column],
+    parts: int,
 ) -> DataFrame:
     """The rows at which each measure changes score: ``parts - 1`` per measure.
 
     All measures are sorted by the same job: one narrow row per measure and
     table row, ordered by measure, key and tie-break. Every measure has the
-    same number of rows, so its places follow from its number.
+    same number of rows ``n``, so its places follow from its number.
+    ``place_of(n, cut)`` is the 1-based place of a cut within its measure.
     """
     measures = list(keys)
     tall = df.select(
         F.col(tie_break).alias("tie"),
         F.posexplode(F.array(*[keys[m] for m in measures])).alias("measure", "key"),
     )
-    order = [F.asc("measure"), F.asc("key"), F.asc("tie")]
-    slices = _sorted_slices(tall, order)
+    slices = _sorted_slices(tall, [F.asc("measure"), F.asc("key"), F.asc("tie")])
     starts = _slice_starts(slices)
-    # At most (parts - 1) rows per measure from here on.
-    cuts = (
-        starts.agg((F.sum("_rows") / len(measures)).cast("bigint").alias("n"))
-        .select(
-            "n",
-            F.explode(F.sequence(F.lit(0), F.lit(len(measures) - 1))).alias("measure"),
+    total = starts.agg((F.sum("_rows") / len(measures)).cast("bigint").alias("n")).scalar()
+    n = F.col("_n")
+    cuts = [
+        F.struct(
+            F.lit(measure).alias("_measure"),
+            F.lit(cut).alias("cut"),
+            F.when(place_of(n, cut) >= 1, measure * n + place_of(n, cut)).alias("place"),
         )
-        .select("n", "measure", F.explode(F.sequence(F.lit(1), F.lit(parts - 1))).alias("cut"))
-        .where(cut_at >= 1)
-        .select("measure", "cut", (F.col("measure") * F.col("n") + cut_at).alias("place"))
-    )
+        for measure in range(len(measures))
+        for cut in range(1, parts)
+    ]
+    local = F.col("place") - F.col("_start") - 1
+    # One row per cut: the slice and the place in it where its row is found.
     located = (
-        cuts.join(
-            starts,
-            (F.col("place") > F.col("_start")) & (F.col("place") <= F.col("_start") + F.col("_rows")),
-        )
-        .select("cut", "_slice", (F.col("place") - F.col("_start") - 1).alias("_local"))
+        starts.withColumn("_n", total)
+        .select("_slice", "_start", "_rows", F.inline(F.array(*cuts)))
+        .where((local >= 0) & (local < F.col("_rows")))
+        .select("cut", "_slice", local.alias("_local"))
     )
     return slices.join(F.broadcast(located), ["_slice", "_local"]).select(
         "measure", "cut", "key", "tie"
@@ -123,15 +128,17 @@ def _cut_name(measure: int, cut: int) -> str:
     return f"m{measure}c{cut}"
 
 
-def _scores(cuts: Column, rows: list[tuple[str, Column]], parts: int) -> dict[str, Column]:
-    """1 + number of cuts of its measure that a row lies beyond."""
+def _with_scores(
+    df: DataFrame, cuts: Column, rows: list[tuple[str, Column]], parts: int
+) -> DataFrame:
+    """Add 1 + the number of cuts of its measure that a row lies beyond."""
     scores = {}
     for measure, (name, value) in enumerate(rows):
         score = F.lit(1)
         for cut in range(1, parts):
-            score = score + flag(value > cuts[_cut_name(measure, cut)])
+            score = score + flag(value > F.col("_cuts")[_cut_name(measure, cut)])
         scores[name] = score
-    return scores
+    return df.withColumn("_cuts", cuts).withColumns(scores).drop("_cuts")
 
 
 def ntile_scores(
@@ -143,12 +150,14 @@ def ntile_scores(
     then tiles follow from comparing each row with those few rows, so the
     table itself is neither sorted nor joined.
     """
-    n, cut = F.col("n"), F.col("cut")
-    tile_end = cut * F.floor(n / parts) + F.least(cut.cast("bigint"), n % parts)
+
+    def tile_end(n: Column, cut: int) -> Column:
+        return cut * F.floor(n / parts) + F.least(F.lit(cut).cast("bigint"), n % parts)
+
     rows = _cut_rows(df, keys, tie_break, tile_end, parts)
     cuts = _cut_values(rows, len(keys), parts, "key", "tie")
     own = [(name, F.struct(key, F.col(tie_break))) for name, key in keys.items()]
-    return df.withColumns(_scores(cuts, own, parts))
+    return _with_scores(df, cuts, own, parts)
 
 
 def percent_rank_scores(
@@ -159,9 +168,11 @@ def percent_rank_scores(
     A row reaches score ``k + 1`` when at least ``ceil(k (n - 1) / parts)`` rows
     have a smaller key, that is when its key lies beyond the key at that place.
     """
-    n, cut = F.col("n"), F.col("cut")
-    place = F.ceil(cut * (n - 1) / parts)
+
+    def place(n: Column, cut: int) -> Column:
+        return F.ceil(cut * (n - 1) / parts)
+
     rows = _cut_rows(df, keys, tie_break, place, parts)
     cuts = _cut_values(rows, len(keys), parts, "key")
     own = [(name, F.struct(key)) for name, key in keys.items()]
-    return df.withColumns(_scores(cuts, own, parts))
+    return _with_scores(df, cuts, own, parts)

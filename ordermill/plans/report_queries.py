@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ordermill.operators import marts, orders, periods, rfm, sellers
 from ordermill.plans.presentation import means, show, times
 from ordermill.plans.shop import MIN_ORDERS, Shop, sql

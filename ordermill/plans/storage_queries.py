@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ordermill.operators import orders
+from ordermill.operators import audit, orders
+from ordermill.operators.marts import row_counts
 from ordermill.plans import runner
 from ordermill.plans.presentation import show, times
 from ordermill.plans.report_queries import RAW_SQL
@@ -129,18 +130,16 @@ def _source_counts(shop: Shop):
         row = shop.table(base).agg(F.count(F.lit(1)).alias("expected_rows"))
         row = row.select(F.lit(name).alias("table_name"), "expected_rows")
         expected = row if expected is None else expected.unionAll(row)
-    return readers.source_row_counts({name: shop.raw_tables[name] for name in _BASES}, expected)
+    return audit.source_row_counts({name: shop.raw_tables[name] for name in _BASES}, expected)
 
 
 def _ingest_counts(shop: Shop):
-    from ordermill.operators.marts import row_counts
-
     written = {
         name: writers.write_table(with_metadata(shop.raw_tables[name], name), scratch_path(shop.spark, name))
         for name in ("orders", "customers", "reviews", "category_translation")
     }
     expected = row_counts({name: shop.raw_tables[name] for name in written})
-    return readers.source_row_counts(written, expected.withColumnRenamed("row_count", "expected_rows"))
+    return audit.source_row_counts(written, expected.withColumnRenamed("row_count", "expected_rows"))
 
 
 def _counts_sql(names) -> str:

@@ -120,29 +120,3 @@ def reader_reconciliation(spark: SparkSession, path: str, true_rows: int | DataF
         F.col("naive_rows") != F.col("expected_rows")
     )
     return counts.withColumn("multiline_explains_difference", explained)
-
-
-def source_row_counts(
-    tables: dict[str, DataFrame], expected: dict[str, int] | DataFrame
-) -> DataFrame:
-    """Actual against expected rows per source, as PASS or FAIL."""
-    from ordermill.operators.marts import row_counts
-
-    actual = row_counts(tables).withColumnRenamed("row_count", "actual_rows")
-    if isinstance(expected, dict):
-        spark = actual.sparkSession
-        expected = spark.createDataFrame(list(expected.items()), "table_name string, expected_rows bigint")
-    matches = F.col("actual_rows") == F.col("expected_rows")
-    return (
-        expected.join(actual, "table_name", "full")
-        .withColumn("status", F.when(matches, "PASS").otherwise("FAIL"))
-        .select("table_name", "expected_rows", "actual_rows", "status")
-    )
-
-
-def require_all_pass(report: DataFrame) -> DataFrame:
-    """``report`` itself, after checking that no row says FAIL."""
-    failed = report.where(F.col("status") != "PASS").count()
-    if failed:
-        raise ValueError(f"{failed} checks failed")
-    return report

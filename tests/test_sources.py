@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from ordermill.operators import orders
+from ordermill.operators import audit, orders
 from ordermill.plans import runner
 from ordermill.sources import ingest, readers, scratch, writers
 from ordermill.sources.contract import RAW_TABLES
@@ -114,11 +114,11 @@ def test_manifest(spark, folder):
 
 def test_row_count_report(spark):
     tables = {"a": spark.range(3), "b": spark.range(1)}
-    report = readers.source_row_counts(tables, {"a": 3, "b": 2, "c": 1})
+    report = audit.source_row_counts(tables, {"a": 3, "b": 2, "c": 1})
     assert {r["table_name"]: r["status"] for r in report.collect()} == {"a": "PASS", "b": "FAIL", "c": "FAIL"}
     with pytest.raises(ValueError):
-        readers.require_all_pass(report)
-    assert readers.require_all_pass(report.where("table_name = 'a'")).count() == 1
+        audit.require_all_pass(report)
+    assert audit.require_all_pass(report.where("table_name = 'a'")).count() == 1
 
 
 def test_scratch_lies_below_the_checkpoint_folder(spark):
