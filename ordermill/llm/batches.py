@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 8 << 20  # text handled at once inside a task; bounds memory, never the rows
-MEMO_WORDS = 600_000  # words remembered per generation; a word beyond it is encoded again
+MEMO_WORDS = 400_000  # words remembered per generation; a word beyond it is encoded again
 
 
 def filled(texts: pa.Array) -> pa.Array:
@@ -43,15 +43,6 @@ def word_table(values: pa.Array) -> tuple[np.ndarray, list[str]]:
     return encoded.indices.to_numpy().astype(np.int64), encoded.dictionary.to_pylist()
 
 
-def span_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums of ``values`` (rows) between neighbouring offsets, in double precision; empty spans give 0."""
-    totals = np.zeros((len(offsets) - 1, *values.shape[1:]))
-    full = np.flatnonzero(np.diff(offsets))
-    if len(full):
-        totals[full] = np.add.reduceat(values, offsets[:-1][full], axis=0, dtype=np.float64)
-    return totals
-
-
 def gather_spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... of every span, one span after the other."""
     ends = np.cumsum(lengths)
@@ -83,16 +74,21 @@ class Memo:
         return [young[word] for word in words]
 
 
-def encode_lists(lists: pa.ListArray, memo: Memo, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all chunks of all texts joined, and the n + 1 offsets of the texts in them."""
-    values, offsets = list_parts(lists)
-    codes, words = word_table(values)
+def encode_codes(
+    codes: np.ndarray, words: list[str], offsets: np.ndarray, memo: Memo, kind: type
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words of all texts joined, and the n + 1 offsets of the texts in them."""
     parts = memo(words)
-    width = np.dtype(kind).itemsize
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // width
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(kind).itemsize
     flat = np.frombuffer(b"".join(parts), kind)
     starts = np.cumsum(lengths) - lengths
     per_word = lengths[codes]
     ids = flat[gather_spans(starts[codes], per_word)] if len(codes) else flat[:0]
-    counted = np.concatenate([[0], np.cumsum(per_word)])
-    return ids, counted[offsets]
+    return ids, np.concatenate([[0], np.cumsum(per_word)])[offsets]
+
+
+def encode_lists(lists: pa.ListArray, memo: Memo, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """``encode_codes`` of a list of words per text."""
+    values, offsets = list_parts(lists)
+    codes, words = word_table(values)
+    return encode_codes(codes, words, offsets, memo, kind)

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import language, packing, quality, simhash, token_file, toxicity
+from ordermill.llm import cover_tree, language, packing, piece_table, quality, sharding, simhash, token_file, toxicity, winnowing
 from ordermill.llm.shipping import ship
 from ordermill.sources.scratch import scratch_path
 
+SLOTS = sharding.table_size(sharding.SHARDS)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship(spark)
@@ -24,6 +26,71 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id")
+    return sharding.place(documents, ["doc_id"], sharding.shard_names(sharding.SHARDS))
+
+
+SHARDING_SQL = f"""
+WITH RECURSIVE shards AS (
+    SELECT n AS shard,
+           ('0x' || substr(md5('offset:shard-' || lpad(n::VARCHAR, 5, '0')), 1, 15))::BIGINT % {SLOTS} AS "offset",
+           ('0x' || substr(md5('step:shard-' || lpad(n::VARCHAR, 5, '0')), 1, 15))::BIGINT % {SLOTS - 1} + 1 AS step
+    FROM range({sharding.SHARDS}) AS r(n)
+), orders AS (
+    SELECT shard, list_transform(range({SLOTS}), lambda k: ("offset" + k * step) % {SLOTS}) AS slots FROM shards
+), claims AS (
+    SELECT 0 AS turn, list_transform(range({SLOTS}), lambda k: -1) AS owner
+    UNION ALL
+    SELECT turn + 1, list_transform(owner, lambda who, place: CASE WHEN place = claimed THEN turn % {sharding.SHARDS} ELSE who END)
+    FROM (SELECT turn, owner, list_filter(slots, lambda s: owner[s + 1] < 0)[1] + 1 AS claimed
+          FROM claims JOIN orders ON shard = turn % {sharding.SHARDS}
+          WHERE turn < {SLOTS})
+), filled AS (SELECT owner FROM claims WHERE turn = {SLOTS}),
+slots AS (SELECT unnest(range({SLOTS})) AS slot, unnest(owner) AS shard FROM filled),
+placed AS (
+    SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {SLOTS}) AS slot
+    FROM documents
+)
+SELECT doc_id, slot::INTEGER AS slot, shard::INTEGER AS shard FROM placed JOIN slots USING (slot)
+"""
+
+
+def op5_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    found = winnowing.edit_report(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        winnowing.digest(F.col("marks")).alias("fingerprint"),
+        winnowing.digest(F.col("edited_marks")).alias("edited_fingerprint"),
+        "near_edited", "near_next", F.size("marks").alias("n_marks"),
+    )
+
+
+def op2_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, folder, "embeddings"))
+
+
+COVER_TREE_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), roots AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN roots r ON r.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = toxicity.fit(documents, table(spark, folder, "labels"))
@@ -36,6 +103,12 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents, language.fit(documents))
 
 
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = piece_table.encode_decode(documents, vocabulary("piece_bpe_32k.model"), with_values=False)
+    return found.drop("ids", "decoded")
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return packing.pack(documents, vocabulary("word_bpe_49k.json"), with_ids=False).drop("ids")
@@ -58,11 +131,15 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op2_cover_tree": op2_cover_tree,
     "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
+    "op5_winnowing": op5_winnowing,
+    "op6_pieces": op6_pieces,
     "op7_packing": op7_packing,
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_sharding": SHARDING_SQL, "op2_cover_tree": COVER_TREE_SQL}
