@@ -188,10 +188,11 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
 
 
 def groups(documents: DataFrame, radius: int = RADIUS, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``fp``, ``component_id`` of every document.
+    """``doc_id``, ``text_hash``, ``fp``, ``group``, ``component_id`` of every document.
 
     Documents link where their fingerprints differ in at most ``radius``
-    places; ``component_id`` is the smallest ``doc_id`` reachable, itself
+    places; ``group`` is the same for all that are joined (one of their
+    fingerprints), ``component_id`` the smallest ``doc_id`` reachable, itself
     included. Equal fingerprints are one node, so copies never make pairs.
     Null ids are no candidates for the smallest; a group of null ids alone
     has component null. An empty table gives no rows.
@@ -203,8 +204,8 @@ def groups(documents: DataFrame, radius: int = RADIUS, words: int = WORDS, seed:
         "component", F.coalesce("component", "fp")
     )
     roots = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = rooted.join(roots, "component").select("fp", "component_id")
-    return join_one(prints, of_print, "fp", "text_hash").select("doc_id", "text_hash", "fp", "component_id")
+    of_print = rooted.join(roots, "component").select("fp", F.col("component").alias("group"), "component_id")
+    return join_one(prints, of_print, "fp", "text_hash").select("doc_id", "text_hash", "fp", "group", "component_id")
 
 
 def hex_print(column: str = "fp") -> Column:
@@ -220,7 +221,7 @@ def drop_near_copies(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     found = groups(documents, radius)
     kept = (
-        found.groupBy(F.coalesce("component_id", "fp").alias("_group"), F.col("component_id").isNull())
+        found.groupBy("group")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("_kept"))
         .select(F.col("_kept.doc_id").alias("_kept_id"), F.col("_kept.text_hash").alias("_kept_hash"))
     )

@@ -109,7 +109,7 @@ def scorer(model: Model | None, spans_from: float | None) -> Callable[[pa.Array]
         if model and len(starts):
             logits += summed(points, starts, GRAMS, model.weights)[:, 0]
         doc = np.searchsorted(offsets, starts, side="right") - 1
-        chance = -np.expm1(np.bincount(doc, log_clean(logits), len(texts)))
+        chance = -np.expm1(np.bincount(doc, log_clean(logits), len(texts))) if model else np.zeros(len(texts))
         hit = np.flatnonzero(sigmoid(logits) >= (2.0 if spans_from is None else spans_from))
         ends = np.append(starts[1:], offsets[-1:])
         ends = np.minimum(ends, offsets[doc + 1] - 1)
