@@ -39,7 +39,7 @@ def letter_grams(points: np.ndarray, sizes: tuple[int, ...], table: int) -> tupl
     at = np.flatnonzero(is_letter)
     blank = np.maximum.accumulate(np.where(is_letter, -1, np.arange(len(points))))[at]
     inside = at - blank  # 1 for a word's first letter
-    places = np.empty((len(at), len(sizes)), np.int64)
+    places = np.empty((len(at), len(sizes)), np.int32)
     with np.errstate(over="ignore"):
         rolled = np.zeros(len(at), np.uint32)
         column = 0

@@ -21,8 +21,8 @@ from ordermill.llm.batches import slices
 from ordermill.llm.folds import fold, labelled_texts
 from ordermill.llm.linear import Adam, code_points, letter_grams, sigmoid, summed
 
-PER_LABEL = 1500  # training documents of either label
-TRAIN_CHARS = 8000  # characters of each training document
+PER_LABEL = 1200  # training documents of either label
+TRAIN_CHARS = 6000  # characters of each training document
 GRAMS = (4, 5, 6)
 FEATURES = 1 << 18
 EPOCHS = 40
@@ -68,28 +68,24 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
     starts = sentences(points, offsets)
     sentence = np.searchsorted(starts, at, side="right") - 1
     doc = np.searchsorted(offsets, starts, side="right") - 1
-    used, compact = np.unique(places, return_inverse=True)
-    compact = compact.reshape(places.shape).astype(np.int32)
     first = np.flatnonzero(np.diff(sentence, prepend=-1))
     owner = sentence[first]
     label = np.asarray(labels, float)
     balance = np.where(label == 1, 0.5 / max(label.sum(), 1), 0.5 / max((1 - label).sum(), 1))
-    weights = np.zeros(len(used), np.float32)
-    step_weights = Adam(len(used), 0.1)
+    weights = np.zeros(FEATURES, np.float32)
+    step_weights = Adam(FEATURES, 0.1)
     for _ in range(epochs):
-        values = weights[compact[:, 0]] + weights[compact[:, 1]] + weights[compact[:, 2]]
+        values = sum(weights[places[:, n]] for n in range(len(GRAMS)))
         logits = np.full(len(starts), BIAS)
         logits[owner] += np.add.reduceat(values, first) if len(first) else 0.0
         clean = np.bincount(doc, log_clean(logits), len(texts))
         odds = np.exp(clean) / np.maximum(-np.expm1(clean), 1e-9)  # (1 - p) / p of each document
         slope = (balance * np.where(label == 1, -odds, 1.0))[doc] * sigmoid(logits)
         per_letter = np.repeat(slope[owner], np.diff(np.append(first, len(at))))
-        gradient = sum(np.bincount(compact[:, n], per_letter, len(used)) for n in range(len(GRAMS)))
+        gradient = sum(np.bincount(places[:, n], per_letter, FEATURES) for n in range(len(GRAMS)))
         weights += step_weights((gradient + SPARSE).astype(np.float32))
         np.maximum(weights, 0.0, out=weights)
-    full = np.zeros((FEATURES, 1), np.float32)
-    full[used, 0] = weights
-    return Model(full, BIAS)
+    return Model(weights[:, None], BIAS)
 
 
 def fit(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_chars: int = TRAIN_CHARS) -> Model | None:
