@@ -35,7 +35,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 4096 tokens, with their ids."""
     ship(spark)
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), memo_words=100_000)
 
 
 STAGES = [("language", identify), ("quality", grade), ("near copies", drop_copies), ("packing", pack)]

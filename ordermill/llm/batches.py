@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 8 << 20  # text handled at once inside a task; bounds memory, never the rows
+SMALL_SLICE = 2 << 20  # the same where every letter takes room of its own
 MEMO_WORDS = 400_000  # words remembered per generation; a word beyond it is encoded again
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.llm.batches import slices
+from ordermill.llm.batches import SMALL_SLICE, slices
 from ordermill.llm.folds import fold, stratified
 from ordermill.llm.linear import Adam, code_points, letter_grams, sigmoid, summed
 
@@ -161,7 +161,7 @@ def predictor(model: Model | None) -> Callable[[Column | str], Column]:
         score = scorer(model)
         for part in texts:
             batch = pa.RecordBatch.from_arrays([part], ["text"])
-            found = [score(one.column("text")) for one in slices(batch)]
+            found = [score(one.column("text")) for one in slices(batch, limit=SMALL_SLICE)]
             yield pa.concat_arrays(found) if found else score(part)
 
     return predict

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ordermill.llm.batches import slices
+from ordermill.llm.batches import MEMO_WORDS, slices
 from ordermill.llm.tokens import WordTokens, with_end, word_tokens
 
 LENGTH = 4096
@@ -193,6 +193,7 @@ def pack(
     length: int = LENGTH,
     end_id: int = END_ID,
     with_ids: bool = True,
+    memo_words: int = MEMO_WORDS,
 ) -> DataFrame:
     """One row per piece of a document in a sequence, with the ids it holds.
 
@@ -203,6 +204,8 @@ def pack(
     and a partition's last window is cut into powers of two, which need no
     padding. ``sequence_id`` = partition number * 2**33 + number in it.
 
+    ``memo_words``: words each worker remembers, time against memory.
+
     Only ``doc_id`` and ``text`` are read. A null text counts as empty: such
     a document is its end id alone. Null, repeated or tied ids are kept as
     they are, a piece each. An empty table gives no rows. A document longer
@@ -215,7 +218,7 @@ def pack(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder: WordTokens = word_tokens(tokenizer)
+        encoder: WordTokens = word_tokens(tokenizer, memo_words)
         block = Block(sentence_ids(encoder.library), length)
         partition = TaskContext.get().partitionId()
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.batches import filled, slices
+from ordermill.llm.batches import SMALL_SLICE, filled, slices
 from ordermill.llm.folds import fold, labelled_texts
 from ordermill.llm.linear import Adam, sigmoid
 
@@ -194,7 +194,7 @@ def predictor(model: Model | None) -> Callable[[Column | str], Column]:
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in texts:
             batch = pa.RecordBatch.from_arrays([part], ["text"])
-            found = [score(one.column("text"), model) for one in slices(batch)]
+            found = [score(one.column("text"), model) for one in slices(batch, limit=SMALL_SLICE)]
             yield pa.array(np.concatenate(found) if found else np.zeros(0))
 
     return predict

@@ -223,15 +223,23 @@ def drop_near_copies(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     kept = (
         found.groupBy("group")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("_kept"))
-        .select(F.col("_kept.doc_id").alias("_kept_id"), F.col("_kept.text_hash").alias("_kept_hash"))
+        .select(*_row_key(F.col("_kept.doc_id"), F.col("_kept.text_hash")))
     )
-    same = documents["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (
-        F.xxhash64(documents["text"].cast("string")) == kept["_kept_hash"]
-    )
-    one = Window.partitionBy("_kept_id", "_kept_hash").orderBy("_kept_id")
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    keyed = documents.select("*", *_row_key(F.col("doc_id").cast("long"), text_hash))
+    one = Window.partitionBy(*_ROW_KEY).orderBy("_kept_hash")  # as the join deals rows, so they move once
     return (
-        documents.join(kept, same)
+        keyed.join(kept, list(_ROW_KEY))
         .withColumn("_kept_row", F.row_number().over(one))
         .where("_kept_row = 1")
-        .select(*[documents[name] for name in documents.columns])
+        .select(*[F.col(f"`{name}`") for name in documents.columns])
     )
+
+
+_ROW_KEY = ("_kept_none", "_kept_id", "_kept_hash")
+
+
+def _row_key(doc_id: Column, text_hash: Column) -> list[Column]:
+    """A document's id and text hash without nulls."""
+    values = (doc_id.isNull(), F.coalesce(doc_id, F.lit(0).cast("long")), text_hash)
+    return [value.alias(name) for value, name in zip(values, _ROW_KEY)]

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ordermill.llm.batches import Memo, encode_lists, filled
+from ordermill.llm.batches import MEMO_WORDS, Memo, encode_lists, filled
 
 
 class WordTokens:
@@ -22,12 +22,12 @@ class WordTokens:
     normalisation never joins a blank with what stands next to it.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, memo_words: int = MEMO_WORDS) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.memo = Memo(self._encode)
+        self.memo = Memo(self._encode, memo_words)
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(words, add_special_tokens=False)
@@ -38,9 +38,9 @@ class WordTokens:
 
 
 @functools.cache
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, memo_words: int = MEMO_WORDS) -> WordTokens:
     """One per worker process, so that its memo outlives a task."""
-    return WordTokens(path)
+    return WordTokens(path, memo_words)
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
