@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is added up in whole ten-thousandths, so a total is the same whatever
-# the partitioning and however often a task is retried.
+# Money of up to four decimals is added up in whole ten-thousandths, so a total is the
+# same whatever the partitioning and however often a task is retried.
 TICKS_PER_UNIT = 10_000
 _LOW_BITS = 20
+LARGEST_TICKS = float(1 << 52)  # whole numbers below have a double of their own
 
 
 def as_column(value: Column | str) -> Column:
@@ -24,16 +25,30 @@ def from_ticks(total: Column | str) -> Column:
     return as_column(total).cast("double") / TICKS_PER_UNIT
 
 
+def in_ticks(value: Column | str) -> Column:
+    """True for amounts that are whole ten-thousandths, up to how a double can show them."""
+    scaled = as_column(value).cast("double") * TICKS_PER_UNIT
+    slack = F.greatest(F.abs(scaled) * 1e-15, F.lit(1e-9))
+    return F.coalesce((F.abs(scaled) < LARGEST_TICKS) & (F.abs(scaled - F.rint(scaled)) <= slack), F.lit(False))
+
+
 def money_sum(value: Column | str) -> Column:
-    """Exact total as double; NULL when there is nothing to add.
+    """Total as double; NULL when there is nothing to add.
 
-    High and low bits are added up as two plain integers: several times faster
-    than a wide decimal, and too small to overflow even for a whole large table.
+    Amounts of at most four decimals are added up exactly, as whole
+    ten-thousandths: high and low bits as two plain integers, several times
+    faster than a wide decimal and too small to overflow even for a whole
+    large table. All other amounts (more decimals, too large, not finite)
+    are added up as they are stored, so nothing is rounded away.
     """
-    amount = ticks(value)
+    stored = as_column(value)
+    exact = in_ticks(stored)
+    amount = F.when(exact, ticks(F.when(exact, stored)))
     high = F.sum(F.shiftright(amount, _LOW_BITS)).cast("decimal(28,0)")
     low = F.sum(amount.bitwiseAND((1 << _LOW_BITS) - 1)).cast("decimal(20,0)")
-    return from_ticks(high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low)
+    whole = from_ticks(high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low)
+    rest = F.sum(F.when(~exact, stored.cast("double")))
+    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
 
 
 def ratio(numerator: Column | str, denominator: Column | str, empty: float | None = 0.0) -> Column:

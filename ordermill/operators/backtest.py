@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -16,11 +17,15 @@ from ordermill.functions.numeric import non_negative, ratio
 
 FEATURES = ["lag_1", "lag_2", "lag_4", "rolling_mean_3", "month_num", "is_q4"]
 TARGET = "target_units"
-MIN_MONTHS, MAX_MONTHS = 4, 6  # fixed values: validation months wanted
+# Validation months needed, wanted and used at most.
+FEWEST_MONTHS, MIN_MONTHS, MAX_MONTHS = 2, 4, 6
 QUALITY = ["is_partial_period", "is_low_volume_period", "is_comparable_period"]
-NAIVE, BOOSTED = "naive_lag_1", "boosted_trees"
-PREDICTIONS = {NAIVE: "naive_prediction", BOOSTED: "boosted_prediction"}
-ROWS_PER_PARTITION = 500_000
+NAIVE, BOOSTED, MOVING = "naive_lag_1", "boosted_trees", "moving_average"
+PREDICTIONS = {
+    NAIVE: "naive_prediction",
+    BOOSTED: "boosted_prediction",
+    MOVING: "moving_average_prediction",
+}
 # Size and rate of the boosted model.
 BOOSTED_PARAMS = {
     "maxIter": 120,
@@ -93,6 +98,22 @@ def prepare_backtest_input(df: DataFrame) -> DataFrame:
     )
 
 
+def dropped_rows(df: DataFrame) -> DataFrame:
+    """How many rows ``prepare_backtest_input`` leaves out, next to how many it keeps."""
+    numbers = [F.col(name).try_cast("double").isNotNull() for name in [TARGET, *FEATURES]]
+    usable = reduce(lambda a, b: a & b, numbers)
+    return df.agg(
+        F.count_if(~usable).alias("dropped_rows"), F.count_if(usable).alias("kept_rows")
+    )
+
+
+def require_rows(prepared: DataFrame) -> DataFrame:
+    """``prepared`` itself, after checking that there is something to model."""
+    if prepared.isEmpty():
+        raise ValueError("no usable modelling rows")
+    return prepared
+
+
 def comparable_rows(features: DataFrame) -> DataFrame:
     if "is_comparable_period" not in features.columns:
         return features
@@ -148,11 +169,16 @@ def backtest_folds(features: DataFrame, most: int = MAX_MONTHS) -> DataFrame:
     )
 
 
-def require_folds(folds: DataFrame, fewest: int = 2) -> list:
-    """The fold rows (at most ``MAX_MONTHS``), after checking that each can train."""
+def require_folds(folds: DataFrame, fewest: int = FEWEST_MONTHS) -> list:
+    """The fold rows (at most ``MAX_MONTHS``), after checking that each can train.
+
+    Fewer than ``fewest`` are refused; fewer than ``MIN_MONTHS`` are warned about.
+    """
     rows = folds.orderBy("fold").collect()
     if len(rows) < fewest:
         raise ValueError("not enough comparable months for a rolling backtest")
+    if len(rows) < MIN_MONTHS:
+        warnings.warn(f"only {len(rows)} comparable months for validation", stacklevel=2)
     untrained = [row["forecast_month"] for row in rows if row["train_rows"] == 0]
     if untrained:
         raise ValueError(f"no training rows before {untrained}")
@@ -161,7 +187,9 @@ def require_folds(folds: DataFrame, fewest: int = 2) -> list:
 
 def naive_backtest(features: DataFrame, most: int = MAX_MONTHS) -> DataFrame:
     """Out-of-fold rows predicted by the previous month, all folds in one plan."""
-    folds = F.broadcast(backtest_folds(features, most))
+    folds = backtest_folds(features, most)
+    require_folds(folds)
+    folds = F.broadcast(folds)
     return (
         comparable_rows(features)
         .join(folds, "forecast_month")
@@ -170,11 +198,17 @@ def naive_backtest(features: DataFrame, most: int = MAX_MONTHS) -> DataFrame:
 
 
 def boosted_backtest(
-    features: DataFrame, most: int = MAX_MONTHS, params: dict | None = None
+    features: DataFrame,
+    most: int = MAX_MONTHS,
+    params: dict | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The naive rows plus the prediction of boosted trees trained before each month.
 
-    The folds (at most ``most``) are independent and are fitted at the same time.
+    The folds (at most ``most``) are independent and are fitted at the same
+    time. Training rows keep the partitioning of ``features``, or are dealt to
+    ``partitions``; the trees sample rows per partition, so a repeatable
+    forecast needs a repeatable partitioning.
     """
     usable = comparable_rows(features)
     folds = require_folds(backtest_folds(features, most))
@@ -187,9 +221,8 @@ def boosted_backtest(
     numeric = usable.withColumns({name: F.col(name).cast("double") for name in [TARGET, *FEATURES]})
     rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(numeric)
     month = F.col("forecast_month")
-    # Boosting runs several short jobs per tree: few, well-filled partitions.
-    parts = 1 + int(folds[-1]["train_rows"]) // ROWS_PER_PARTITION
-    training = rows.select("forecast_month", TARGET, "_features").repartition(parts).persist()
+    training = rows.select("forecast_month", TARGET, "_features")
+    training = (training.repartition(partitions) if partitions else training).persist()
     try:
         fit = inheritable_thread_target(rows.sparkSession)(
             lambda fold: learner.fit(training.where(month < fold["forecast_month"]))
@@ -284,8 +317,13 @@ def champion(pooled: DataFrame, challenger: str = BOOSTED) -> DataFrame:
     )
 
 
-def with_champion(predictions: DataFrame, model: str = NAIVE) -> DataFrame:
-    return predictions.withColumn("champion_prediction", F.col(PREDICTIONS[model]))
+def with_champion(predictions: DataFrame, challenger: str = BOOSTED) -> DataFrame:
+    """Add the forecasts of the model that ``champion`` picks for these predictions."""
+    best = champion(pooled_metrics(predictions), challenger).select("champion_model").scalar()
+    return predictions.withColumn(
+        "champion_prediction",
+        F.when(best == challenger, F.col(PREDICTIONS[challenger])).otherwise(F.col(PREDICTIONS[NAIVE])),
+    )
 
 
 def _totals(predictions: DataFrame) -> list[Column]:
@@ -316,6 +354,11 @@ def backtest_monthly(predictions: DataFrame) -> DataFrame:
     )
 
 
+def _largest_errors() -> list[Column]:
+    """Order of the error tables; sums of fractions are compared to six digits."""
+    return [F.desc(F.round("absolute_error", 6)), F.desc("actual_units"), F.asc("category_name_english")]
+
+
 def backtest_category_errors(predictions: DataFrame) -> DataFrame:
     """Summed absolute errors per category, largest first."""
     return (
@@ -327,11 +370,9 @@ def backtest_category_errors(predictions: DataFrame) -> DataFrame:
             F.countDistinct("forecast_month").alias("forecast_month_count"),
         )
         .withColumn("mae", ratio("absolute_error", F.greatest("evaluated_rows", F.lit(1))))
-        .orderBy(F.desc("absolute_error"), F.desc("actual_units"), F.asc("category_name_english"))
+        .orderBy(*_largest_errors())
     )
 
 
 def top_category_errors(errors: DataFrame, n: int = 20) -> DataFrame:
-    return errors.orderBy(
-        F.desc("absolute_error"), F.desc("actual_units"), F.asc("category_name_english")
-    ).limit(n)
+    return errors.orderBy(*_largest_errors()).limit(n)

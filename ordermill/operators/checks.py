@@ -17,6 +17,7 @@ from ordermill.operators.backtest import (
 )
 from ordermill.operators.orders import fulfilled, key_uniqueness
 from ordermill.operators.revenue import GRAIN
+from ordermill.operators.skew import join_one
 
 RECOMPUTE_TOLERANCE = 1e-9
 ARTIFACT_TOLERANCE = 1e-7
@@ -66,7 +67,13 @@ def untranslated_shown(
 ) -> DataFrame:
     """Sold categories without translation and whether the demand table shows them."""
     sold_products = (
-        items.join(fulfilled(orders).select("order_id"), "order_id", "left_semi")
+        join_one(
+            items.select("order_id", "product_id"),
+            fulfilled(orders).select("order_id"),
+            "order_id",
+            spread_on="product_id",
+            how="inner",
+        )
         .select("product_id")
         .distinct()
     )
@@ -392,25 +399,30 @@ def backtest_audit(
 
 
 def data_quality_summary(
-    audit: DataFrame, counts: DataFrame, coverage: DataFrame
+    audit: DataFrame, counts: DataFrame, coverage: DataFrame, gap: DataFrame | None = None
 ) -> DataFrame:
-    """Audit verdict, layer row counts and excluded months as (topic, item, value) rows."""
+    """Audit verdict with its findings, translation gap, row counts of all layers and
+    excluded months with both flags, as (topic, item, value) rows."""
+
     def rows(df: DataFrame, topic: str, item: Column, value: Column) -> DataFrame:
         return df.select(
             F.lit(topic).alias("topic"), item.alias("item"), value.cast("string").alias("value")
         )
 
     excluded = coverage.where(~F.col("is_comparable_period"))
-    return _stack(
-        [
-            rows(audit, "source_audit", F.lit("executive_verdict"), F.col("executive_verdict")),
-            rows(audit, "source_audit", F.lit("safe_to_run"), F.col("safe_to_run")),
-            rows(
-                counts,
-                "row_count",
-                F.concat_ws("/", "layer", "table_name"),
-                F.col("row_count"),
-            ),
-            rows(excluded, "excluded_period", F.col("order_year_month"), F.col("order_count")),
+    why = F.concat(
+        F.lit("orders="), "order_count", F.lit(" partial="), "is_partial_period",
+        F.lit(" low_volume="), "is_low_volume_period",
+    )
+    verdict_items = ("executive_verdict", "safe_to_run", "fatal_checks", "warning_checks")
+    parts = [rows(audit, "source_audit", F.lit(item), F.col(item)) for item in verdict_items]
+    if gap is not None:
+        parts += [
+            rows(gap, "translation_gap", F.lit("product_rows"), F.col("unmatched_product_row_count")),
+            rows(gap, "translation_gap", F.lit("categories"), F.col("unmatched_distinct_category_count")),
         ]
-    )
+    parts += [
+        rows(counts, "row_count", F.concat_ws("/", "layer", "table_name"), F.col("row_count")),
+        rows(excluded, "excluded_period", F.col("order_year_month"), why),
+    ]
+    return _stack(parts)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ordermill.functions.months import first_start_from
-from ordermill.functions.numeric import flag, from_ticks, ratio, ticks
+from ordermill.functions.numeric import flag, from_ticks, in_ticks, ratio, ticks
 from ordermill.operators.orders import fulfilled
 from ordermill.operators.skew import hot_keys, join_one
 
@@ -27,7 +27,8 @@ STUDY_FIRST, STUDY_LAST = "2017-01-01", "2018-05-01"
 # Booked amounts and how two bookings of one customer combine.
 _SUMMED = {
     "orders": "bigint",
-    "revenue": "bigint",
+    "revenue": "bigint",  # whole ten-thousandths
+    "revenue_rest": "double",  # amounts that are none
     "valued": "bigint",
     "late": "bigint",
     "judged": "bigint",
@@ -148,9 +149,11 @@ def _dated(orders: DataFrame) -> DataFrame:
 
 
 def _purchase_amounts() -> dict[str, Column]:
+    exact = in_ticks("order_revenue")
     return {
         "orders": F.lit(1),
-        "revenue": ticks("order_revenue"),
+        "revenue": F.when(exact, ticks(F.when(exact, F.col("order_revenue")))),
+        "revenue_rest": F.when(~exact, F.col("order_revenue").cast("double")),
         "valued": flag(F.col("order_revenue").isNotNull()),
         "first_ts": F.col("order_purchase_timestamp"),
         "last_ts": F.col("order_purchase_timestamp"),
@@ -158,6 +161,12 @@ def _purchase_amounts() -> dict[str, Column]:
     }
 
 
+def _revenue() -> Column:
+    """Booked revenue of both kinds; NULL if none was known."""
+    whole, rest = from_ticks("revenue"), F.col("revenue_rest")
+    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
+
+
 def _daily_scores(reviews: DataFrame) -> DataFrame:
     """Review scores per order and review day: one order may have very many reviews."""
     return reviews.groupBy(
@@ -214,7 +223,7 @@ def churn_features(
     panel = _panel([purchases, deliveries, scores], window, horizon_days)
     age = F.datediff("last_ts", "first_ts")
     recency = F.datediff("snapshot_date", "last_ts")
-    revenue = from_ticks("revenue")
+    revenue = _revenue()
     return panel.select(
         "snapshot_date",
         "customer_unique_id",
@@ -269,7 +278,7 @@ def churn_features_first_known(
     late_rate = ratio("late", "judged")
     age = F.datediff("last_ts", "first_ts")
     recency = F.datediff("snapshot_date", "last_ts")
-    revenue = F.coalesce(from_ticks("revenue"), F.lit(0.0))
+    revenue = F.coalesce(_revenue(), F.lit(0.0))
     return panel.select(
         "customer_unique_id",
         "snapshot_date",

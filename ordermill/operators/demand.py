@@ -19,6 +19,18 @@ def _series(month: str) -> WindowSpec:
     return Window.partitionBy("category_name_english").orderBy(month)
 
 
+def labelled_products(products: DataFrame, translation: DataFrame) -> DataFrame:
+    """The category label of every product; a category shared by very many products, or none, is spread."""
+    joined = join_one(
+        products.select("product_id", "product_category_name"),
+        translation.select("product_category_name", "product_category_name_english"),
+        "product_category_name",
+        spread_on="product_id",
+    )
+    label = category_label("product_category_name", "product_category_name_english")
+    return joined.select("product_id", label.alias("category_name_english"))
+
+
 def category_sales(
     items: DataFrame, orders: DataFrame, products: DataFrame, translation: DataFrame
 ) -> DataFrame:
@@ -41,11 +53,9 @@ def category_sales(
         money_sum("price").alias("revenue"),
         F.count("price").alias("priced"),
     )
-    label = category_label("product_category_name", "product_category_name_english")
-    labelled = (
-        per_product.join(products.select("product_id", "product_category_name"), "product_id", "left")
-        .join(translation, "product_category_name", "left")
-        .withColumn("category_name_english", label)
+    unknown = category_label(F.lit(None).cast("string"), F.lit(None).cast("string"))
+    labelled = per_product.join(labelled_products(products, translation), "product_id", "left").withColumn(
+        "category_name_english", F.coalesce("category_name_english", unknown)
     )
     return labelled.groupBy("category_name_english", "order_year_month").agg(
         F.sum("units").alias("monthly_units"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.numeric import money_sum, ratio
@@ -105,7 +105,7 @@ def top_states(states: DataFrame, n: int = 15) -> DataFrame:
 def payment_mix(bi: DataFrame) -> DataFrame:
     """Orders and value per primary payment type with the share of all orders."""
     mix = _revenue_by(bi, "primary_payment_type")
-    everything = mix.agg(F.sum("order_count").alias("orders")).scalar()
+    everything = F.sum("order_count").over(Window.partitionBy())  # one row per payment type
     return mix.withColumn("order_share", F.col("order_count") / everything).orderBy(
         F.desc("order_count"), F.asc("primary_payment_type")
     )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import UNKNOWN
 from ordermill.functions.months import month_key
-from ordermill.functions.numeric import flag, from_ticks, money_sum, ratio, ticks
+from ordermill.functions.numeric import flag, from_ticks, in_ticks, money_sum, ratio, ticks
 from ordermill.operators.skew import join_one
 
 DELIVERED = "delivered"
@@ -109,10 +109,26 @@ def item_totals(items: DataFrame, count_lines: bool = False) -> DataFrame:
 
 
 def payment_types(payments: DataFrame) -> DataFrame:
-    """Paid ticks and first sequence number per order and payment type."""
-    return payments.groupBy("order_id", "payment_type").agg(
-        F.sum(ticks("payment_value")).alias("type_value"),
-        F.min("payment_sequential").alias("first_sequence"),
+    """Paid total and first sequence number per order and payment type.
+
+    The total also comes in its two parts, whole ten-thousandths and the
+    amounts that are none, so that totals over types stay exact.
+    """
+    paid = F.col("payment_value")
+    exact = in_ticks(paid)
+    rest = F.coalesce(F.sum(F.when(~exact, paid.cast("double"))), F.lit(0.0))
+    return (
+        payments.groupBy("order_id", "payment_type")
+        .agg(
+            F.sum(F.when(exact, ticks(F.when(exact, paid)))).alias("type_ticks"),
+            rest.alias("type_rest"),
+            F.count("payment_value").alias("type_rows"),
+            F.min("payment_sequential").alias("first_sequence"),
+        )
+        .withColumn(
+            "type_value",
+            F.when(F.col("type_rows") > 0, from_ticks(F.coalesce("type_ticks", F.lit(0))) + F.col("type_rest")),
+        )
     )
 
 
@@ -133,11 +149,16 @@ def payments_by_type(payments: DataFrame) -> DataFrame:
         F.desc("type_value"), F.asc("first_sequence"), F.asc("payment_type")
     )
     whole_order = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def over_order(name: str) -> Column:
+        return F.coalesce(F.sum(name).over(whole_order), F.lit(0))
+
+    total = from_ticks(over_order("type_ticks")) + over_order("type_rest")
     return (
         payment_types(payments)
         .select(
             "order_id",
-            from_ticks(F.sum("type_value").over(whole_order)).alias("payment_total"),
+            F.when(over_order("type_rows") > 0, total).alias("payment_total"),
             F.col("payment_type").alias("primary_payment_type"),
             F.row_number().over(ranked).alias("_place"),
         )
@@ -146,28 +167,23 @@ def payments_by_type(payments: DataFrame) -> DataFrame:
     )
 
 
-def primary_payment_by_row(payments: DataFrame) -> DataFrame:
-    """Type of the largest *single* payment of each order.
+def _largest_payment() -> Column:
+    """Type of the largest single payment; the earlier one and then the alphabet on ties."""
+    paid = F.col("payment_value").cast("double")
+    first = F.struct(paid.isNull(), -paid, "payment_sequential", "payment_type")
+    return F.min_by("payment_type", first).alias("primary_payment_type")
 
-    Spark keeps only the first row per order already before the shuffle, so an
-    order with very many payments does not end up in one task.
-    """
-    ranked = Window.partitionBy("order_id").orderBy(
-        F.desc("payment_value"), F.asc("payment_sequential"), F.asc("payment_type")
-    )
-    return (
-        payments.select(
-            "order_id",
-            F.col("payment_type").alias("primary_payment_type"),
-            F.row_number().over(ranked).alias("_place"),
-        )
-        .where("_place = 1")
-        .drop("_place")
-    )
+
+def primary_payment_by_row(payments: DataFrame) -> DataFrame:
+    """Type of the largest *single* payment of each order; rows are combined before the shuffle."""
+    return payments.groupBy("order_id").agg(_largest_payment())
 
 
 def payments_by_row(payments: DataFrame) -> DataFrame:
-    return payment_totals(payments).join(primary_payment_by_row(payments), "order_id", "left")
+    """Paid total and type of the largest single payment, from one pass over the payments."""
+    return payments.groupBy("order_id").agg(
+        money_sum("payment_value").alias("payment_total"), _largest_payment()
+    )
 
 
 def review_means(reviews: DataFrame) -> DataFrame:
@@ -254,4 +270,4 @@ def master_orders_by_row(
     facts = with_customers(orders, customers)
     facts = with_item_totals(facts, items, count_lines=True)
     facts = with_payments(facts, payments_by_row(payments))
-    return with_reviews(facts, reviews, missing_score=0.0).dropDuplicates(["order_id"])
+    return with_reviews(facts, reviews, missing_score=0.0)

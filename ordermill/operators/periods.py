@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.months import month_start
@@ -26,9 +26,10 @@ def period_coverage(master: DataFrame) -> DataFrame:
     )
 
 
-def _first_and_last(monthly: DataFrame) -> Column:
-    key = "order_year_month"
-    return monthly.agg(F.struct(F.min(key).alias("first"), F.max(key).alias("last"))).scalar()
+def _first_and_last() -> tuple[Column, Column]:
+    """The first and last month, over the few rows of a table with one row per month."""
+    months = Window.partitionBy()
+    return F.min("order_year_month").over(months), F.max("order_year_month").over(months)
 
 
 def flag_period_quality(
@@ -40,8 +41,8 @@ def flag_period_quality(
     last month when its last purchase comes before the month's last day.
     """
     key = F.col("order_year_month")
-    bounds = _first_and_last(monthly)
-    opens, closes = key == bounds["first"], key == bounds["last"]
+    first, last = _first_and_last()
+    opens, closes = key == F.col("_first"), key == F.col("_last")
     partial = F.lit(False)
     if "first_purchase" in monthly.columns:
         partial = partial | (opens & (F.dayofmonth("first_purchase") > 1))
@@ -50,7 +51,8 @@ def flag_period_quality(
         partial = partial | (closes & (F.dayofmonth("last_purchase") < month_end))
     volume = F.coalesce(as_column(order_col), F.lit(0))
     return (
-        monthly.withColumns(
+        monthly.withColumns({"_first": first, "_last": last})
+        .withColumns(
             {
                 order_col: volume,
                 "is_partial_period": F.coalesce(partial, F.lit(False)),
@@ -61,6 +63,7 @@ def flag_period_quality(
             "is_comparable_period",
             ~(F.col("is_partial_period") | F.col("is_low_volume_period")),
         )
+        .drop("_first", "_last")
     )
 
 
@@ -71,11 +74,11 @@ def edge_period_flags(master: DataFrame, min_orders: int = MIN_PERIOD_ORDERS) ->
         .groupBy("order_year_month")
         .agg(F.count("order_id").alias("order_count"))
     )
-    bounds = _first_and_last(coverage)
+    first, last = _first_and_last()
     key = F.col("order_year_month")
     return coverage.select(
         "order_year_month",
         "order_count",
-        ((key == bounds["first"]) | (key == bounds["last"])).alias("is_partial_period"),
+        ((key == first) | (key == last)).alias("is_partial_period"),
         (F.col("order_count") < min_orders).alias("is_low_volume_period"),
     )

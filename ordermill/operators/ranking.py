@@ -24,11 +24,15 @@ def _sorted_slices(df: DataFrame, order: list[Column]) -> DataFrame:
     Written out because slice bounds come from sampling: all later uses must
     see the same slices, also after a lost executor.
     """
-    numbered = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    numbered = df.orderBy(*order).withColumns(
+        {"_id": F.monotonically_increasing_id(), "_task": F.spark_partition_id().cast("bigint")}
+    )
+    own = F.col("_id") - F.shiftleft(F.col("_task"), _LOCAL_BITS)
+    full = F.raise_error(F.lit("a slice holds more rows than it can number: sort into more partitions"))
     placed = numbered.select(
         *df.columns,
-        F.shiftright("_id", _LOCAL_BITS).alias("_slice"),
-        F.col("_id").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_local"),
+        F.col("_task").alias("_slice"),
+        F.when(own < (1 << _LOCAL_BITS), own).otherwise(full.cast("bigint")).alias("_local"),
     )
     return materialize(placed, "sorted")
 
@@ -61,9 +65,15 @@ def descending(column: str) -> Column:
 
 
 def _sort_key(value: Column, missing: int) -> Column:
+    """Measures of any numeric type in one column: the double puts them in order, and
+    the decimal tells apart whole numbers and decimals that share a double."""
     absent = F.when(value.isNull(), missing).otherwise(0)
+    inexact = F.typeof(value).isin("double", "float")
+    exact = F.when(inexact, F.lit(None)).otherwise(value.try_cast("decimal(38,10)"))
     return F.struct(
-        absent.alias("absent"), F.coalesce(value.cast("double"), F.lit(0.0)).alias("value")
+        absent.alias("absent"),
+        F.coalesce(value.cast("double"), F.lit(0.0)).alias("value"),
+        F.coalesce(exact, F.lit(0).cast("decimal(38,10)")).alias("exact"),
     )
 
 

@@ -5,20 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 256  # a key is hot when it holds at least 1/256 of the rows
-SALTS = 64
+HOT_MEANS = 2  # a key is hot when it holds more rows than so many mean partitions
+SUB_KEYS = 4  # for each mean partition that a hot key holds
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> Column:
-    """Keys holding at least ``1/share`` of the rows, as an array of at most ``share`` values.
+def partition_count(df: DataFrame) -> int:
+    """Shuffle partitions of the session: what a join deals its rows to."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    A one-pass frequent-items sketch over the key column alone, so finding
-    them needs no shuffle of the keys. The sketch only decides which keys are
-    spread; the join result does not depend on it.
+
+def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> Column:
+    """Keys that would overfill a partition, as a map from key to its number of sub-keys.
+
+    A key is hot when it holds more than ``HOT_MEANS`` times the mean share of
+    ``partitions`` (by default those of a shuffle), and gets ``SUB_KEYS`` sub-keys
+    for each mean share it holds, so that they fall evenly on the partitions. A one-pass frequent-items sketch over the key column
+    alone finds them, so it needs no shuffle of the keys. The sketch only
+    decides which keys are spread; the join result does not depend on it.
     """
-    tracked = F.call_function("approx_top_k", F.col(key), F.lit(share), F.lit(share * 64))
-    frequent = F.filter(tracked, lambda entry: entry["count"] * share >= F.count(F.lit(1)))
-    return df.agg(F.transform(frequent, lambda entry: entry["item"]).alias("hot")).scalar()
+    parts = partitions or partition_count(df)
+    most = max(2, -(-parts // HOT_MEANS))
+    tracked = F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(min(most * 64, 1_000_000)))
+    rows = F.count(F.lit(1))
+    frequent = F.filter(tracked, lambda entry: entry["item"].isNotNull() & (entry["count"] * parts > rows * HOT_MEANS))
+    spread = F.transform(
+        frequent,
+        lambda entry: F.struct(
+            entry["item"].alias("key"), F.ceil(entry["count"] * parts * SUB_KEYS / rows).cast("int").alias("value")
+        ),
+    )
+    return df.agg(F.map_from_entries(spread).alias("hot")).scalar()
 
 
 def join_one(
@@ -27,26 +43,24 @@ def join_one(
     key: str,
     spread_on: str,
     how: str = "left",
-    salts: int = SALTS,
     hot: Column | None = None,
 ) -> DataFrame:
     """Equi-join ``fact`` with a table holding one row per ``key``.
 
-    Fact rows of a hot key are spread over ``salts`` sub-keys by the hash of
+    Fact rows of a hot key are spread over its sub-keys by the hash of
     ``spread_on``; the matching row of ``one`` is repeated once per sub-key.
-    All other keys keep a single sub-key, so ``one`` grows by at most
-    ``HOT_SHARE * salts`` rows. Rows without a key match nothing and are
-    spread as well.
+    All other keys keep a single sub-key, so ``one`` grows by at most about
+    ``SUB_KEYS`` rows for each partition. Rows without a key match nothing
+    and are spread as well.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     hot = hot_keys(fact, key) if hot is None else hot
-    is_hot = F.array_contains(hot, F.col(key))
-    loose = is_hot | F.col(key).isNull()
-    spread = F.when(loose, F.pmod(F.xxhash64(spread_on), F.lit(salts)).cast("int")).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    parts = F.coalesce(F.element_at(hot, F.col(key)), F.lit(1))
+    salts = F.when(F.col(key).isNull(), F.lit(partition_count(fact))).otherwise(parts)
+    spread = F.pmod(F.xxhash64(spread_on), salts).cast("int")
     return (
         fact.withColumn("_salt", spread)
-        .join(one.withColumn("_salt", F.explode(copies)), [key, "_salt"], how)
+        .join(one.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))), [key, "_salt"], how)
         .drop("_salt")
     )

@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 from ordermill.operators import backtest, checks
 from ordermill.plans.presentation import means, show
 from ordermill.plans.shop import Shop, sql
+from ordermill.sources.scratch import materialize
 
 _METRICS = "mae rmse wape smape mape r2"
 _MONTHLY_COLUMNS = (
     "forecast_month, forecast_month_label, actual_units, evaluated_rows, category_count,"
-    f" {means('naive_prediction', 'boosted_prediction', 'champion_prediction', 'champion_abs_error')}"
+    f" {means('naive_prediction', 'moving_average_prediction', 'champion_prediction', 'champion_abs_error')}"
 )
 _CATEGORY_SQL = """SELECT category_name_english, sum(target_units) AS actual_units, sum(naive_prediction) AS naive_prediction,
-    round(sum(rolling_mean_3), 6) AS boosted_prediction, sum(naive_prediction) AS champion_prediction,
-    sum(abs(target_units - naive_prediction)) AS absolute_error, count(*) AS evaluated_rows,
+    round(sum(moving_average_prediction), 6) AS moving_average_prediction, round(sum(champion_prediction), 6) AS champion_prediction,
+    round(sum(abs(target_units - champion_prediction)), 6) AS absolute_error, count(*) AS evaluated_rows,
     count(DISTINCT forecast_month) AS forecast_month_count,
-    round(sum(abs(target_units - naive_prediction)) / greatest(count(*), 1), 6) AS mae FROM bt_naive GROUP BY 1"""
+    round(sum(abs(target_units - champion_prediction)) / greatest(count(*), 1), 6) AS mae FROM bt_pred GROUP BY 1"""
+_CATEGORY_ROUNDED = "moving_average_prediction champion_prediction absolute_error mae"
 
 _METRIC_SQL = """round(avg(abs(target_units - prediction)), 6) AS mae,
     round(sqrt(avg(pow(target_units - prediction, 2))), 6) AS rmse,
@@ -30,22 +32,69 @@ _METRIC_SQL = """round(avg(abs(target_units - prediction)), 6) AS mae,
 
 
 def _boosted(shop: Shop):
+    """All but the value of the forecast, which no other engine's trees reproduce."""
     predictions = backtest.boosted_backtest(shop.stored_backtest_input)
     return predictions.select(
         "category_name_english", "forecast_month", "fold", "train_rows",
-        "max_train_forecast_month", "target_units", "naive_prediction", "boosted_prediction",
+        "max_train_forecast_month", "target_units", "naive_prediction",
+        F.coalesce(F.col("boosted_prediction") >= 0, F.lit(False)).alias("boosted_usable"),
     )
 
 
+def _stored_artifacts(shop: Shop) -> dict:
+    """Results written out and read back, as a later audit finds them."""
+    predictions = materialize(shop.compared_predictions, "predictions")
+    results = {
+        "monthly": backtest.backtest_monthly(predictions),
+        "category_errors": backtest.backtest_category_errors(predictions),
+        "fold_metrics": backtest.fold_metrics(predictions),
+    }
+    return {"predictions": predictions} | {name: materialize(df, name) for name, df in results.items()}
+
+
 def _audit(shop: Shop):
-    predictions = shop.compared_predictions
-    return checks.backtest_audit(
-        predictions,
-        backtest.backtest_monthly(predictions),
-        backtest.backtest_category_errors(predictions),
-        backtest.fold_metrics(predictions),
-        shop.stored_backtest_input,
-    )
+    """The stored results, and the same with one total, one error and one label altered."""
+    stored = _stored_artifacts(shop)
+    month = stored["monthly"].agg(F.min("forecast_month")).scalar()
+    category = stored["category_errors"].agg(F.min("category_name_english")).scalar()
+    altered = stored | {
+        "monthly": stored["monthly"].withColumns({
+            "actual_units": F.col("actual_units") + F.when(F.col("forecast_month") == month, 1.0).otherwise(0.0),
+            "forecast_month_label": F.when(F.col("forecast_month") == month, F.col("forecast_month")).otherwise(
+                F.col("forecast_month_label")
+            ),
+        }),
+        "category_errors": stored["category_errors"].withColumn(
+            "absolute_error",
+            F.col("absolute_error") + F.when(F.col("category_name_english") == category, 1.0).otherwise(0.0),
+        ),
+        "fold_metrics": stored["fold_metrics"].withColumn("max_train_forecast_month", F.col("forecast_month")),
+    }
+
+    def audited(artifacts: dict, name: str):
+        found = checks.backtest_audit(**artifacts, inputs=shop.stored_backtest_input)
+        return found.select(F.lit(name).alias("artifacts"), "check_name", "passed")
+
+    return audited(stored, "stored").unionAll(audited(altered, "altered"))
+
+
+# What each check comes to: over the tables themselves, and where an altered table must fail.
+_AUDIT_SQL = {
+    "prediction_columns": ("true", "true"),
+    "target_period_comparability_flags": ("true", "true"),
+    "one_forecast_month_per_prediction": ("(SELECT count(*) = 0 FROM bt_pred WHERE forecast_month IS NULL)",) * 2,
+    "naive_equals_lag_1": ("(SELECT count(*) = 0 FROM bt_pred WHERE NOT coalesce(abs(naive_prediction - lag_1) <= 1e-7, false))",) * 2,
+    "no_train_row_reaches_validation_month": (
+        "(SELECT count(*) = 0 FROM bt_pred WHERE NOT coalesce(max_train_forecast_month < forecast_month, false))",
+    ) * 2,
+    "fold_metric_train_cutoff": (
+        "(SELECT count(*) = 0 FROM bt_folds WHERE NOT coalesce(max_train_forecast_month < forecast_month, false))",
+        "(SELECT count(*) = 0 FROM bt_folds WHERE NOT coalesce(forecast_month < forecast_month, false))",
+    ),
+    "monthly_totals_match_predictions": ("true", "(SELECT count(*) = 0 FROM bt_pred)"),
+    "category_errors_match_predictions": ("true", "(SELECT count(*) = 0 FROM bt_pred)"),
+    "monthly_labels_are_month_names": ("true", "(SELECT count(*) = 0 FROM bt_pred)"),
+}
 
 
 def _metrics(shop: Shop):
@@ -86,7 +135,14 @@ QUERIES = {
         lambda shop: show(shop.naive_predictions, rounded="rolling_mean_3"),
         sql(f"SELECT * EXCLUDE (rolling_mean_3), {means('rolling_mean_3')} FROM bt_naive", "bt_naive"),
     ),
-    "gbt_backtest": (_boosted, None),
+    "gbt_backtest": (
+        _boosted,
+        sql(
+            """SELECT category_name_english, forecast_month, fold, train_rows, max_train_forecast_month,
+            target_units, naive_prediction, true AS boosted_usable FROM bt_naive""",
+            "bt_naive",
+        ),
+    ),
     "backtest_metrics": (
         _metrics,
         sql(
@@ -108,61 +164,60 @@ QUERIES = {
     ),
     "champion": (
         lambda shop: show(
-            backtest.champion(backtest.pooled_metrics(shop.compared_predictions)),
+            backtest.champion(backtest.pooled_metrics(shop.compared_predictions), backtest.MOVING),
             rounded="naive_mae challenger_mae",
         ),
         sql(
             f"""SELECT CASE WHEN c.mae < n.mae AND (c.wape, c.mae, c.rmse) < (n.wape, n.mae, n.rmse)
-              THEN 'boosted_trees' ELSE 'naive_lag_1' END AS champion_model, n.mae AS naive_mae, c.mae AS challenger_mae
+              THEN 'moving_average' ELSE 'naive_lag_1' END AS champion_model, n.mae AS naive_mae, c.mae AS challenger_mae
             FROM (SELECT {_METRIC_SQL} FROM bt_models WHERE model = 'naive_lag_1') n,
-                 (SELECT {_METRIC_SQL} FROM bt_models WHERE model = 'boosted_trees') c""",
+                 (SELECT {_METRIC_SQL} FROM bt_models WHERE model = 'moving_average') c""",
             "bt_models",
         ),
     ),
     "backtest_monthly": (
         lambda shop: show(
             backtest.backtest_monthly(shop.compared_predictions),
-            rounded="naive_prediction boosted_prediction champion_prediction champion_abs_error",
+            rounded="naive_prediction moving_average_prediction champion_prediction champion_abs_error",
         ),
         sql(
             f"""SELECT {_MONTHLY_COLUMNS} FROM (SELECT forecast_month,
             strftime(CAST(concat(forecast_month, '-01') AS DATE), '%b %Y') AS forecast_month_label,
             sum(target_units) AS actual_units, count(*) AS evaluated_rows, count(DISTINCT category_name_english) AS category_count,
-            sum(naive_prediction) AS naive_prediction, sum(rolling_mean_3) AS boosted_prediction, sum(naive_prediction) AS champion_prediction,
-            abs(sum(target_units) - sum(naive_prediction)) AS champion_abs_error FROM bt_naive GROUP BY 1)""",
-            "bt_naive",
+            sum(naive_prediction) AS naive_prediction, sum(moving_average_prediction) AS moving_average_prediction,
+            sum(champion_prediction) AS champion_prediction,
+            abs(sum(target_units) - sum(champion_prediction)) AS champion_abs_error FROM bt_pred GROUP BY 1)""",
+            "bt_pred",
         ),
     ),
     "backtest_category_errors": (
         lambda shop: show(
             backtest.backtest_category_errors(shop.compared_predictions),
-            rounded="boosted_prediction mae",
+            rounded=_CATEGORY_ROUNDED,
         ),
-        sql(_CATEGORY_SQL, "bt_naive"),
+        sql(_CATEGORY_SQL, "bt_pred"),
     ),
     "top_category_errors": (
         lambda shop: show(
             backtest.top_category_errors(
                 backtest.backtest_category_errors(shop.compared_predictions)
             ),
-            rounded="boosted_prediction mae",
+            rounded=_CATEGORY_ROUNDED,
         ),
         sql(
             f"SELECT * FROM ({_CATEGORY_SQL}) ORDER BY absolute_error DESC, actual_units DESC, category_name_english LIMIT 20",
-            "bt_naive",
+            "bt_pred",
         ),
     ),
     "backtest_audit": (
         _audit,
-        " UNION ALL ".join(
-            f"SELECT '{name}' AS check_name, true AS passed"
-            for name in (
-                "prediction_columns", "target_period_comparability_flags",
-                "one_forecast_month_per_prediction", "naive_equals_lag_1",
-                "no_train_row_reaches_validation_month", "fold_metric_train_cutoff",
-                "monthly_totals_match_predictions", "category_errors_match_predictions",
-                "monthly_labels_are_month_names",
-            )
+        sql(
+            " UNION ALL ".join(
+                f"SELECT '{artifacts}' AS artifacts, '{name}' AS check_name, {rules[place]} AS passed"
+                for place, artifacts in enumerate(("stored", "altered"))
+                for name, rules in _AUDIT_SQL.items()
+            ),
+            "bt_pred", "bt_folds",
         ),
     ),
 }

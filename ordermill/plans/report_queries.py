@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordermill.operators import marts, orders, periods, rfm, sellers
+from ordermill.operators import demand, marts, orders, periods, revenue, rfm, sellers
 from ordermill.plans.presentation import means, show, times
 from ordermill.plans.shop import MIN_ORDERS, Shop, sql
 
@@ -46,19 +46,29 @@ def _delivery(shop: Shop):
     return marts.delivery_performance(shop.clean_orders, shop.coverage, MIN_DELIVERED)
 
 
+def all_layers(shop: Shop) -> dict:
+    """Every table of every layer; the facts are written once and read by what is built on them."""
+    return {
+        "bronze": shop.raw_tables,
+        "silver": {
+            "orders": shop.clean_orders,
+            "order_items": shop.clean_items,
+            "master_orders": shop.stored_master,
+            "customer_profile": shop.stored_profile,
+            "product_demand": shop.stored_demand,
+            "seller_performance": shop.seller_performance,
+        },
+        "gold": {
+            "demand_features": demand.demand_features(shop.stored_demand),
+            "churn_features": shop.churn,
+            "rfm_segments": shop.rfm,
+            "bi_revenue": revenue.bi_revenue(shop.stored_master),
+        },
+    }
+
+
 def _layer_counts(shop: Shop):
-    return marts.layer_row_counts(
-        {
-            "bronze": shop.raw_tables,
-            "silver": {
-                "orders": shop.clean_orders,
-                "order_items": shop.clean_items,
-                "seller_performance": shop.seller_performance,
-                "product_demand": shop.demand,
-            },
-            "gold": {"bi_revenue": shop.bi},
-        }
-    )
+    return marts.layer_row_counts(all_layers(shop))
 
 
 def _count_sql(pairs: dict[str, str], first: str = "") -> str:
@@ -80,11 +90,22 @@ RAW_SQL = {
     "geolocation": "v_geolocation",
     "category_translation": "v_translation",
 }
-_SILVER_SQL = {
-    "orders": "c_orders",
-    "order_items": "c_items",
-    "seller_performance": "seller_perf",
-    "product_demand": "demand",
+LAYER_SQL = {
+    "bronze": RAW_SQL,
+    "silver": {
+        "orders": "c_orders",
+        "order_items": "c_items",
+        "master_orders": "master",
+        "customer_profile": "profile",
+        "product_demand": "demand",
+        "seller_performance": "seller_perf",
+    },
+    "gold": {
+        "demand_features": "features",
+        "churn_features": "churn",
+        "rfm_segments": "rfm",
+        "bi_revenue": "bi",
+    },
 }
 
 
@@ -247,10 +268,8 @@ QUERIES = {
     "layer_row_counts": (
         _layer_counts,
         sql(
-            " UNION ALL ".join(
-                [_count_sql(RAW_SQL, "bronze"), _count_sql(_SILVER_SQL, "silver"), _count_sql({"bi_revenue": "bi"}, "gold")]
-            ),
-            *RAW_SQL.values(), *_SILVER_SQL.values(), "bi",
+            " UNION ALL ".join(_count_sql(tables, layer) for layer, tables in LAYER_SQL.items()),
+            *[source for tables in LAYER_SQL.values() for source in tables.values()],
         ),
     ),
     "export_manifest": (

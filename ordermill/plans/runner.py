@@ -9,15 +9,16 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.operators import churn, customers, demand, orders, revenue, rfm, sellers
+from ordermill.operators import churn, customers, demand, marts, orders, periods, revenue, rfm, sellers
 from ordermill.sources.contract import RAW_TABLES
 from ordermill.sources.ingest import ingest_source
 from ordermill.sources.readers import read_table, without_metadata
-from ordermill.sources.scratch import drop_scratch
-from ordermill.sources.writers import write_table
+from ordermill.sources.scratch import scratch_run
+from ordermill.sources.writers import write_csv_report, write_json_report, write_table
 
 STATUS = "layer string, table_name string, status string, row_count bigint, duration_s double, error string"
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold", "export")
+VARIANTS = ("standard", "study")
 PARTITIONS = {
     "silver/orders": ["order_year_month"],
     "silver/master_orders": ["order_year_month"],
@@ -55,20 +56,26 @@ def bronze_steps(store: Store, sources: Mapping[str, str]) -> dict[str, Callable
     }
 
 
-def silver_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
+def silver_steps(store: Store, variant: str = "standard") -> dict[str, Callable[[], DataFrame]]:
     raw = lambda name: store.read(f"bronze/{name}")
     done = lambda name: store.read(f"silver/{name}")
+    study = variant == "study"
+    facts = orders.master_orders_by_row if study else orders.master_orders
+    profile = customers.customer_profile_first_order if study else customers.customer_profile
+    two_level = sellers.seller_performance_two_level if study else sellers.seller_performance
     return {
-        "orders": lambda: orders.clean_orders(orders.require_unique(raw("orders"), "order_id", "orders")),
+        "orders": lambda: orders.clean_orders(
+            orders.require_unique(raw("orders"), "order_id", "orders"), delivered_only=study
+        ),
         "order_items": lambda: orders.clean_order_items(raw("order_items")),
-        "master_orders": lambda: orders.master_orders(
+        "master_orders": lambda: facts(
             done("orders"), done("order_items"), raw("payments"), raw("reviews"), raw("customers")
         ),
-        "customer_profile": lambda: customers.customer_profile(done("master_orders")),
+        "customer_profile": lambda: profile(done("master_orders")),
         "product_demand": lambda: demand.product_demand(
             done("order_items"), done("orders"), raw("products"), raw("category_translation")
         ),
-        "seller_performance": lambda: sellers.seller_performance(
+        "seller_performance": lambda: two_level(
             done("order_items"), done("master_orders"), raw("sellers")
         ),
     }
@@ -80,8 +87,20 @@ def _churn(store: Store) -> DataFrame:
     return churn.churn_features(master, store.read("bronze/reviews"), bounds)
 
 
-def gold_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
+def _study_churn(store: Store) -> DataFrame:
+    return churn.churn_features_first_known(store.read("silver/master_orders"))
+
+
+def gold_steps(store: Store, variant: str = "standard") -> dict[str, Callable[[], DataFrame]]:
     done = lambda name: store.read(f"silver/{name}")
+    if variant == "study":
+        return {
+            "demand_history": lambda: demand.demand_history(done("product_demand")),
+            "demand_features": lambda: demand.demand_features_calendar(done("product_demand"), done("orders")),
+            "churn_features": lambda: _study_churn(store),
+            "rfm_segments": lambda: rfm.rfm_segments_by_rank(done("customer_profile")),
+            "bi_revenue": lambda: revenue.bi_revenue_delivered(done("master_orders")),
+        }
     return {
         "demand_features": lambda: demand.demand_features(done("product_demand")),
         "churn_features": lambda: _churn(store),
@@ -90,6 +109,60 @@ def gold_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
+def export_reports(store: Store) -> dict[str, Callable[[], DataFrame]]:
+    """The report tables by file name, from the stored layers."""
+    silver = lambda name: store.read(f"silver/{name}")
+    gold = lambda name: store.read(f"gold/{name}")
+
+    def coverage() -> DataFrame:
+        return periods.flag_period_quality(periods.period_coverage(silver("orders")))
+
+    def delivery() -> DataFrame:
+        return marts.delivery_performance(silver("orders"), coverage())
+
+    return {
+        "period_quality.csv": coverage,
+        "monthly_revenue.csv": lambda: marts.monthly_revenue(gold("bi_revenue"), coverage()),
+        "state_revenue.csv": lambda: marts.state_revenue(gold("bi_revenue")),
+        "payment_mix.csv": lambda: marts.payment_mix(gold("bi_revenue")),
+        "delivery_performance.csv": delivery,
+        "delivery_trend.csv": lambda: marts.delivery_trend(delivery()),
+        "rfm_distribution.csv": lambda: rfm.rfm_distribution(gold("rfm_segments")),
+        "rfm_profiles.csv": lambda: rfm.rfm_profiles(gold("rfm_segments")),
+        "seller_ranking.csv": lambda: sellers.seller_ranking(silver("seller_performance")),
+        "demand_history.csv": lambda: demand.demand_history(silver("product_demand")),
+        "churn_summary.json": lambda: churn.churn_summary(gold("churn_features")),
+        "overview_kpis.json": lambda: marts.overview_kpis(silver("master_orders")),
+    }
+
+
+def export_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
+    """Write every report below ``export`` and read it back; the manifest, last, lists them all."""
+    reports = export_reports(store)
+
+    def written(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        path = store.path(f"export/{name}")
+        if name.endswith(".json"):
+            write_json_report(build(), path)
+            return store.spark.read.json(path)
+        write_csv_report(build(), path)
+        return store.spark.read.option("header", True).csv(path)
+
+    def manifest() -> DataFrame:
+        again = {
+            name: store.spark.read.json(store.path(f"export/{name}"))
+            if name.endswith(".json")
+            else store.spark.read.option("header", True).csv(store.path(f"export/{name}"))
+            for name in reports
+        }
+        listed = marts.row_counts(again, name="filename")
+        write_csv_report(listed, store.path("export/manifest.csv"))
+        return listed
+
+    steps = {name: (lambda name=name, build=build: written(name, build)) for name, build in reports.items()}
+    return steps | {"manifest.csv": manifest}
+
+
 def run_steps(store: Store, layer: str, steps: Mapping[str, Callable[[], DataFrame]]) -> list[tuple]:
     """Build and write every table; a failing step is reported and the rest goes on."""
     results = []
@@ -97,7 +170,7 @@ def run_steps(store: Store, layer: str, steps: Mapping[str, Callable[[], DataFra
         started = time.monotonic()
         status, rows, error = "SUCCESS", None, None
         try:
-            written = store.write(f"{layer}/{name}", build())
+            written = build() if layer == "export" else store.write(f"{layer}/{name}", build())
             rows = written.count()
             if f"{layer}/{name}" == "silver/master_orders":
                 orders.require_unique(written, "order_id", "master_orders")
@@ -113,18 +186,27 @@ def run_layers(
     sources: Mapping[str, str] | None = None,
     layers: tuple[str, ...] = LAYERS,
     fmt: str = "parquet",
+    variant: str = "standard",
 ) -> DataFrame:
-    """Run the chosen layers in order; one status row per table."""
+    """Run the chosen layers in order; one status row per table.
+
+    ``variant`` "study": single-row payments, calendar lags, percent-rank
+    segments, delivered revenue and the panel of the fixed study window.
+    Intermediate tables of the run are deleted at its end, no others.
+    """
+    if variant not in VARIANTS:
+        raise ValueError(f"unknown variant: {variant}")
     store = Store(spark, root, fmt)
     steps = {
         "bronze": lambda: bronze_steps(store, sources or {}),
-        "silver": lambda: silver_steps(store),
-        "gold": lambda: gold_steps(store),
+        "silver": lambda: silver_steps(store, variant),
+        "gold": lambda: gold_steps(store, variant),
+        "export": lambda: export_steps(store),
     }
     results = []
-    for layer in layers:
-        results += run_steps(store, layer, steps[layer]())
-    drop_scratch(spark)
+    with scratch_run(spark):
+        for layer in layers:
+            results += run_steps(store, layer, steps[layer]())
     return spark.createDataFrame(results, STATUS)
 
 
@@ -138,12 +220,13 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="folder of the tables")
     parser.add_argument("--raw", help="folder with one <table>.csv per raw table")
     parser.add_argument("--format", default="parquet")
+    parser.add_argument("--variant", choices=VARIANTS, default="standard")
     options = parser.parse_args(argv)
     spark = SparkSession.builder.appName("ordermill").getOrCreate()
     raw = (options.raw or "").rstrip("/")
     sources = {name: f"{raw}/{name}.csv" for name in RAW_TABLES} if raw else {}
     layers = LAYERS if options.layer == "all" else (options.layer,)
-    status = run_layers(spark, options.root, sources, layers, options.format)
+    status = run_layers(spark, options.root, sources, layers, options.format, options.variant)
     status.drop("error").show(100, truncate=False)
     return exit_code(status)
 

@@ -310,11 +310,9 @@ class Shop:
 
     @cached_property
     def compared_predictions(self) -> DataFrame:
-        """Naive rows next to a moving-average challenger and the naive champion."""
-        challenger = F.col("rolling_mean_3")
-        return backtest.with_champion(
-            self.naive_predictions.withColumn("boosted_prediction", challenger)
-        )
+        """Naive rows next to a moving average, and the better of the two."""
+        average = self.naive_predictions.withColumn("moving_average_prediction", F.col("rolling_mean_3"))
+        return backtest.with_champion(average, backtest.MOVING)
 
     @cached_property
     def monthly_revenue(self) -> DataFrame:
@@ -706,6 +704,11 @@ CTES: dict[str, tuple[str, str]] = {
             count(*) FILTER (WHERE order_status = 'delivered' AND is_late = 1) AS late_delivered_order_count
             FROM c_orders WHERE order_year_month IS NOT NULL GROUP BY 1) o LEFT JOIN coverage USING (order_year_month))""",
     ),
+    "numbered": (
+        "demand",
+        """SELECT category_name_english, order_year_month, monthly_units,
+        row_number() OVER (PARTITION BY category_name_english ORDER BY order_year_month) AS place FROM demand""",
+    ),
     "bt_input": (
         "features coverage",
         """SELECT f.category_name_english, f.forecast_month, f.feature_cutoff_month, CAST(target_units AS DOUBLE) AS target_units,
@@ -731,7 +734,22 @@ CTES: dict[str, tuple[str, str]] = {
     "bt_models": (
         "bt_naive",
         """SELECT *, 'naive_lag_1' AS model, naive_prediction AS prediction FROM bt_naive
-        UNION ALL SELECT *, 'boosted_trees', rolling_mean_3 FROM bt_naive""",
+        UNION ALL SELECT *, 'moving_average', rolling_mean_3 FROM bt_naive""",
+    ),
+    "bt_champion": (
+        "bt_models",
+        """SELECT CASE WHEN c.mae < n.mae AND (c.wape, c.mae, c.rmse) < (n.wape, n.mae, n.rmse)
+        THEN 'moving_average' ELSE 'naive_lag_1' END AS model
+        FROM (SELECT avg(abs(target_units - prediction)) AS mae, sqrt(avg(pow(target_units - prediction, 2))) AS rmse,
+            sum(abs(target_units - prediction)) / greatest(sum(abs(target_units)), 1.0) AS wape FROM bt_models WHERE model = 'naive_lag_1') n,
+        (SELECT avg(abs(target_units - prediction)) AS mae, sqrt(avg(pow(target_units - prediction, 2))) AS rmse,
+            sum(abs(target_units - prediction)) / greatest(sum(abs(target_units)), 1.0) AS wape FROM bt_models WHERE model = 'moving_average') c""",
+    ),
+    "bt_pred": (
+        "bt_naive bt_champion",
+        """SELECT *, rolling_mean_3 AS moving_average_prediction,
+        CASE WHEN (SELECT model FROM bt_champion) = 'moving_average' THEN rolling_mean_3 ELSE naive_prediction END AS champion_prediction
+        FROM bt_naive""",
     ),
 }
 
@@ -748,5 +766,5 @@ def sql(select: str, *names: str) -> str:
 
     for name in names:
         need(name)
-    definitions = ",\n".join(f"{name} AS ({CTES[name][1]})" for name in ordered)
+    definitions = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name][1]})" for name in ordered)
     return f"WITH {definitions}\n{select}" if ordered else select

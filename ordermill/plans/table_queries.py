@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ordermill.functions.labels import category_label, mask_identifier
+from ordermill.functions.labels import mask_identifier
 from ordermill.functions.numeric import ratio
 from ordermill.operators import churn, customers, demand, orders, revenue, rfm, sellers
 from ordermill.plans.presentation import means, show, times
@@ -71,9 +71,7 @@ def _fill_defaults(shop: Shop):
 
 
 def _category_fallback(shop: Shop):
-    label = category_label("product_category_name", "product_category_name_english")
-    joined = shop.products.join(shop.translation, "product_category_name", "left")
-    return joined.select("product_id", label.alias("category_name_english"))
+    return demand.labelled_products(shop.products, shop.translation)
 
 
 def _two_level(shop: Shop):

@@ -79,22 +79,26 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def source_manifest(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+def source_manifest(
+    spark: SparkSession, path: str, pattern: str = "*.csv", with_hash: bool = True
+) -> DataFrame:
     """Name, size and SHA-256 of each file below ``path``.
 
-    Each file is one row of binary content, so a file must fit into a task
-    (2 GB is Spark's limit for such a row).
+    The hash needs a file's content as one row, which Spark limits to 2 GB;
+    a larger file fails the job. ``with_hash=False`` lists names and sizes
+    alone, from the file system's metadata, and takes files of any size.
     """
     files = (
         spark.read.format("binaryFile")
         .options(pathGlobFilter=pattern, recursiveFileLookup=True)
         .load(path)
     )
-    return files.select(
+    listed = files.select(
         F.element_at(F.split("path", "/"), -1).alias("filename"),
         F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+        *[F.sha2("content", 256).alias("sha256")] * with_hash,
     )
+    return listed
 
 
 def reader_reconciliation(spark: SparkSession, path: str, true_rows: int | DataFrame) -> DataFrame:

@@ -1,18 +1,24 @@
 """Intermediate tables on shared storage.
 
 A table written here cuts lineage and survives the loss of executors. The
-folder is the one named by ``spark.checkpoint.dir``; only a local session
-without that setting falls back to a temporary folder.
+folder is the one named by ``spark.checkpoint.dir``. Where that is unset, as
+in tests, a local session uses a folder of its own below the temporary one;
+any other session is refused.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_own_root: dict[str, str] = {}  # by application, where the setting is unset
+_run: ContextVar[str] = ContextVar("ordermill_run", default="shared")
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -21,15 +27,19 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
-        root = context.getCheckpointDir()
+        if context.applicationId not in _own_root:
+            _own_root[context.applicationId] = tempfile.mkdtemp(prefix="ordermill-")
+        root = _own_root[context.applicationId]
     return root.rstrip("/")
 
 
+def _run_folder(spark: SparkSession, run: str) -> str:
+    return f"{scratch_root(spark)}/ordermill-{spark.sparkContext.applicationId}/{run}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path; one folder per application."""
-    application = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/ordermill-{application}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the folder of the current run."""
+    return f"{_run_folder(spark, _run.get())}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
@@ -40,11 +50,20 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> bool:
-    """Delete this application's intermediate tables at the end of a run."""
+def drop_scratch(spark: SparkSession, run: str | None = None) -> bool:
+    """Delete the intermediate tables of one run (by default the current one)."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{scratch_root(spark)}/ordermill-{spark.sparkContext.applicationId}"
-    )
+    path = jvm.org.apache.hadoop.fs.Path(_run_folder(spark, run or _run.get()))
     filesystem = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return filesystem.delete(path, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the tables made inside; they alone are deleted at the end."""
+    token = _run.set(f"run-{uuid.uuid4().hex}")
+    try:
+        yield _run.get()
+    finally:
+        drop_scratch(spark)
+        _run.reset(token)

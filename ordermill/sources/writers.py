@@ -51,8 +51,8 @@ def write_catalog_table(
 
 
 def write_csv_report(df: DataFrame, path: str) -> None:
-    """One headed CSV file; for report tables of known small size only."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Headed CSV files in the order of the table: one for a small report, more where it takes more tasks."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -61,4 +61,5 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_json_report(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """JSON lines, as ``write_csv_report``."""
+    df.write.mode("overwrite").json(path)

@@ -4,6 +4,7 @@ from datetime import datetime as dt
 
 import pytest
 
+from ordermill.functions.numeric import money_sum
 from ordermill.operators import customers, orders, sellers
 
 ORDERS = (
@@ -196,3 +197,11 @@ def test_money_sums_do_not_depend_on_order(spark):
         assert df.agg(money_sum("v").alias("s")).first()["s"] == 90_071_992.5474
     empty = spark.createDataFrame([], "v double").agg(money_sum("v").alias("s")).first()
     assert empty["s"] is None
+
+
+def test_totals_keep_all_decimals_and_odd_amounts(spark):
+    rows = [("a", 0.000004), ("a", 0.000004), ("b", 0.1), ("b", 0.2), ("c", 1e15), ("c", 1.0), ("d", float("nan")), ("e", None), ("f", float("inf"))]
+    df = spark.createDataFrame(rows, "k string, v double")
+    total = {r["k"]: r["t"] for r in df.groupBy("k").agg(money_sum("v").alias("t")).collect()}
+    assert total["a"] == 0.000008 and total["b"] == 0.3 and total["c"] == 1e15 + 1
+    assert total["d"] != total["d"] and total["e"] is None and total["f"] == float("inf")

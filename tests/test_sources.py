@@ -112,6 +112,13 @@ def test_manifest(spark, folder):
     assert [tuple(r) for r in row] == [("a.csv", 4, hashlib.sha256(b"x\n1\n").hexdigest())]
 
 
+def test_manifest_without_hash(spark, folder):
+    write(folder, "a.csv", "x\n1\n")
+    listed = readers.source_manifest(spark, folder, with_hash=False)
+    assert [tuple(r) for r in listed.collect()] == [("a.csv", 4)]
+    assert "content" not in listed.columns and len(listed.columns) == 2
+
+
 def test_row_count_report(spark):
     tables = {"a": spark.range(3), "b": spark.range(1)}
     report = audit.source_row_counts(tables, {"a": 3, "b": 2, "c": 1})
@@ -126,8 +133,12 @@ def test_scratch_lies_below_the_checkpoint_folder(spark):
     root = scratch.scratch_root(spark)
     assert kept.count() == 4 and all(root.removeprefix("file:") in f for f in kept.inputFiles())
     assert spark.conf.get("spark.checkpoint.dir", root) == root
-    assert scratch.drop_scratch(spark)
-    assert not readers.path_exists(spark, f"{root}/ordermill-{spark.sparkContext.applicationId}")
+    with scratch.scratch_run(spark):
+        own = scratch.materialize(spark.range(2), "numbers")
+        files = own.inputFiles()
+        assert own.count() == 2
+    assert not any(readers.path_exists(spark, f) for f in files)
+    assert kept.count() == 4  # a run deletes what it wrote, not what another caller still reads
 
 
 RAW = {
@@ -155,7 +166,7 @@ def test_all_layers_from_csv(spark, folder):
     status = runner.run_layers(spark, f"{folder}/store", sources)
     rows = {f"{r['layer']}/{r['table_name']}": r for r in status.collect()}
     failed = {name: r["error"] for name, r in rows.items() if r["status"] == "FAILED"}
-    assert not failed and len(rows) == 9 + 6 + 4
+    assert not failed and len(rows) == 9 + 6 + 4 + 13
     assert runner.exit_code(status) == 0
     assert rows["silver/master_orders"]["row_count"] == 3
     assert rows["gold/rfm_segments"]["row_count"] == 2
@@ -168,6 +179,17 @@ def test_all_layers_from_csv(spark, folder):
     assert {(r["customer_unique_id"], r["is_churned"], r["avg_review_score"]) for r in panel} == {("u1", 1, 4.0)}
 
 
+    reports = runner.export_reports(store)
+    listed = spark.read.option("header", True).csv(f"{folder}/store/export/manifest.csv").collect()
+    assert {r["filename"]: int(r["row_count"]) for r in listed} == {n: rows[f"export/{n}"]["row_count"] for n in reports}
+    kpis = spark.read.json(f"{folder}/store/export/overview_kpis.json").first()
+    assert kpis["total_orders"] == 3
+    study = runner.run_layers(spark, f"{folder}/study", sources, ("bronze", "silver", "gold"), variant="study")
+    built = {r["table_name"]: r for r in study.where("layer = 'gold'").collect()}
+    assert {r["status"] for r in study.collect()} == {"SUCCESS"}, [r["error"] for r in study.collect()]
+    assert set(built) == {"demand_history", "demand_features", "churn_features", "rfm_segments", "bi_revenue"}
+
+
 def test_a_failing_step_does_not_stop_the_others(spark, folder):
     store = runner.Store(spark, folder)
     twice = spark.createDataFrame([("a",), ("a",)], "order_id string")
