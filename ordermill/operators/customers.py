@@ -46,14 +46,13 @@ def preferred_payment(master: DataFrame) -> DataFrame:
     known = master.where(
         F.col("customer_unique_id").isNotNull() & F.col("primary_payment_type").isNotNull()
     )
+    first = F.struct(-F.col("orders"), F.col("paid").isNull(), -F.col("paid"), "primary_payment_type")
     per_type = known.groupBy("customer_unique_id", "primary_payment_type").agg(
-        F.count("order_id").alias("orders"),
-        money_sum("payment_total").alias("paid"),
+        F.count("order_id").alias("orders"), money_sum("payment_total").alias("paid")
     )
     return (
-        per_type.withColumn("_place", F.row_number().over(_preference_window()))
-        .where("_place = 1")
-        .select("customer_unique_id", F.col("primary_payment_type").alias("preferred_payment"))
+        per_type.groupBy("customer_unique_id")
+        .agg(F.min_by("primary_payment_type", first).alias("preferred_payment"))
     )
 
 

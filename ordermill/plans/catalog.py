@@ -28,8 +28,19 @@ def _all() -> dict[str, tuple[Callable[[Shop], DataFrame], str | None]]:
     return {name: entry for group in _GROUPS for name, entry in group.items()}
 
 
+_shops: dict[tuple[str, str], Shop] = {}
+
+
+def shop_of(spark: SparkSession, folder: str) -> Shop:
+    """One per application and folder, so that queries share the tables stored on the way."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _shops:
+        _shops[key] = Shop(spark, folder)
+    return _shops[key]
+
+
 def _bound(build: Callable[[Shop], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: build(Shop(spark, folder))
+    return lambda spark, folder: build(shop_of(spark, folder))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

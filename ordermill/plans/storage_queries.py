@@ -21,7 +21,7 @@ from ordermill.plans.shop import Shop, sql
 from ordermill.sources import readers, writers
 from ordermill.sources.contract import RAW_TABLES
 from ordermill.sources.ingest import ingest, row_hash, with_metadata
-from ordermill.sources.scratch import scratch_path
+from ordermill.sources.scratch import materialize, scratch_path
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -97,7 +97,10 @@ def _managed(shop: Shop):
     writers.ensure_schema(
         shop.spark, schema, comment="round trip", location=scratch_path(shop.spark, "schema")
     )
-    return writers.write_catalog_table(shop.sellers, f"{schema}.sellers")
+    table = writers.write_catalog_table(shop.sellers, f"{schema}.sellers")
+    found = materialize(table, "sellers")
+    shop.spark.sql(f"DROP SCHEMA {schema} CASCADE")
+    return found
 
 
 def _without_metadata(shop: Shop):
