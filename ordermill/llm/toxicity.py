@@ -3,7 +3,10 @@
 A document is toxic if at least one of its sentences is: with sentence
 chances p(s), the document's is the noisy-or 1 - product(1 - p(s)). The
 sentence model, logistic over hashed n-grams of letters, is trained through
-that combination, so it learns to find the offending sentences by itself.
+that combination, so it learns to find the offending sentences by itself. The
+logistic chance of a sentence without evidence is taken off and the rest
+rescaled, so such sentences have the chance 0 and a text may have any number
+of them.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ TRAIN_CHARS = 6000  # characters of each training document
 GRAMS = (4, 5, 6)
 FEATURES = 1 << 18
 EPOCHS = 40
-BIAS = -9.0  # logit of a sentence without evidence: a thousand of them still make a clean document
+BIAS = -9.0  # logit of a sentence without evidence, which has the chance 0
+LEAK = 0.05  # chance of a training document without evidence, so that learning can start there
 SPARSE = 3e-4  # price of a unit of weight, per gram
 THRESHOLD = 0.7
 SENTENCE_ENDS = ".!?\n"
@@ -52,9 +56,9 @@ def sentences(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.union1d(behind, offsets[:-1])
 
 
-def log_clean(logits: np.ndarray) -> np.ndarray:
-    """log(1 - p) of sentences with the given logits."""
-    return -np.logaddexp(0.0, logits)
+def log_clean(logits: np.ndarray, bias: float = BIAS) -> np.ndarray:
+    """log(1 - p) of sentences with the given logits; exactly 0 at the bias, so any number of them adds nothing."""
+    return np.logaddexp(0.0, bias) - np.logaddexp(0.0, logits)
 
 
 def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
@@ -79,7 +83,8 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
         logits = np.full(len(starts), BIAS)
         logits[owner] += np.add.reduceat(values, first) if len(first) else 0.0
         clean = np.bincount(doc, log_clean(logits), len(texts))
-        odds = np.exp(clean) / np.maximum(-np.expm1(clean), 1e-9)  # (1 - p) / p of each document
+        clean += np.log1p(-LEAK)
+        odds = np.exp(clean) / -np.expm1(clean)  # (1 - p) / p of each document
         slope = (balance * np.where(label == 1, -odds, 1.0))[doc] * sigmoid(logits)
         per_letter = np.repeat(slope[owner], np.diff(np.append(first, len(at))))
         gradient = sum(np.bincount(places[:, n], per_letter, FEATURES) for n in range(len(GRAMS)))
@@ -101,19 +106,21 @@ def scorer(model: Model | None, spans_from: float | None) -> Callable[[pa.Array]
     def score(texts: pa.Array) -> pa.StructArray:
         points, offsets = code_points(texts)
         starts = sentences(points, offsets) if len(texts) else offsets[:0]
-        logits = np.full(len(starts), model.bias if model else -60.0)
+        bias = model.bias if model else BIAS
+        logits = np.full(len(starts), bias)
         if model and len(starts):
             logits += summed(points, starts, GRAMS, model.weights)[:, 0]
         doc = np.searchsorted(offsets, starts, side="right") - 1
-        chance = -np.expm1(np.bincount(doc, log_clean(logits), len(texts))) if model else np.zeros(len(texts))
-        hit = np.flatnonzero(sigmoid(logits) >= (2.0 if spans_from is None else spans_from))
+        clean = log_clean(logits, bias)
+        chance, each = 0.0 - np.expm1(np.bincount(doc, clean, len(texts))), 0.0 - np.expm1(clean)
+        hit = np.flatnonzero(each >= (2.0 if spans_from is None else spans_from))
         ends = np.append(starts[1:], offsets[-1:])
         ends = np.minimum(ends, offsets[doc + 1] - 1)
         spans = pa.StructArray.from_arrays(
             [
                 pa.array(starts[hit] - offsets[doc[hit]]),
                 pa.array(ends[hit] - starts[hit]),
-                pa.array(sigmoid(logits[hit])),
+                pa.array(each[hit]),
             ],
             ["start", "length", "score"],
         )
@@ -143,7 +150,7 @@ def detect(documents: DataFrame, model: Model | None, spans_from: float | None =
 
     ``offending``: start, length (code points) and score of each sentence of
     chance ``spans_from`` or more. A null text counts as empty and is scored
-    like a text without letters, by the bias alone. Without a model (no
+    like a text without letters, 0. Without a model (no
     labels of one kind) every score is 0. Rows with null or repeated ids are
     kept; a null id is held out. Extra columns are not read.
     """

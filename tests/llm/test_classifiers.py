@@ -94,6 +94,15 @@ def test_noisy_or_of_sentences():
     assert score(pa.array([], pa.string())).to_pylist() == []
 
 
+def test_clean_sentences_add_up_to_nothing():
+    model = toxicity.train(["bad word here. fine words there.", "fine words there. fine words."] * 8, [1, 0] * 8)
+    score = toxicity.scorer(model, 0.5)
+    lines = "fine words there\n" * 100_000
+    clean, rest = score(pa.array([lines, lines + "bad word here."])).to_pylist()
+    assert clean == {"score": 0.0, "offending": []}
+    assert rest["score"] >= toxicity.THRESHOLD and len(rest["offending"]) == 1
+
+
 def test_toxicity_odd_rows(spark, documents, nothing):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.fit(documents, labels) is None
