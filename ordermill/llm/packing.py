@@ -2,10 +2,10 @@
 
 Documents keep their order and stay one stream of ids. The stream is cut into
 windows of at most ``length`` ids. A cut behind a document costs nothing, one
-behind a sentence ``SENTENCE_PENALTY``, any other ``HARD_PENALTY`` (offered
-only where no boundary lies within reach); a window costs ``WINDOW_COST``
-and the padding it needs. The cheapest cuts are found over all boundaries of a block with a
-monotone queue, in time linear in their number.
+behind a sentence ``SENTENCE_PENALTY``, behind any other id ``HARD_PENALTY``;
+a window costs ``WINDOW_COST`` and the padding it needs. The cheapest cuts
+are found over all ids of a block, with running minima over a quarter of the
+length at once, in time linear in their number.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ HARD_PENALTY = 64.0
 WINDOW_COST = 4.0
 BLOCK_TOKENS = 1 << 19  # ids packed at once inside a task; bounds its memory
 SENTENCE_MARKS = ".!?"
+WIDE_MARKS = "。！？．｡…‽।॥؟۔።။។།"  # of two or three bytes each
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -43,6 +44,20 @@ def sentence_ids(library) -> np.ndarray:
     return flags
 
 
+def byte_tails(library) -> np.ndarray:
+    """Of each id's token of a byte-level vocabulary the last three bytes, the last one lowest, and above them their number."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in plain]
+    value = {chr(byte): byte for byte in plain} | {chr(256 + at): byte for at, byte in enumerate(others)}
+    tails = np.full(library.get_vocab_size(), 3 << 24, np.uint32)
+    for token, number in library.get_vocab().items():
+        text = token.removesuffix("</w>")
+        if text and all(one in value for one in text):
+            code = bytes(value[one] for one in text[-3:])
+            tails[number] = len(code) << 24 | int.from_bytes(code)
+    return tails
+
+
 def padding(size: int, length: int) -> int:
     """A sequence is filled up to ``length``, except at a power of two."""
     return 0 if size & (size - 1) == 0 else length - size
@@ -90,20 +105,59 @@ def best_cuts(ends: np.ndarray, penalties: np.ndarray, length: int) -> list[int]
     return chosen[::-1]
 
 
-def boundaries(
-    ids: np.ndarray, doc_ends: np.ndarray, marks: np.ndarray, length: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions behind which a cut may be made, its penalty and kind; hard ones only where needed."""
-    sentence = np.flatnonzero(marks[ids]) + 1
-    ends = np.union1d(doc_ends, sentence)
-    edges = np.concatenate([[0], ends])
-    wide = np.flatnonzero(np.diff(edges) > length)
-    if len(wide):
-        hard = [np.arange(edges[w] + length, edges[w + 1], length) for w in wide]
-        ends = np.union1d(ends, np.concatenate(hard))
-    is_doc, is_sentence = np.isin(ends, doc_ends), np.isin(ends, sentence)
-    kinds = np.where(is_doc, 0, np.where(is_sentence, 1, 2))
-    return ends, np.array([0.0, SENTENCE_PENALTY, HARD_PENALTY])[kinds], kinds
+def cheapest_cuts(penalties: np.ndarray, length: int) -> np.ndarray:
+    """The chosen cuts of a stream that may be cut behind every id, of which ``penalties`` has one each.
+
+    Costs are those of ``best_cuts``. Here a window never starts less than a
+    quarter of the length before a position worth cutting at: to end the window before it
+    later, a quarter before that position, saves three quarters of the length in
+    padding. As long as no penalty exceeds that, the costs of a quarter of
+    the length follow from those before it all at once.
+    """
+    count, part = len(penalties), length // 4
+    if 3 * part <= penalties.max(initial=0.0):
+        return np.array(best_cuts(np.arange(1, count + 1), penalties, length), np.int64) + 1
+    # Place length + i belongs to position i; nothing lies before position 0.
+    cost, reach = np.full(length + count + 1, np.inf), np.full(length + count + 1, np.inf)
+    cost[length] = reach[length] = 0.0  # reach: cost + position
+    for start in range(0, count, part):
+        stop = min(start + part, count)
+        position = np.arange(start + 1, stop + 1)
+        near = reach[stop + 1 : start + length + 1].min()
+        far = np.minimum.accumulate(reach[start + 1 : stop + 1][::-1])[::-1]
+        best = np.minimum(far, near) + length - position
+        for free in (length // 2, part):
+            at = length - free
+            best = np.minimum(best, cost[start + 1 + at : stop + 1 + at])
+        best += penalties[start:stop] + WINDOW_COST
+        cost[start + 1 + length : stop + 1 + length] = best
+        reach[start + 1 + length : stop + 1 + length] = best + position
+    chosen, position = [], count
+    while position:
+        chosen.append(position)
+        window = reach[position : position + length]
+        source = int(window.argmin())
+        best, source = window[source] + length - position, position - length + source
+        for free in (length // 2, part):
+            if cost[position - free + length] < best:
+                best, source = cost[position - free + length], position - free
+        position = source
+    return np.array(chosen[::-1], np.int64)
+
+
+def mark_places(ids: np.ndarray, marks: np.ndarray, tails: np.ndarray | None) -> np.ndarray:
+    """True for each id that ends a sentence; a mark's bytes may be spread over several ids."""
+    found = marks[ids]
+    if tails is None or not len(ids):
+        return found
+    own, sizes = (tails[ids] & 0xFFFFFF).astype(np.uint32), tails[ids] >> 24
+    seen = own
+    for _ in range(2):
+        seen = own | (np.concatenate([[0], seen[:-1]]).astype(np.uint32) << (8 * sizes)) & 0xFFFFFF
+    for mark in WIDE_MARKS:
+        code = mark.encode()
+        found = found | ((seen & ((1 << 8 * len(code)) - 1)) == int.from_bytes(code))
+    return found
 
 
 def tail_cuts(size: int, length: int) -> list[int]:
@@ -116,8 +170,8 @@ def tail_cuts(size: int, length: int) -> list[int]:
 class Block:
     """Ids of some documents in order; carries what the last window leaves over."""
 
-    def __init__(self, marks: np.ndarray, length: int) -> None:
-        self.marks, self.length = marks, length
+    def __init__(self, marks: np.ndarray, length: int, tails: np.ndarray | None = None) -> None:
+        self.marks, self.length, self.tails = marks, length, tails
         self.ids = np.zeros(0, np.uint32)
         self.docs: list[tuple] = []  # doc_id, its tokens, its ids before this block
         self.sequences = 0
@@ -131,15 +185,15 @@ class Block:
         if not len(self.ids):
             return
         doc_ends = np.cumsum([n - before for _, n, before in self.docs])
-        ends, penalties, kinds = boundaries(self.ids, doc_ends, self.marks, self.length)
-        chosen = best_cuts(ends, penalties, self.length)
-        cuts, kind = ends[chosen].tolist(), kinds[chosen].tolist()
+        kinds = np.where(mark_places(self.ids, self.marks, self.tails), 1, 2)
+        kinds[doc_ends - 1] = 0
+        chosen = cheapest_cuts(np.array([0.0, SENTENCE_PENALTY, HARD_PENALTY])[kinds], self.length)
+        cuts, kind = chosen.tolist(), kinds[chosen - 1].tolist()
         if final:
             start = cuts[-2] if len(cuts) > 1 else 0
             tail = np.cumsum(tail_cuts(cuts[-1] - start, self.length)) + start
-            known = dict(zip(ends.tolist(), kinds.tolist()))
             cuts = cuts[:-1] + tail.tolist()
-            kind = kind[:-1] + [known.get(cut, 2) for cut in tail.tolist()]
+            kind = kind[:-1] + kinds[tail - 1].tolist()
         else:
             cuts, kind = cuts[:-1], kind[:-1]
         start, doc, doc_start = 0, 0, 0
@@ -208,9 +262,9 @@ def pack(
 
     Only ``doc_id`` and ``text`` are read. A null text counts as empty: such
     a document is its end id alone. Null, repeated or tied ids are kept as
-    they are, a piece each. An empty table gives no rows. A document longer
-    than a sequence is cut at sentences, and inside one only where no
-    sentence ends within ``length`` ids.
+    they are, a piece each. An empty table gives no rows. A document is cut
+    at a sentence's end or inside a sentence where that costs less than the
+    padding it saves.
     """
     if length < 2 or length & (length - 1):
         raise ValueError("length must be a power of two")
@@ -219,7 +273,7 @@ def pack(
         from pyspark import TaskContext
 
         encoder: WordTokens = word_tokens(tokenizer, memo_words)
-        block = Block(sentence_ids(encoder.library), length)
+        block = Block(sentence_ids(encoder.library), length, byte_tails(encoder.library))
         partition = TaskContext.get().partitionId()
 
         def flush(final: bool) -> Iterator[pa.RecordBatch]:

@@ -167,6 +167,40 @@ def test_cuts_are_the_cheapest(parts):
     assert cost == pytest.approx(brute_cost(ends.tolist(), penalties.tolist(), 16))
 
 
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 150), st.sampled_from([0.0, 8.0])), min_size=1, max_size=10), st.sampled_from([16, 128, 256]))
+def test_cuts_at_any_id_are_the_cheapest(parts, length):
+    ends = np.cumsum([size for size, _ in parts])
+    penalties = np.full(ends[-1], packing.HARD_PENALTY)
+    penalties[ends - 1] = [penalty for _, penalty in parts]
+    start, cost, free = 0, 0.0, (length // 2, length // 4)
+    for cut in packing.cheapest_cuts(penalties, length).tolist():
+        assert 0 < cut - start <= length
+        cost += packing.WINDOW_COST + penalties[cut - 1] + (0 if cut - start in free else length - (cut - start))
+        start = cut
+    assert start == ends[-1]
+    assert cost == pytest.approx(brute_cost(list(range(1, start + 1)), penalties.tolist(), length))
+
+
+@pytest.mark.parametrize("sizes", [[2100] * 60, [3000, 5000] * 20])
+def test_documents_without_marks_need_little_padding(sizes):
+    block = packing.Block(np.zeros(10, bool), packing.LENGTH)
+    block.add(list(range(len(sizes))), np.zeros(sum(sizes), np.uint32), np.concatenate([[0], np.cumsum(sizes)]))
+    rows = list(block.pack(0, final=True))
+    assert sum(len(row[-1]) for row in rows) == sum(sizes)
+    padded = {row[3]: row[6] for row in rows}
+    assert sum(padded.values()) < 0.02 * sum(sizes)
+
+
+def test_sentence_marks_of_other_scripts():
+    library = words_library()
+    marks, tails = packing.sentence_ids(library), packing.byte_tails(library)
+    for mark in packing.SENTENCE_MARKS + packing.WIDE_MARKS:
+        ids = np.array(reference_ids(f"执日本{mark} 日本 本 a"), np.uint32)
+        at = np.flatnonzero(packing.mark_places(ids, marks, tails))
+        assert at.tolist() == [len(reference_ids(f"执日本{mark}")) - 1], mark
+
+
 def test_blocks_carry_their_open_window():
     chooser = random.Random(2)
     marks = np.zeros(100, bool)
