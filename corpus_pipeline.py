@@ -16,7 +16,10 @@ from ordermill.sources.scratch import materialize  # noqa: E402
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told apart; `und` and ambiguous ones go. Learned from these documents."""
+    """Documents whose language is told apart; `und` and ambiguous ones go. Learned from these documents.
+
+    Without any known language to learn from, only texts without letters go.
+    """
     ship(spark)
     return language.keep_identified(docs, language.fit(docs))
 

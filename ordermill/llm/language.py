@@ -183,6 +183,12 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame, model: Model | None) -> DataFrame:
-    """Documents with a language told apart from the others, with all their columns."""
+    """Documents with a language told apart from the others, with all their columns.
+
+    Where no language could be learned nothing can be told apart, and every
+    document whose text has a letter is kept.
+    """
+    if model is None:
+        return documents.where(F.col("text").cast("string").rlike(r"\p{L}"))
     found = predictor(model)(F.col("text").cast("string"))
     return documents.where(~found["ambiguous"])

@@ -4,6 +4,7 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.llm import language, quality, toxicity
 from tests.llm.conftest import VOCABULARY, corpus, sentence
@@ -35,6 +36,16 @@ def test_language_without_training_rows(spark, nothing, documents):
     assert {row["lang_pred"] for row in language.identify(documents, None).collect()} == {"und"}
 
 
+def test_without_a_language_texts_with_letters_stay(spark, documents):
+    unlabelled = documents.withColumn("lang", F.lit(None).cast("string"))
+    model = language.fit(unlabelled)
+    assert model is None
+    kept = language.keep_identified(unlabelled, model)
+    expected = [row["text"] for row in unlabelled.collect() if any(one.isalpha() for one in row["text"] or "")]
+    assert sorted(row["text"] for row in kept.collect()) == sorted(expected) and len(expected) > 60
+    assert kept.columns == unlabelled.columns
+
+
 @pytest.mark.parametrize("classes", [1, 2, 3, 4, 7, 12, 40])
 def test_codewords_differ_from_each_other(classes):
     codes = language.code_matrix(classes)
