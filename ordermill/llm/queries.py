@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import cover_tree, language, packing, piece_table, quality, sharding, simhash, token_file, toxicity, winnowing
+from ordermill.llm import cover_tree, language, packing, piece_table, quality, sharding, simhash, spelling, token_file, toxicity, winnowing
 from ordermill.llm.shipping import ship
 from ordermill.sources.scratch import scratch_path
 
@@ -130,6 +130,54 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.read(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, folder, "documents"))
+
+
+SPELLING_SQL = """
+WITH RECURSIVE crc_table AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b::BIGINT], range(8)),
+        lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+), runs AS (
+    SELECT doc_id, run FROM (
+        SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+        FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents))
+    WHERE length(run) >= 6
+), pairs AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY ALL),
+hashed AS (
+    SELECT run, times, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id || ':' || run, ''),
+            lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195::BIGINT, unicode(ch)::BIGINT - 64] END))),
+        lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) AS h
+    FROM pairs, crc_table
+), spelled AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, times
+    FROM hashed
+), words AS (
+    SELECT word, sum(times)::BIGINT AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), cut AS (
+    SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)
+), near AS (
+    SELECT a.word AS word, b.word AS other FROM cut a JOIN cut b ON a.place = b.place AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word FROM cut a JOIN words b ON a.rest = b.word
+), ranked AS (
+    SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, other, o.n AS other_n, w.n,
+           row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS rank
+    FROM near JOIN words o ON o.word = other JOIN words w ON w.word = near.word
+), forms AS (
+    SELECT word, n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+    FROM ranked WHERE rank = 1
+), chain AS (
+    SELECT word, form AS root, 1 AS step FROM forms WHERE form IS NOT NULL
+    UNION ALL
+    SELECT chain.word, forms.form, step + 1 FROM chain JOIN forms ON forms.word = root WHERE forms.form IS NOT NULL
+), ends AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+FROM words LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_cover_tree": op2_cover_tree,
@@ -141,5 +189,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
+    "op11_spelling": op11_spelling,
 }
-SQL: dict[str, str] = {"op1_sharding": SHARDING_SQL, "op2_cover_tree": COVER_TREE_SQL}
+SQL: dict[str, str] = {"op1_sharding": SHARDING_SQL, "op2_cover_tree": COVER_TREE_SQL, "op11_spelling": SPELLING_SQL}
