@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import cover_tree, language, packing, piece_table, quality, sharding, simhash, spelling, token_file, toxicity, winnowing
+from ordermill.llm import cover_tree, language, packing, phrases, piece_table, quality, sharding, simhash, spelling, token_file, toxicity, winnowing
 from ordermill.llm.shipping import ship
 from ordermill.sources.scratch import scratch_path
 
@@ -178,6 +178,41 @@ FROM words LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)
 """
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces),
+runs AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+    FROM split, range(1, 6) AS s(size) WHERE len(words) >= size
+), counted AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+often AS (SELECT * FROM counted WHERE f >= 100),
+long AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM often WHERE size > 1),
+inner_ones AS (
+    SELECT lang, a, unnest(list_transform(range(1, size - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+    FROM long, range(2, 5) AS s(k) WHERE k < size
+), kept AS (
+    SELECT * FROM long WHERE NOT EXISTS (SELECT 1 FROM inner_ones i WHERE i.lang = long.lang AND i.phrase = long.phrase AND 100 * i.a >= 100 * long.a)
+), cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS first, array_to_string(words[k + 1:], ' ') AS rest
+    FROM kept, range(1, 5) AS s(k) WHERE k < size
+), scored AS (
+    SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+    FROM cuts JOIN often x ON x.lang = cuts.lang AND x.phrase = first JOIN often y ON y.lang = cuts.lang AND y.phrase = rest
+    JOIN totals t ON t.lang = cuts.lang
+), weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_cover_tree": op2_cover_tree,
@@ -190,5 +225,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
     "op11_spelling": op11_spelling,
+    "op13_phrases": op13_phrases,
 }
-SQL: dict[str, str] = {"op1_sharding": SHARDING_SQL, "op2_cover_tree": COVER_TREE_SQL, "op11_spelling": SPELLING_SQL}
+SQL: dict[str, str] = {"op1_sharding": SHARDING_SQL, "op2_cover_tree": COVER_TREE_SQL, "op11_spelling": SPELLING_SQL, "op13_phrases": PHRASES_SQL}
