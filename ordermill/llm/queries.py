@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import cover_tree, language, packing, phrases, piece_table, quality, sharding, simhash, spelling, token_file, toxicity, winnowing
+from ordermill.llm import cover_tree, hidden_markov, language, packing, phrases, piece_table, quality, sharding, simhash, spelling, token_file, toxicity, winnowing
 from ordermill.llm.shipping import ship
 from ordermill.sources.scratch import scratch_path
 
@@ -178,6 +178,10 @@ FROM words LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)
 """
 
 
+def op12_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hidden_markov.score_documents(table(spark, folder, "documents"))
+
+
 def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"))
 
@@ -225,6 +229,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_token_files": op10_token_files,
     "op11_spelling": op11_spelling,
+    "op12_hidden_markov": op12_hidden_markov,
     "op13_phrases": op13_phrases,
 }
 SQL: dict[str, str] = {"op1_sharding": SHARDING_SQL, "op2_cover_tree": COVER_TREE_SQL, "op11_spelling": SPELLING_SQL, "op13_phrases": PHRASES_SQL}
