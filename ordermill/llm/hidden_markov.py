@@ -37,6 +37,7 @@ HEAD = 8192  # words with a class of their own
 HEAD_BYTES = 64  # longer words never have one, so the table stays below HEAD * HEAD_BYTES bytes
 TAIL = 512  # classes of all other words
 ROUNDS = 5
+PERSIST = 50  # weight of staying in a state before the first round
 CHUNK = 1024
 RESCALE = 8  # tokens between two scalings; their chances multiply to far more than the least number
 BATCH_CHUNKS = 4096  # chunks that go through the recursion side by side
@@ -295,11 +296,14 @@ def expected_counts(tokens: list[np.ndarray], model: Model) -> tuple[np.ndarray,
 
 
 def first_model(lexicon: Lexicon, states: int = STATES, seed: int = SEED) -> Model:
-    """Every state near the corpus frequencies, each with its own fixed disturbance."""
+    """Every state has the corpus frequencies with its own fixed disturbance, and rarely changes at first.
+
+    So the first rounds tell languages and kinds of text apart, the later ones what follows what.
+    """
     dice = np.random.default_rng(seed)
     counts = np.concatenate([lexicon.head_counts, lexicon.occurrences]).astype(float) + 1
-    emit = counts[:, None] * dice.uniform(0.5, 1.5, (len(counts), states))
-    move = dice.uniform(0.5, 1.5, (states, states)) + 4 * np.eye(states)
+    emit = counts[:, None] * np.exp(dice.normal(0, 1, (len(counts), states)))
+    move = dice.uniform(0.5, 1.5, (states, states)) + PERSIST * np.eye(states)
     return Model(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 

@@ -144,17 +144,14 @@ def test_class_chances_sum_to_one(spark, documents):
     assert np.allclose(model.emit.sum(0), 1) and np.allclose(model.move.sum(1), 1)
 
 
-def test_learns_word_order_on_held_out_texts(spark):
+def test_learns_kinds_of_text_for_held_out_ones(spark):
     dice = np.random.default_rng(3)
-    groups = [["ein", "der", "das"], ["haus", "wald", "see"], ["the", "a", "one"], ["house", "wood", "lake"]]
-    rows = []
-    for doc in range(300):
-        first = 0 if doc % 2 else 2
-        rows.append((doc, " ".join(dice.choice(groups[first + i % 2]) for i in range(30))))
+    kinds = [["ein", "der", "das", "haus", "wald", "see"], ["the", "a", "one", "house", "wood", "lake"]]
+    rows = [(doc, " ".join(dice.choice(kinds[doc % 2], 30))) for doc in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    held = [r for r in hm.score_documents(df, states=4, rounds=15).collect() if r["held_out"]]
+    held = [r for r in hm.score_documents(df, states=3, rounds=8).collect() if r["held_out"]]
     gain = sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
-    assert held and gain > 0.3  # knowing the next word's group is worth log10(4) = 0.6 at most
+    assert held and gain > 0.22  # knowing the kind is worth log10(2) = 0.3 a word at most
 
 
 def test_without_training_rows_and_without_rows(spark, nothing):
