@@ -36,8 +36,8 @@ MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
 SLICE = 16 << 20
-LEAST_BUDGET, MOST_BUDGET = 1 << 20, 1 << 22
-PARTS = 96  # a budget is about this share of all words
+LEAST_BUDGET, MOST_BUDGET = 1 << 12, 1 << 22
+PARTS = 256  # a budget is about this share of all words
 FILTER_BITS = 24  # size of the filter of frequent words, whatever their number
 
 Heavy = dict[str, set[str]]  # by language: prefixes that are extended
@@ -168,7 +168,8 @@ class Partition:
 def extended_prefixes(documents: DataFrame, words: DataFrame, budget: int) -> tuple[Heavy, DataFrame]:
     """Prefixes of more than ``budget`` occurrences, and their counts (``lang``, ``phrase``, ``n``) from two words on.
 
-    Level by level: only extensions of the prefixes found on the level before are counted.
+    Level by level: only extensions of the prefixes found on the level before
+    are counted, and only by words that occur so often themselves.
     """
     spark = documents.sparkSession
     heavy: Heavy = {}
@@ -182,23 +183,27 @@ def extended_prefixes(documents: DataFrame, words: DataFrame, budget: int) -> tu
         for row in rows:
             heavy.setdefault(row["lang"], set()).add(row["phrase"])
             level.setdefault(row["lang"], set()).add(row["phrase"])
-        if depth > 2:
+        if depth == 2:
+            single = level
+        else:
             counts = counts.unionAll(spark.createDataFrame(rows, counts.schema))
         if depth > MAX_WORDS:
             break
-        grown = _texts(documents).mapInArrow(_grown(level, depth), "lang string, phrase string, n long")
+        grown = _texts(documents).mapInArrow(_grown(level, single, depth), "lang string, phrase string, n long")
         last = materialize(grown.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") > budget), "prefixes")
     return heavy, counts
 
 
-def _grown(level: Heavy, depth: int):
-    """Counts of the runs of ``depth`` words whose first ones are a prefix of ``level``."""
+def _grown(level: Heavy, single: Heavy, depth: int):
+    """Counts of the runs of ``depth`` words whose first ones are a prefix of ``level`` and whose last is in ``single``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, found in _by_language(batch):
                 first = np.arange(max(0, len(found.codes) - depth + 1))
                 first = first[found.pieces[first] == found.pieces[first + depth - 1]]
+                ends = pc.is_in(found.names, pa.array(sorted(single.get(lang, ())), pa.string())).to_numpy(zero_copy_only=False)
+                first = first[ends[found.codes[first + depth - 1]]]
                 prefixes = sorted(level.get(lang, ()))
                 if not prefixes or not len(first):
                     continue
