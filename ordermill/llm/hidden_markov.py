@@ -1,10 +1,12 @@
 """A hidden Markov language model over whole texts, trained by Baum-Welch on all training rows.
 
 The states emit classes, and classes emit words. The most frequent words
-(``HEAD``, a bounded table that every task holds) have a class of their own;
-all others share ``TAIL`` classes by their last letters, inside which a word
-has its smoothed share of the class's occurrences. Those counts grow with the
-corpus; they stay in a table and meet the texts in a join.
+(``HEAD``) have a class of their own; all others share ``TAIL`` classes by
+their last letters, inside which a word has its smoothed share of the class's
+occurrences. The counts of words grow with the corpus and stay in a table that
+meets the texts in a join; only those of the ``KNOWN`` most frequent words, a
+table of bounded size, are looked up in the tasks, so the join sees rare words
+alone.
 
 One step of the recursion takes the state distribution before a token,
 multiplies it by the token's emissions and applies the transitions; every few
@@ -34,10 +36,13 @@ from ordermill.sources.scratch import materialize
 
 STATES = 8
 HEAD = 8192  # words with a class of their own
-HEAD_BYTES = 64  # longer words never have one, so the table stays below HEAD * HEAD_BYTES bytes
+KNOWN = 1 << 17  # words whose counts every task holds
+KNOWN_BYTES = 64  # longer words are never among them, so the table stays below KNOWN * (KNOWN_BYTES + 8) bytes
+BUCKETS = 16  # steps of the frequency scale for each doubling
 TAIL = 512  # classes of all other words
 ROUNDS = 5
 PERSIST = 50  # weight of staying in a state before the first round
+SLICE = 4 << 20  # text handled at once inside a task
 CHUNK = 1024
 RESCALE = 8  # tokens between two scalings; their chances multiply to far more than the least number
 BATCH_CHUNKS = 4096  # chunks that go through the recursion side by side
@@ -61,7 +66,7 @@ def token_counts(documents: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 found = split_words(part.column("text"))
                 counts = np.bincount(found.codes, minlength=len(found.names))
                 yield pa.RecordBatch.from_arrays(
@@ -86,20 +91,23 @@ def _tail_classes(words: list[str]) -> np.ndarray:
 
 
 class Lexicon:
-    """What every task knows: the head words with their counts, and the sizes of the tail classes."""
+    """What every task knows: frequent words with their counts and classes, and the sizes of the tail classes.
 
-    def __init__(self, head: list[tuple[str, int]], occurrences: np.ndarray, kinds: np.ndarray, total: int, distinct: int) -> None:
-        self.head = {word: number for number, (word, _) in enumerate(head)}
-        self.head_counts = np.array([n for _, n in head], np.int64)
-        self.occurrences, self.kinds = occurrences, kinds  # of tail classes: all occurrences, distinct words
-        self.total, self.distinct = total, distinct
+    ``words``: most frequent first, the end of a text before all others; the first ``head`` have classes of their own.
+    """
 
-    @property
-    def classes(self) -> int:
-        return len(self.head) + TAIL
+    def __init__(self, words: list[tuple[str, int]], head: int, total: int, distinct: int, occurrences: np.ndarray, kinds: np.ndarray) -> None:
+        self.words = [word for word, _ in words]
+        self.counts = np.array([n for _, n in words], np.int64)
+        self.head, self.total, self.distinct = min(head, len(words)), total, distinct
+        self.occurrences, self.kinds = occurrences, kinds  # of tail classes: all occurrences, distinct words
+        self.classes = np.append(np.arange(self.head), self.head + _tail_classes(self.words[self.head :])).astype(np.int64)
+        self.base = np.log10((self.counts + 1) / (total + distinct + 1))
+        sizes = (occurrences + kinds + 1)[self.classes[self.head :] - self.head]
+        self.inside = np.append(np.zeros(self.head), np.log10((self.counts[self.head :] + 1) / sizes))
 
-    def base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 1) / (self.total + self.distinct + 1))
+    def class_counts(self) -> np.ndarray:
+        return np.concatenate([self.counts[: self.head], self.occurrences]).astype(float) + 1
 
     def inside_tail(self, counts: Column, group: Column) -> Column:
         """log10 of a word's share of its class, one unknown word included."""
@@ -107,70 +115,73 @@ class Lexicon:
         return F.log10((counts + 1) / F.element_at(sizes, group + 1))
 
 
-def learn_lexicon(counts: DataFrame, head: int = HEAD) -> Lexicon:
+def learn_lexicon(counts: DataFrame, head: int = HEAD, known: int = KNOWN) -> Lexicon:
     """``counts``: the stored ``token_counts`` of the training rows."""
-    top = (
-        counts.where((F.octet_length("word") <= HEAD_BYTES) & (F.col("word") != END))
-        .orderBy(F.col("n").desc(), "word")
-        .limit(head - 1)
-        .collect()
-    )
-    end = counts.where(F.col("word") == END).collect()
-    words = [(row["word"], row["n"]) for row in [*end, *top]]
-    words = words if end else [(END, 0), *words]
+    short = counts.where((F.octet_length("word") <= KNOWN_BYTES) & (F.col("word") != END))
+    step = F.floor(F.log2("n") * BUCKETS)
+    steps = sorted(((row[0], row[1]) for row in short.groupBy(step).count().collect()), reverse=True)
+    lowest, room = None, known - 1
+    for value, size in steps:  # whole steps of the scale, as far as they fit
+        room -= size
+        if room < 0:
+            break
+        lowest = value
+    often = short.where(step >= lowest).collect() if lowest is not None else []
+    end = [(row["word"], row["n"]) for row in counts.where(F.col("word") == END).collect()] or [(END, 0)]
+    words = end + sorted(((row["word"], row["n"]) for row in often), key=lambda one: (-one[1], one[0]))
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     sizes = counts.groupBy(tail_class(F.col("word")).alias("group")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
     occurrences, kinds = np.zeros(TAIL, np.int64), np.zeros(TAIL, np.int64)
     for row in sizes:
         occurrences[row["group"]], kinds[row["group"]] = row["n"], row["kinds"]
-    known = [word for word, n in words if n]
-    for group, n in zip(_tail_classes(known).tolist(), [n for _, n in words if n]):
+    own = [(word, n) for word, n in words[:head] if n]  # these are not in tail classes
+    for group, (_, n) in zip(_tail_classes([word for word, _ in own]).tolist(), own):
         occurrences[group] -= n
         kinds[group] -= 1
-    return Lexicon(words, occurrences, kinds, int(totals[0]), int(totals[1]))
+    return Lexicon(words, head, int(totals[0]), int(totals[1]), occurrences, kinds)
 
 
 def encoded(documents: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """One row per document: its classes, and its words outside the head with their counts.
+    """One row per document: its classes, the chances of its known words, and its other words with their counts.
 
     ``uid`` numbers the rows of the written table; ids may repeat or be null.
     """
-    head = pa.array(list(lexicon.head), pa.string())
+    known = pa.array(lexicon.words, pa.string())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                found = split_words(part.column("text"))
-                own = pc.fill_null(pc.index_in(found.names, head), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-                tails = np.flatnonzero(own < 0)
-                classes = own.copy()
-                classes[tails] = len(head) + _tail_classes(found.names.take(pa.array(tails)).to_pylist())
+            for part in slices(batch, limit=SLICE):
                 rows = part.num_rows
+                found = split_words(part.column("text"))
+                own = pc.fill_null(pc.index_in(found.names, known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                rare_names = np.flatnonzero(own < 0)
+                classes = lexicon.classes[own]
+                classes[rare_names] = lexicon.head + _tail_classes(found.names.take(pa.array(rare_names)).to_pylist())
                 ends = np.searchsorted(found.docs, np.arange(rows), side="right")
-                tokens = np.insert(classes[found.codes], ends, lexicon.head[END]).astype(np.uint16)
+                tokens = np.insert(classes[found.codes], ends, 0).astype(np.uint16)  # the end of a text has class 0
                 bounds = ends + np.arange(1, rows + 1)
-                in_head = own[found.codes] >= 0
-                known = np.bincount(found.docs[in_head], minlength=rows)
-                base = np.bincount(found.docs[in_head], lexicon.base(lexicon.head_counts)[own[found.codes[in_head]]], minlength=rows)
-                pairs, times = np.unique(found.docs[~in_head] * len(found.names) + found.codes[~in_head], return_counts=True)
-                docs, names = pairs // max(1, len(found.names)), pairs % max(1, len(found.names))
-                cuts = pa.array(np.searchsorted(docs, np.arange(rows + 1)).astype(np.int32))
-                rare = pa.StructArray.from_arrays([found.names.take(pa.array(names)), pa.array(times, pa.int64())], ["word", "times"])
-                data = pa.py_buffer(tokens.tobytes())
+                rare = own[found.codes] < 0
+                words, docs = own[found.codes[~rare]], found.docs[~rare]
+                counts = np.bincount(docs, minlength=rows) + int(lexicon.counts[0] > 0)
+                base = np.bincount(docs, lexicon.base[words], minlength=rows) + lexicon.base[0]
+                inside = np.bincount(docs, lexicon.inside[words], minlength=rows)
+                pairs, times = np.unique(found.docs[rare] * len(found.names) + found.codes[rare], return_counts=True)
+                size = max(1, len(found.names))
+                cuts = pa.array(np.searchsorted(pairs // size, np.arange(rows + 1)).astype(np.int32))
+                others = pa.StructArray.from_arrays([found.names.take(pa.array(pairs % size)), pa.array(times, pa.int64())], ["word", "times"])
                 offsets = pa.py_buffer(np.append(0, 2 * bounds).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), part.column("held_out"), pa.array(bounds - np.append(0, bounds[:-1]), pa.int64()),
-                        pa.Array.from_buffers(pa.binary(), rows, [None, offsets, data]),
-                        pa.array(known + (lexicon.head_counts[lexicon.head[END]] > 0), pa.int64()),
-                        pa.array(base + lexicon.base(lexicon.head_counts)[lexicon.head[END]], pa.float64()),
-                        pa.ListArray.from_arrays(cuts, rare),
+                        pa.Array.from_buffers(pa.binary(), rows, [None, offsets, pa.py_buffer(tokens.tobytes())]),
+                        pa.array(counts, pa.int64()), pa.array(base, pa.float64()), pa.array(inside, pa.float64()),
+                        pa.ListArray.from_arrays(cuts, others),
                     ],
-                    ["doc_id", "held_out", "n_tokens", "classes", "known", "base", "rare"],
+                    ["doc_id", "held_out", "n_tokens", "classes", "known", "base", "inside", "rare"],
                 )
 
     schema = (
-        "doc_id long, held_out boolean, n_tokens long, classes binary, known long, base double,"
+        "doc_id long, held_out boolean, n_tokens long, classes binary, known long, base double, inside double,"
         " rare array<struct<word: string, times: long>>"
     )
     return documents.mapInArrow(work, schema).withColumn("uid", F.monotonically_increasing_id())
@@ -301,7 +312,7 @@ def first_model(lexicon: Lexicon, states: int = STATES, seed: int = SEED) -> Mod
     So the first rounds tell languages and kinds of text apart, the later ones what follows what.
     """
     dice = np.random.default_rng(seed)
-    counts = np.concatenate([lexicon.head_counts, lexicon.occurrences]).astype(float) + 1
+    counts = lexicon.class_counts()
     emit = counts[:, None] * np.exp(dice.normal(0, 1, (len(counts), states)))
     move = dice.uniform(0.5, 1.5, (states, states)) + PERSIST * np.eye(states)
     return Model(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
@@ -345,8 +356,7 @@ def train(training: DataFrame, lexicon: Lexicon, states: int = STATES, rounds: i
     no token of any text has the chance zero.
     """
     model = first_model(lexicon, states)
-    corpus = np.concatenate([lexicon.head_counts, lexicon.occurrences]).astype(float) + 1
-    corpus /= corpus.sum()
+    corpus = lexicon.class_counts() / lexicon.class_counts().sum()
     for _ in range(rounds):
         counts = _round(training, model)
         starts, moves, emits = counts[0] + 0.1, counts[1 : 1 + states] + 0.1, counts[1 + states :]
@@ -355,7 +365,7 @@ def train(training: DataFrame, lexicon: Lexicon, states: int = STATES, rounds: i
     return model
 
 
-def score_documents(documents: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, head: int = HEAD,
+def score_documents(documents: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, head: int = HEAD, known: int = KNOWN,
                     states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of every text.
 
@@ -371,19 +381,18 @@ def score_documents(documents: DataFrame, folds: int = FOLDS, held_out: int = HE
         F.col("text").cast("string").alias("text"),
     )
     counts = materialize(token_counts(rows.where("not held_out")), "tokens")
-    lexicon = learn_lexicon(counts, head)
+    lexicon = learn_lexicon(counts, head, known)
     stored = materialize(encoded(rows, lexicon), "classes")
     model = train(stored.where("not held_out"), lexicon, states, rounds)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, tokens in _batches_of_tokens(batches):
             found = log_likelihood(tokens, model) / np.log(10)
-            names = ["uid", "doc_id", "held_out", "n_tokens", "known", "base"]
+            names = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "inside"]
             yield pa.RecordBatch.from_arrays([*[part.column(name) for name in names], pa.array(found)], [*names, "latent"])
 
-    scored = stored.select("uid", "doc_id", "held_out", "n_tokens", "known", "base", "classes").mapInArrow(
-        work, "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, latent double"
-    )
+    columns = "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, latent double"
+    scored = stored.drop("rare").mapInArrow(work, columns)
     rare = stored.select("uid", F.explode("rare").alias("rare")).select("uid", "rare.word", "rare.times")
     n = F.coalesce("n", F.lit(0))
     chances = rare.join(counts, "word", "left").select(
@@ -399,5 +408,5 @@ def score_documents(documents: DataFrame, folds: int = FOLDS, held_out: int = HE
         (F.col("known") + F.coalesce("_known", zero)).alias("n_known"),
         F.lit(lexicon.total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("_base", zero)).alias("base_score"),
-        (F.col("latent") + F.coalesce("_inside", zero)).alias("score"),
+        (F.col("latent") + F.col("inside") + F.coalesce("_inside", zero)).alias("score"),
     )

@@ -99,21 +99,21 @@ def rounded(rows):
     return sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("head", [4, 5000])
-def test_counts_and_base_equal_brute_force(spark, documents, head):
+@pytest.mark.parametrize(("head", "known"), [(4, 9), (5000, 5000), (3, 1)])
+def test_counts_and_base_equal_brute_force(spark, documents, head, known):
     rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
-    found = hm.score_documents(documents, head=head, states=2, rounds=1).collect()
+    found = hm.score_documents(documents, head=head, known=known, states=2, rounds=1).collect()
     assert rounded(found) == sorted(brute(rows), key=repr)
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in found)
 
 
 def test_scores_are_the_likelihood_of_classes_and_of_words_in_them(spark, documents):
     rows = documents.select("doc_id", "text")
-    found = {(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r["score"] for r in hm.score_documents(rows, head=20, states=3, rounds=2).collect()}
+    found = {(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r["score"] for r in hm.score_documents(rows, head=20, known=31, states=3, rounds=2).collect()}
     split = rows.selectExpr("doc_id", "text", "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 7 = 2, false) held_out")
     counts = hm.token_counts(split.where("not held_out"))
-    lexicon = hm.learn_lexicon(counts, 20)
-    assert len(lexicon.head) == 20
+    lexicon = hm.learn_lexicon(counts, 20, 31)
+    assert lexicon.head == 20 < len(lexicon.words) <= 31
     model = hm.train(hm.encoded(split, lexicon).where("not held_out").repartition(5), lexicon, 3, 2)
     known = {r["word"]: r["n"] for r in counts.collect()}
     texts = [tuple(row) for row in rows.collect()]
@@ -121,11 +121,11 @@ def test_scores_are_the_likelihood_of_classes_and_of_words_in_them(spark, docume
         words = words_of(text)
         classes, inside = [], 0.0
         for word in words:
-            if word in lexicon.head:
-                classes.append(lexicon.head[word])
+            if word in lexicon.words[: lexicon.head]:
+                classes.append(lexicon.words.index(word))
                 continue
             group = zlib.crc32(word[-3:].encode()) % hm.TAIL
-            classes.append(len(lexicon.head) + group)
+            classes.append(lexicon.head + group)
             inside += math.log10((known.get(word, 0) + 1) / (lexicon.occurrences[group] + lexicon.kinds[group] + 1))
         wanted = plain_forward(classes, model) / math.log(10) + inside
         assert found[(doc, n_tokens, base)] == pytest.approx(wanted, rel=1e-5)
@@ -134,7 +134,7 @@ def test_scores_are_the_likelihood_of_classes_and_of_words_in_them(spark, docume
 def test_class_chances_sum_to_one(spark, documents):
     counts = hm.token_counts(documents)
     lexicon = hm.learn_lexicon(counts, 10)
-    rare = [r for r in counts.collect() if r["word"] not in lexicon.head]
+    rare = [r for r in counts.collect() if r["word"] not in lexicon.words[: lexicon.head]]
     groups = Counter()
     for r in rare:
         groups[zlib.crc32(r["word"][-3:].encode()) % hm.TAIL] += r["n"] + 1
