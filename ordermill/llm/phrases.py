@@ -1,17 +1,22 @@
 """Phrase collocations: counts of all word runs from truncated suffix trees that are built apart from each other.
 
 Every word occurrence starts a suffix of at most five words inside its piece.
-The suffixes are dealt out by vertical partitioning: a prefix with at most
-``budget`` occurrences is one unit, a longer-lived one is extended by its next
-word until its parts fit, and units are packed into groups of about one budget.
-Each group builds the part of the suffix tree below its prefixes level by
-level, without the rest of the texts: the leaves' totals give the counts of
-all nodes above them, and a node below the threshold has no node to report
-underneath, so its suffixes are let go at once.
-
-Prefixes that had to be extended are known to every task: they occur more than
-a quarter of ``budget`` times each, so there are at most
-``4 * words * max_words / budget`` of them.
+The suffixes are dealt out by vertical partitioning: prefixes of two words are
+packed into groups of about one ``budget`` of suffixes, and a prefix that may
+hold more than a quarter of it alone is extended by its next word. Each group
+builds the part of the suffix tree below its prefixes level by level, without
+the rest of the texts: the leaves' totals give the counts of all nodes above
+them, and below a node that is too rare nothing is built.
+
+The range of words read grows with what is still open. Single words are
+counted first; then trees of two words over the frequent words; only suffixes
+whose pairs of words are all frequent are read up to five words. What is
+frequent is told to the tasks by bitmaps of fixed size, in which a rare pair may
+share the bit of a frequent one and is then counted for nothing.
+
+A prefix is extended if all its pairs of words are ``heavy``, that is occur more
+than ``budget / 4`` times; there are at most ``4 * words / budget`` such pairs.
+Counts of extended prefixes come from several groups and are summed up.
 """
 
 from __future__ import annotations
@@ -35,12 +40,10 @@ BLANKS = byte_set(b" \t")
 MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
-SLICE = 16 << 20
+SLICE = 8 << 20
 LEAST_BUDGET, MOST_BUDGET = 1 << 12, 1 << 22
-PARTS = 256  # a budget is about this share of all words
-FILTER_BITS = 24  # size of the filter of frequent words, whatever their number
-
-Heavy = dict[str, set[str]]  # by language: prefixes that are extended
+PARTS = 64  # a budget is about this share of all words
+WORD_BITS, PAIR_BITS = 24, 26  # sizes of the bitmaps of frequent words and pairs, whatever their number
 
 
 def _key(lang: Column, word: Column) -> Column:
@@ -83,13 +86,10 @@ def word_counts(documents: DataFrame) -> DataFrame:
 # Vertical partitioning -------------------------------------------------------------
 
 
-def frequent_filter(words: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """One bit per hash of a frequent word: a word without its bit is rare; a rare word may share one.
-
-    A bitmap of fixed size, built by merging partial bitmaps of 4 KB.
-    """
-    slot = _key(F.col("lang"), F.col("word")).bitwiseAND(F.lit((1 << bits) - 1)) + 1  # the functions count from 1
-    buckets = words.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+def bitmap_of(slots: DataFrame, bits: int) -> np.ndarray:
+    """The column ``slot`` as a bitmap of ``2 ** bits`` bits, merged from partial bitmaps of 4 KB."""
+    counted = slots.select((F.col("slot") + 1).alias("slot"))  # the functions count from 1
+    buckets = counted.groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
     table = np.zeros(1 << bits >> 3, np.uint8)
     for row in buckets.agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect():
         part = np.frombuffer(bytes(row["bits"]), np.uint8)
@@ -97,186 +97,99 @@ def frequent_filter(words: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return table
 
 
-class Partition:
-    """Where a suffix belongs: the group of its shortest prefix that is not extended."""
+def _marked(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (table[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
-    def __init__(self, heavy: Heavy, groups: int, rare: np.ndarray) -> None:
-        self.heavy, self.groups, self.rare = heavy, groups, rare  # ``rare``: see frequent_filter
 
-    def _frequent(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys & ((1 << FILTER_BITS) - 1)
-        return (self.rare[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of a run from the hash of its first words and the key of the next one."""
+    left = left * np.uint64(0x9E3779B97F4A7C15)
+    return ((left ^ (left >> np.uint64(32))) + right.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
 
-    def suffixes(self, lang: str, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids (0: no word there) of every suffix that starts with a frequent word, as five columns, and its group.
 
-        A suffix ends before the first rare word: no phrase across one is
-        frequent. Its group is -1 where it lies wholly inside extended prefixes.
-        """
-        keys = _keys(lang, found.names)
-        good = self._frequent(keys)
-        codes = np.where(good[found.codes], found.codes + 1, 0)
-        first = np.flatnonzero(codes)
-        columns = [codes[first]]
-        alive = np.ones(len(first), bool)
-        for step in range(1, MAX_WORDS):
-            at = np.minimum(first + step, len(codes) - 1)
-            alive = alive & (first + step < len(codes)) & (found.pieces[at] == found.pieces[first]) & (codes[at] > 0)
-            columns.append(np.where(alive, codes[at], 0))
-        ids = np.stack(columns)
-        return ids, self._groups(lang, ids, keys, found.names), keys
+def _pair_slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (_mix(left.astype(np.uint64), right) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
-    def _groups(self, lang: str, ids: np.ndarray, keys: np.ndarray, names: pa.Array) -> np.ndarray:
-        groups = np.full(ids.shape[1], -1)
-        if not ids.shape[1]:
-            return groups
-        own = self.heavy.get(lang, set())
-        numbers: dict[str, int] = {}
-        if own:
-            wanted = sorted({word for phrase in own for word in phrase.split(" ")})
-            places = pc.index_in(pa.array(wanted, pa.string()), names).to_pylist()
-            numbers = {word: place + 1 for word, place in zip(wanted, places) if place is not None}
-        by_depth: dict[int, set[tuple]] = {}
-        for phrase in own:
-            parts = phrase.split(" ")
-            if all(part in numbers for part in parts):
-                by_depth.setdefault(len(parts), set()).add(tuple(numbers[part] for part in parts))
-        idx = np.arange(ids.shape[1])
-        mixed = np.zeros(ids.shape[1], np.uint64)
-        prefix = np.zeros(ids.shape[1], np.int64)  # number of the extended prefix so far
-        known = {(): 0}
-        for depth in range(1, MAX_WORDS + 1):
-            idx = idx[ids[depth - 1, idx] > 0]
-            words = ids[depth - 1, idx]
-            mixed[idx] = mixed[idx] * np.uint64(0x9E3779B97F4A7C15) + keys[words - 1].astype(np.uint64)
-            extended = by_depth.get(depth, set())
-            joined = prefix[idx] * (len(names) + 1) + words
-            table = {known[one[:-1]] * (len(names) + 1) + one[-1]: one for one in extended if one[:-1] in known}
-            values = np.array(sorted(table), np.int64)
-            place = np.searchsorted(values, joined)
-            inside = np.zeros(len(idx), bool)
-            if len(values):
-                inside = values[np.minimum(place, len(values) - 1)] == joined
-            spread = mixed[idx[~inside]] >> np.uint64(32 if depth > 1 else 0)
-            groups[idx[~inside]] = spread % np.uint64(self.groups)
-            known = {table[value]: number for number, value in enumerate(values.tolist())}
-            idx = idx[inside]
-            prefix[idx] = place[inside]
-        return groups
-
-
-def extended_prefixes(documents: DataFrame, words: DataFrame, budget: int) -> tuple[Heavy, DataFrame]:
-    """Prefixes of more than ``budget`` occurrences, and their counts (``lang``, ``phrase``, ``n``) from two words on.
-
-    Level by level: only extensions of the prefixes found on the level before
-    are counted, and only by words that occur so often themselves.
-    """
-    spark = documents.sparkSession
-    heavy: Heavy = {}
-    last = words.where(F.col("n") > budget).select("lang", F.col("word").alias("phrase"), "n")
-    counts = last.limit(0)
-    for depth in range(2, MAX_WORDS + 2):
-        rows = last.collect()
-        if not rows:
-            break
-        level: Heavy = {}
-        for row in rows:
-            heavy.setdefault(row["lang"], set()).add(row["phrase"])
-            level.setdefault(row["lang"], set()).add(row["phrase"])
-        if depth == 2:
-            single = level
-        else:
-            counts = counts.unionAll(spark.createDataFrame(rows, counts.schema))
-        if depth > MAX_WORDS:
-            break
-        grown = _texts(documents).mapInArrow(_grown(level, single, depth), "lang string, phrase string, n long")
-        last = materialize(grown.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") > budget), "prefixes")
-    return heavy, counts
-
-
-def _grown(level: Heavy, single: Heavy, depth: int):
-    """Counts of the runs of ``depth`` words whose first ones are a prefix of ``level`` and whose last is in ``single``."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, found in _by_language(batch):
-                first = np.arange(max(0, len(found.codes) - depth + 1))
-                first = first[found.pieces[first] == found.pieces[first + depth - 1]]
-                ends = pc.is_in(found.names, pa.array(sorted(single.get(lang, ())), pa.string())).to_numpy(zero_copy_only=False)
-                first = first[ends[found.codes[first + depth - 1]]]
-                prefixes = sorted(level.get(lang, ()))
-                if not prefixes or not len(first):
-                    continue
-                size = len(found.names) + 1
-                parts = [phrase.split(" ") for phrase in prefixes]
-                rows = np.zeros(len(first), np.int64)
-                alive = np.ones(len(first), bool)
-                nodes = {(): 0}
-                for at in range(depth - 1):
-                    heads = sorted({tuple(one[: at + 1]) for one in parts})
-                    places = pc.index_in(pa.array([head[-1] for head in heads], pa.string()), found.names).to_pylist()
-                    table = {nodes[head[:-1]] * size + place: head for head, place in zip(heads, places) if place is not None and head[:-1] in nodes}
-                    values = np.array(sorted(table), np.int64)
-                    joined = rows * size + found.codes[first + at]
-                    place = np.searchsorted(values, joined)
-                    alive &= values[np.minimum(place, len(values) - 1)] == joined if len(values) else False
-                    rows = np.where(alive, place, 0)
-                    nodes = {table[value]: number for number, value in enumerate(values.tolist())}
-                keep = np.flatnonzero(alive)
-                joined = rows[keep] * size + found.codes[first[keep] + depth - 1]
-                values, counts = np.unique(joined, return_counts=True)
-                names = {number: " ".join(head) for head, number in nodes.items()}
-                tails = found.names.take(pa.array(values % size)).to_pylist()
-                phrases = [f"{names[head]} {tail}" for head, tail in zip((values // size).tolist(), tails)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64())],
-                    ["lang", "phrase", "n"],
-                )
+class Partition:
+    """Which suffixes are read, how far, and to which group they go."""
 
-    return work
+    def __init__(self, groups: int, words: np.ndarray, pairs: np.ndarray | None = None, heavy: dict[str, list[str]] | None = None) -> None:
+        self.groups, self.words, self.pairs, self.heavy = groups, words, pairs, heavy or {}
 
+    def heavy_codes(self, lang: str, names: pa.Array) -> np.ndarray:
+        """Heavy pairs as sorted numbers: place of the first word times the number of names, plus that of the second."""
+        pairs = [phrase.split(" ") for phrase in self.heavy.get(lang, ())]
+        flat = pa.array([word for pair in pairs for word in pair], pa.string())
+        places = pc.fill_null(pc.index_in(flat, names), -1).to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 2)
+        places = places[(places >= 0).all(1)]
+        return np.sort(places[:, 0] * len(names) + places[:, 1])
 
-def group_count(words: DataFrame, total: int, budget: int) -> int:
-    """Number of groups, doubled until no group's single-word prefixes exceed the budget."""
-    groups = max(1, -(-2 * total // budget))
-    while True:
-        group = (_key(F.col("lang"), F.col("word")) % groups).alias("grp")
-        most = words.groupBy(group).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
-        if most <= budget or groups > 64 * total // budget:
-            return groups
-        groups *= 2
+    def suffixes(self, lang: str, found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct suffixes of a slice: word places counted from 1 (0: none), one column a word; how often; their group.
 
+        A suffix ends before the first rare word and before the first rare
+        pair: no phrase across one is frequent. Suffixes of one word are left out.
+        """
+        keys = _keys(lang, found.names)
+        size = len(found.names) + 1
+        good = _marked(self.words, keys & ((1 << WORD_BITS) - 1))
+        codes = np.append(found.codes, 0)  # a place after the last word
+        joined = np.append(found.pieces[1:] == found.pieces[:-1], [False]) & good[found.codes] & good[codes[1:]]
+        if self.pairs is not None:
+            at = np.flatnonzero(joined)
+            joined[at] = _marked(self.pairs, _pair_slots(keys[codes[at]], keys[codes[at + 1]]))
+        first = np.flatnonzero(joined)
+        width = 2 if self.pairs is None else MAX_WORDS
+        number, times, columns = codes[first] + 1, None, [codes[first] + 1]
+        alive = np.ones(len(first), bool)
+        at = first
+        for _ in range(1, width):
+            alive = alive & joined[np.minimum(at, len(joined) - 1)]
+            at = at + 1
+            columns.append(np.where(alive, codes[np.minimum(at, len(codes) - 1)] + 1, 0))
+            _, number = np.unique(number * size + columns[-1], return_inverse=True)  # numbers of equal suffixes
+        _, sample, times = np.unique(number, return_index=True, return_counts=True)
+        ids = np.stack([column[sample] for column in columns])
+        return ids, times, self._groups(lang, ids, keys, found.names)
 
-# Subtrees ----------------------------------------------------------------------------
+    def _groups(self, lang: str, ids: np.ndarray, keys: np.ndarray, names: pa.Array) -> np.ndarray:
+        heavy = self.heavy_codes(lang, names)
+        padded = np.append(0, keys)
+        mixed = _mix(padded[ids[0]].astype(np.uint64), padded[ids[1]])
+        extended = np.ones(ids.shape[1], bool)
+        for depth in range(2, len(ids)):
+            extended &= np.isin((ids[depth - 2] - 1) * len(names) + ids[depth - 1] - 1, heavy) & (ids[depth - 1] > 0)
+            mixed = np.where(extended, _mix(mixed, padded[ids[depth]]), mixed)
+        return ((mixed >> np.uint64(32)) % np.uint64(self.groups)).astype(np.int64)
 
 
 def dealt_suffixes(documents: DataFrame, partition: Partition) -> DataFrame:
-    """``lang``, ``grp``, ``words``, ``ids``: the suffixes of a slice of texts that belong to one group, packed.
+    """``lang``, ``grp``, ``words``, ``ids``, ``suffixes``: the suffixes of a slice of texts that belong to one group, packed.
 
-    ``words`` is the table of the words used, ``ids`` five columns of
-    unsigned 32-bit places in it, counted from 1.
+    ``words`` is the table of the words used, ``ids`` one column of unsigned
+    places in it for each word of the suffixes, and one of their numbers of
+    occurrences; 16 bits a place where they suffice.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, found in _by_language(batch):
-                ids, groups, _ = partition.suffixes(lang, found)
-                used = np.flatnonzero((groups >= 0) & (ids[1] > 0))  # single words are counted already
-                order = used[np.lexsort((ids[1, used], ids[0, used], groups[used]))]
+                ids, times, groups = partition.suffixes(lang, found)
+                order = np.argsort(groups, kind="stable")
                 groups = groups[order]
                 firsts = np.flatnonzero(np.diff(groups, prepend=-1))
-                ends = np.append(firsts[1:], len(groups))
+                ends = np.append(firsts[1:], len(groups))[: len(firsts)]
                 tables, packed = [], []
                 for begin, end in zip(firsts.tolist(), ends.tolist()):
                     block = ids[:, order[begin:end]]
-                    known, local = np.unique(block, return_inverse=True)
-                    local = local.reshape(block.shape)
-                    if known[0]:
-                        local = local + 1
-                    else:
-                        known = known[1:]
-                    tables.append(found.names.take(pa.array(known - 1)))
-                    packed.append(local.astype(np.uint16 if len(known) < 65_535 else np.uint32).tobytes())
+                    used = np.zeros(len(found.names) + 1, bool)
+                    used[block.ravel()] = True
+                    used[0] = False
+                    local = np.cumsum(used) * used
+                    tables.append(found.names.take(pa.array(np.flatnonzero(used) - 1)))
+                    whole = np.vstack([local[block], times[None, order[begin:end]]])
+                    packed.append(whole.astype(np.uint16 if whole.max() < 1 << 16 else np.uint32).tobytes())
                 if not packed:
                     continue
                 sizes = np.cumsum([0, *map(len, tables)]).astype(np.int32)
@@ -292,35 +205,82 @@ def dealt_suffixes(documents: DataFrame, partition: Partition) -> DataFrame:
     return _texts(documents).mapInArrow(work, "lang string, grp long, words array<string>, ids binary, suffixes long")
 
 
-def subtree_counts(tables: list[pa.Array], blocks: list[np.ndarray], least: int) -> tuple[list[str], np.ndarray]:
-    """Phrases from two words on that occur at least ``least`` times among the suffixes, and how often.
+# Subtrees ----------------------------------------------------------------------------
+
+
+class Suffixes:
+    """The suffixes of one group with a table of all its words."""
+
+    def __init__(self, rows: pa.Table, width: int) -> None:
+        lists = rows.column("words").combine_chunks()
+        tables = [lists[number].values for number in range(len(lists))]
+        coded = pa.concat_arrays(tables).dictionary_encode()
+        self.names = coded.dictionary
+        codes = np.append(coded.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1, 0)
+        starts = np.cumsum([0, *map(len, tables)])
+        blocks, times = [], []
+        for start, packed, count in zip(starts, rows.column("ids").to_pylist(), rows.column("suffixes").to_pylist()):
+            kind = np.uint16 if len(packed) == 2 * (width + 1) * count else np.uint32
+            block = np.frombuffer(packed, kind).reshape(width + 1, count).astype(np.int64)
+            blocks.append(codes[np.where(block[:-1] > 0, start + block[:-1] - 1, -1)])
+            times.append(block[-1])
+        self.columns, self.times = np.concatenate(blocks, axis=1), np.concatenate(times)
+
+
+def subtree_counts(suffixes: Suffixes, least: int, heavy: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Nodes from two words on with at least ``least`` occurrences here: phrases, occurrences, last two words' places.
 
     Level by level: a node's number and the next word make the number of its
-    child; how often a child's number occurs is the total of the leaves below it.
+    child, and the times of all suffixes with a child's number are the total
+    of the leaves below it. Nodes of heavy pairs alone are kept however rare,
+    for other groups hold the rest of them.
     """
-    coded = pa.concat_arrays(tables).dictionary_encode()
-    names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    starts = np.cumsum([0, *map(len, tables)])
-    columns = [
-        np.concatenate([np.append(0, codes[start : start + len(table)])[block[depth]] for start, table, block in zip(starts, tables, blocks)])
-        for depth in range(MAX_WORDS)
-    ]
-    node, texts = columns[0] - 1, names
-    phrases, totals = [], [np.zeros(0, np.int64)]
-    rows = np.arange(len(node))
-    for depth in range(1, MAX_WORDS):
-        word = columns[depth][rows]
+    names, size = suffixes.names.to_pylist(), len(suffixes.names) + 1
+    node, texts = suffixes.columns[0].astype(np.int64), ["", *names]
+    phrases, totals, pairs = [], [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)]
+    rows, extended = np.arange(len(node)), np.ones(size, bool)
+    last = np.arange(size) - 1  # place of a node's last word
+    for column in suffixes.columns[1:]:
+        word = column[rows].astype(np.int64)
         rows, node, word = rows[word > 0], node[word > 0], word[word > 0]
-        values, inverse, counts = np.unique(node * (len(names) + 1) + word, return_inverse=True, return_counts=True)
-        keep = counts >= least
-        numbers = np.cumsum(keep) - 1
-        kept = values[keep]
-        texts = [f"{texts[head]} {names[tail - 1]}" for head, tail in zip((kept // (len(names) + 1)).tolist(), (kept % (len(names) + 1)).tolist())]
+        values, inverse = np.unique(node * size + word, return_inverse=True)
+        counts = np.bincount(inverse, suffixes.times[rows], minlength=len(values)).astype(np.int64)
+        heads, tails = values // size, values % size - 1
+        spread = extended[heads] & np.isin(last[heads] * len(names) + tails, heavy)
+        keep = (counts >= least) | spread
+        heads, tails = heads[keep], tails[keep]
+        pairs.append(np.stack([last[heads], tails], axis=1))
+        texts = [f"{texts[head]} {names[tail]}" for head, tail in zip(heads.tolist(), tails.tolist())]
         phrases += texts
         totals.append(counts[keep])
         alive = keep[inverse]
-        rows, node = rows[alive], numbers[inverse[alive]]
-    return phrases, np.concatenate(totals)
+        rows, node = rows[alive], (np.cumsum(keep) - 1)[inverse[alive]]
+        extended, last = spread[keep], tails
+    return phrases, np.concatenate(totals), np.concatenate(pairs)
+
+
+def _trees(documents: DataFrame, partition: Partition, least: int, width: int) -> DataFrame:
+    """``lang``, ``phrase``, ``n``, ``slot`` (bit of the last pair of words) of the nodes of all groups."""
+
+    def work(key: tuple, rows: pa.Table) -> pa.Table:
+        lang = key[0].as_py()
+        suffixes = Suffixes(rows, width)
+        phrases, counts, pairs = subtree_counts(suffixes, least, partition.heavy_codes(lang, suffixes.names))
+        keys = _keys(lang, suffixes.names)
+        slots = _pair_slots(keys[pairs[:, 0]], keys[pairs[:, 1]])
+        return pa.table(
+            [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(counts, pa.int64()), pa.array(slots, pa.int64())],
+            ["lang", "phrase", "n", "slot"],
+        )
+
+    return dealt_suffixes(documents, partition).groupBy("lang", "grp").applyInArrow(work, "lang string, phrase string, n long, slot long")
+
+
+def heavy_pairs(pairs: DataFrame, above: int) -> dict[str, list[str]]:
+    heavy: dict[str, list[str]] = {}
+    for row in pairs.where(F.col("n") > above).select("lang", "phrase").collect():
+        heavy.setdefault(row["lang"], []).append(row["phrase"])
+    return heavy
 
 
 def frequent_phrases(documents: DataFrame, words: DataFrame, least: int = MIN_COUNT, budget: int | None = None) -> DataFrame:
@@ -331,30 +291,15 @@ def frequent_phrases(documents: DataFrame, words: DataFrame, least: int = MIN_CO
     """
     total = words.agg(F.sum("n")).first()[0] or 0
     budget = budget or min(max(total // PARTS, LEAST_BUDGET), MOST_BUDGET)
+    groups = max(1, -(-total // budget))
     often = words.where(F.col("n") >= least)
-    heavy, extended = extended_prefixes(documents, words, max(1, budget // 4))
-    groups = group_count(often.where(F.col("n") <= budget // 4), total, budget)
-    partition = Partition(heavy, groups, frequent_filter(often))
-
-    def work(key: tuple, rows: pa.Table) -> pa.Table:
-        lang = key[0].as_py()
-        lists = rows.column("words").combine_chunks()
-        tables, blocks = [], []
-        for number, (packed, count) in enumerate(zip(rows.column("ids").to_pylist(), rows.column("suffixes").to_pylist())):
-            tables.append(lists[number].values)
-            kind = np.uint16 if len(packed) == 2 * MAX_WORDS * count else np.uint32
-            blocks.append(np.frombuffer(packed, kind).reshape(MAX_WORDS, count))
-        phrases, counts = subtree_counts(tables, blocks, least)
-        own = heavy.get(lang, set())
-        mine = [at for at, phrase in enumerate(phrases) if phrase not in own]  # extended ones are counted already
-        return pa.table(
-            [pa.array([lang] * len(mine), pa.string()), pa.array([phrases[at] for at in mine], pa.string()), pa.array(counts[mine], pa.int64())],
-            ["lang", "phrase", "n"],
-        )
-
-    trees = dealt_suffixes(documents, partition).groupBy("lang", "grp").applyInArrow(work, "lang string, phrase string, n long")
+    known = bitmap_of(often.select(_key(F.col("lang"), F.col("word")).bitwiseAND(F.lit((1 << WORD_BITS) - 1)).alias("slot")), WORD_BITS)
+    pairs = materialize(_trees(documents, Partition(groups, known), least, 2), "pairs")
+    partition = Partition(groups, known, bitmap_of(pairs, PAIR_BITS), heavy_pairs(pairs, budget // 4))
+    trees = _trees(documents, partition, least, MAX_WORDS).where(F.size(F.split("phrase", " ")) > 2)
+    longer = trees.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     single = often.select("lang", F.col("word").alias("phrase"), "n")
-    return single.unionAll(extended.where(F.col("n") >= least)).unionAll(trees)
+    return single.unionAll(pairs.select("lang", "phrase", "n")).unionAll(longer)
 
 
 # Collocations --------------------------------------------------------------------------

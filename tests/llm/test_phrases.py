@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from ordermill.llm import phrases
@@ -63,12 +64,10 @@ def test_collocations_equal_brute_force(texts, budget):
     assert result(phrases.collocations(df, least=6, top=50, budget=budget)) == brute(rows, 6, 50)
 
 
-def test_all_counts_equal_brute_force_with_extended_prefixes_of_every_length(spark, texts):
+@pytest.mark.parametrize("budget", [4, 80, 4000])
+def test_all_counts_equal_brute_force_with_extended_prefixes(texts, budget):
     rows, df = texts
-    words = phrases.word_counts(df)
-    heavy, _ = phrases.extended_prefixes(df, words, 20)
-    assert {len(phrase.split(" ")) for phrase in heavy["aa"]} == {1, 2, 3, 4, 5}
-    found = phrases.frequent_phrases(df, words, least=4, budget=80).collect()
+    found = phrases.frequent_phrases(df, phrases.word_counts(df), least=4, budget=budget).collect()
     wanted: Counter = Counter()
     for lang, text in rows:
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").lower()):
@@ -77,6 +76,22 @@ def test_all_counts_equal_brute_force_with_extended_prefixes_of_every_length(spa
     assert sorted(tuple(r) for r in found) == sorted((a, b, n) for (a, b), n in wanted.items() if n >= 4)
 
 
+def test_heavy_prefixes_are_spread_over_groups(spark):
+    chooser = random.Random(8)
+    rows = [("aa", f"of the {chooser.choice('abcdefgh')} {chooser.choice('xyz')} end") for _ in range(400)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    words = phrases.word_counts(df)
+    often = words.selectExpr("crc32(concat(cast(lang as binary), X'00', cast(word as binary))) & 16777215 slot")
+    known = phrases.bitmap_of(often, phrases.WORD_BITS)
+    full = np.full(1 << phrases.PAIR_BITS >> 3, 255, np.uint8)
+    dealt = phrases.dealt_suffixes(df, phrases.Partition(50, known, full, {"aa": ["of the"]})).collect()
+    groups = Counter()
+    for row in dealt:
+        if "of" in row["words"]:
+            groups[row["grp"]] += 1
+    assert len(groups) > 4  # one for each word that follows, but for shared groups
+
+
 def test_large_products_stay_exact(spark):
     expr = "div(1000 * cast(a as decimal(18,0)) * cast(n as decimal(16,0)), cast(l as decimal(19,0)) * cast(r as decimal(19,0)))"
     a, n, left, right = 987_654_321_987, 9_876_543_210_987_654, 999_999_999_999, 987_654_321_989
