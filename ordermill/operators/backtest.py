@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -19,6 +19,7 @@ FEATURES = ["lag_1", "lag_2", "lag_4", "rolling_mean_3", "month_num", "is_q4"]
 TARGET = "target_units"
 # Validation months needed, wanted and used at most.
 FEWEST_MONTHS, MIN_MONTHS, MAX_MONTHS = 2, 4, 6
+TRAIN_PARTITIONS = 4  # part of the model: another number draws other samples
 QUALITY = ["is_partial_period", "is_low_volume_period", "is_comparable_period"]
 NAIVE, BOOSTED, MOVING = "naive_lag_1", "boosted_trees", "moving_average"
 PREDICTIONS = {
@@ -197,18 +198,34 @@ def naive_backtest(features: DataFrame, most: int = MAX_MONTHS) -> DataFrame:
     )
 
 
+def can_be_tested(features: DataFrame, most: int = MAX_MONTHS, fewest: int = FEWEST_MONTHS) -> bool:
+    """Whether ``require_folds`` would accept the months of ``features``."""
+    rows = backtest_folds(features, most).collect()
+    return len(rows) >= fewest and all(row["train_rows"] for row in rows)
+
+
+def no_predictions(features: DataFrame) -> DataFrame:
+    """The table of ``boosted_backtest`` without rows."""
+    return features.limit(0).selectExpr(
+        "*", "0 fold", "0L train_rows", "'' max_train_forecast_month", "0D naive_prediction", "0D boosted_prediction"
+    )
+
+
 def boosted_backtest(
     features: DataFrame,
     most: int = MAX_MONTHS,
     params: dict | None = None,
-    partitions: int | None = None,
+    partitions: int = TRAIN_PARTITIONS,
+    model_path: str | None = None,
 ) -> DataFrame:
     """The naive rows plus the prediction of boosted trees trained before each month.
 
     The folds (at most ``most``) are independent and are fitted at the same
-    time. Training rows keep the partitioning of ``features``, or are dealt to
-    ``partitions``; the trees sample rows per partition, so a repeatable
-    forecast needs a repeatable partitioning.
+    time. The trees sample rows by their place, so every training row has a
+    fixed one: dealt to ``partitions`` by a hash of category and month, and
+    sorted inside. The forecasts are the same however ``features`` is
+    partitioned. With ``model_path`` the model of every fold is stored below
+    it and scoring uses what was stored.
     """
     usable = comparable_rows(features)
     folds = require_folds(backtest_folds(features, most))
@@ -221,12 +238,20 @@ def boosted_backtest(
     numeric = usable.withColumns({name: F.col(name).cast("double") for name in [TARGET, *FEATURES]})
     rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(numeric)
     month = F.col("forecast_month")
-    training = rows.select("forecast_month", TARGET, "_features")
-    training = (training.repartition(partitions) if partitions else training).persist()
+    place = ["category_name_english", "forecast_month"]
+    order = [*place, TARGET, *FEATURES]
+    training = rows.select(*order, "_features").repartition(partitions, *place).sortWithinPartitions(*order).persist()
+
+    def fitted(fold) -> GBTRegressionModel:
+        model = learner.fit(training.where(month < fold["forecast_month"]))
+        if model_path is None:
+            return model
+        path = f"{model_path}/fold={fold['fold']}"
+        model.write().overwrite().save(path)
+        return GBTRegressionModel.load(path)
+
     try:
-        fit = inheritable_thread_target(rows.sparkSession)(
-            lambda fold: learner.fit(training.where(month < fold["forecast_month"]))
-        )
+        fit = inheritable_thread_target(rows.sparkSession)(fitted)
         with ThreadPoolExecutor(len(folds)) as pool:
             models = list(pool.map(fit, folds))
     finally:
@@ -293,6 +318,16 @@ def pooled_metrics(predictions: DataFrame) -> DataFrame:
     return by_model(predictions).groupBy("model").agg(*regression_metrics())
 
 
+def model_metrics(predictions: DataFrame, challenger: str = BOOSTED) -> DataFrame:
+    """Pooled error measures per model, with the size of the test and whether the model is the champion."""
+    pooled = pooled_metrics(predictions)
+    tested = predictions.agg(
+        F.count(F.lit(1)).alias("evaluated_rows"), F.countDistinct("forecast_month").alias("validation_months")
+    )
+    best = champion(pooled, challenger).select("champion_model").scalar()
+    return pooled.join(tested).withColumn("is_champion", F.col("model") == best).orderBy("model")
+
+
 def champion(pooled: DataFrame, challenger: str = BOOSTED) -> DataFrame:
     """The naive model, unless the challenger has a lower MAE and is lower
     in (WAPE, MAE, RMSE) order as well. ``pooled`` has one row per model."""

@@ -109,14 +109,35 @@ LAYER_SQL = {
 }
 
 
-def _export_manifest(shop: Shop):
-    reports = {
-        "monthly_revenue.csv": shop.monthly_revenue,
-        "state_revenue.csv": marts.state_revenue(shop.bi),
-        "payment_mix.csv": marts.payment_mix(shop.bi),
-        "delivery_performance.csv": _delivery(shop),
-    }
-    return marts.row_counts(reports, name="filename")
+_PREDICTED = "(SELECT DISTINCT forecast_month FROM bt_naive)"
+# The rows of every exported file: (source, names of the definitions it needs).
+EXPORT_SQL = {
+    "overview_kpis.json": ("(SELECT 1)", ""),
+    "period_quality.csv": ("coverage", "coverage"),
+    "monthly_revenue.csv": ("monthly", "monthly"),
+    "state_revenue.csv": ("states", "states"),
+    "payment_mix.csv": ("(SELECT DISTINCT primary_payment_type FROM bi WHERE primary_payment_type IS NOT NULL)", "bi"),
+    "delivery_performance.csv": ("(SELECT DISTINCT order_year_month FROM c_orders WHERE order_year_month IS NOT NULL)", "c_orders"),
+    "delivery_trend.csv": (
+        "(SELECT order_year_month FROM c_orders WHERE order_status = 'delivered' AND is_late IS NOT NULL"
+        f" AND order_year_month IS NOT NULL GROUP BY 1 HAVING count(*) >= {marts.MIN_DELIVERED_ORDERS})", "c_orders",
+    ),
+    "rfm_segment_distribution.csv": ("(SELECT DISTINCT segment_label FROM rfm)", "rfm"),
+    "rfm_segment_profiles.csv": ("(SELECT DISTINCT segment_label FROM rfm)", "rfm"),
+    "seller_performance.csv": ("ranked_sellers", "ranked_sellers"),
+    "churn_summary.json": ("(SELECT 1)", ""),
+    "demand_history.csv": ("demand", "demand"),
+    "demand_backtest_input.csv": ("bt_input", "bt_input"),
+    "demand_backtest_predictions.csv": ("bt_naive", "bt_naive"),
+    "demand_backtest_monthly_aggregate.csv": (_PREDICTED, "bt_naive"),
+    "demand_backtest_category_errors.csv": ("(SELECT DISTINCT category_name_english FROM bt_naive)", "bt_naive"),
+    "demand_backtest_fold_metrics.csv": (f"(SELECT * FROM {_PREDICTED}, range(2))", "bt_naive"),  # two models
+    "demand_model_metrics.json": ("range(2)", ""),
+    "data_quality_summary.json": (
+        # verdict, safety and two counts; two gap figures; 19 tables; excluded months
+        "(SELECT 1 FROM range(4 + 2 + 19) UNION ALL SELECT 1 FROM coverage WHERE NOT is_comparable_period)", "coverage",
+    ),
+}
 
 
 QUERIES = {
@@ -272,18 +293,4 @@ QUERIES = {
             *[source for tables in LAYER_SQL.values() for source in tables.values()],
         ),
     ),
-    "export_manifest": (
-        _export_manifest,
-        sql(
-            _count_sql(
-                {
-                    "monthly_revenue.csv": "monthly",
-                    "state_revenue.csv": "states",
-                    "payment_mix.csv": "(SELECT DISTINCT primary_payment_type FROM bi)",
-                    "delivery_performance.csv": "delivery",
-                }
-            ).replace("AS table_name", "AS filename"),
-            "monthly", "states", "bi", "delivery",
-        ),
-    ),
 }

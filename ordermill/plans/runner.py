@@ -1,23 +1,25 @@
-"""Runs the layers step by step and reports one status row per step."""
+"""Runs the layers as a graph of steps and reports one status row per step."""
 
 from __future__ import annotations
 
 import argparse
 import sys
-import time
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.operators import churn, customers, demand, marts, orders, periods, revenue, rfm, sellers
+from ordermill.operators import audit, backtest, checks, churn, customers, demand, marts, orders, periods, revenue, rfm, sellers
+from ordermill.plans.graph import Step, run_graph
+from ordermill.sources import publish
 from ordermill.sources.contract import RAW_TABLES
 from ordermill.sources.ingest import ingest_source
 from ordermill.sources.readers import read_table, without_metadata
 from ordermill.sources.scratch import scratch_run
-from ordermill.sources.writers import write_csv_report, write_json_report, write_table
+from ordermill.sources.writers import counted, rows_seen, write_csv_report, write_json_report, write_table
 
 STATUS = "layer string, table_name string, status string, row_count bigint, duration_s double, error string"
-LAYERS = ("bronze", "silver", "gold", "export")
+LAYERS = ("bronze", "silver", "gold", "forecast", "export")
 VARIANTS = ("standard", "study")
 PARTITIONS = {
     "silver/orders": ["order_year_month"],
@@ -27,6 +29,7 @@ PARTITIONS = {
     "gold/churn_features": ["snapshot_date"],
     "gold/bi_revenue": ["order_year"],
 }
+GATES = {"silver/master_orders": "order_id"}  # tables that must hold one row per key
 
 
 class Store:
@@ -41,12 +44,15 @@ class Store:
     def read(self, table: str) -> DataFrame:
         return without_metadata(read_table(self.spark, self.path(table), fmt=self.fmt))
 
-    def write(self, table: str, df: DataFrame) -> DataFrame:
+    def write(self, table: str, df: DataFrame) -> int:
+        """Replace a table; returns its rows, counted while they were written."""
         layer, name = table.split("/")
         keys = PARTITIONS.get(table)
         if layer == "bronze" and RAW_TABLES[name].partition_by:
             keys = [RAW_TABLES[name].partition_by]
-        return write_table(df, self.path(table), keys, self.fmt)
+        seen_rows, seen = counted(df)
+        write_table(seen_rows, self.path(table), keys, self.fmt)
+        return rows_seen(seen)
 
 
 def bronze_steps(store: Store, sources: Mapping[str, str]) -> dict[str, Callable[[], DataFrame]]:
@@ -109,75 +115,137 @@ def gold_steps(store: Store, variant: str = "standard") -> dict[str, Callable[[]
     }
 
 
-def export_reports(store: Store) -> dict[str, Callable[[], DataFrame]]:
-    """The report tables by file name, from the stored layers."""
-    silver = lambda name: store.read(f"silver/{name}")
-    gold = lambda name: store.read(f"gold/{name}")
+def forecast_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
+    """The backtest's input and its out-of-fold predictions; no predictions where there are too few months."""
 
-    def coverage() -> DataFrame:
-        return periods.flag_period_quality(periods.period_coverage(silver("orders")))
+    def inputs() -> DataFrame:
+        return backtest.prepare_backtest_input(backtest.backtest_input(store.read("gold/demand_features"), _coverage(store)))
+
+    def predictions() -> DataFrame:
+        rows = store.read("forecast/backtest_input")
+        compared = backtest.boosted_backtest(rows, model_path=store.path("forecast/models")) if backtest.can_be_tested(rows) else backtest.no_predictions(rows)
+        return backtest.with_champion(compared)
+
+    return {"backtest_input": inputs, "predictions": predictions}
+
+
+def _coverage(store: Store) -> DataFrame:
+    return periods.flag_period_quality(periods.period_coverage(store.read("silver/orders")))
+
+
+def _summary(store: Store) -> DataFrame:
+    """Audit of the raw tables, row counts of the stored layers and excluded months."""
+    raw = {name: store.read(f"bronze/{name}") for name in RAW_TABLES}
+    plain = {name: df.drop(*RAW_TABLES[name].derived) for name, df in raw.items()}
+    in_order = {name: df.select(*RAW_TABLES[name].columns) for name, df in plain.items()}
+    layers = {layer: {name: store.read(f"{layer}/{name}") for name in names} for layer, names in SUMMARY_TABLES.items()}
+    return checks.data_quality_summary(
+        audit.audit_verdict(audit.audit_findings(in_order)), marts.layer_row_counts(layers), _coverage(store),
+        gap=audit.lookup_gap(raw["products"], raw["category_translation"]),
+    )
+
+
+SUMMARY_TABLES = {
+    "bronze": tuple(RAW_TABLES),
+    "silver": ("orders", "order_items", "master_orders", "customer_profile", "product_demand", "seller_performance"),
+    "gold": ("demand_features", "churn_features", "rfm_segments", "bi_revenue"),
+}
+
+
+def export_reports(store: Store) -> dict[str, tuple[Callable[[], DataFrame], list[str]]]:
+    """The report tables by file name, each with the stored tables it is built from."""
+    read = store.read
+    predictions = "forecast/predictions"
 
     def delivery() -> DataFrame:
-        return marts.delivery_performance(silver("orders"), coverage())
+        return marts.delivery_performance(read("silver/orders"), _coverage(store))
 
     return {
-        "period_quality.csv": coverage,
-        "monthly_revenue.csv": lambda: marts.monthly_revenue(gold("bi_revenue"), coverage()),
-        "state_revenue.csv": lambda: marts.state_revenue(gold("bi_revenue")),
-        "payment_mix.csv": lambda: marts.payment_mix(gold("bi_revenue")),
-        "delivery_performance.csv": delivery,
-        "delivery_trend.csv": lambda: marts.delivery_trend(delivery()),
-        "rfm_distribution.csv": lambda: rfm.rfm_distribution(gold("rfm_segments")),
-        "rfm_profiles.csv": lambda: rfm.rfm_profiles(gold("rfm_segments")),
-        "seller_ranking.csv": lambda: sellers.seller_ranking(silver("seller_performance")),
-        "demand_history.csv": lambda: demand.demand_history(silver("product_demand")),
-        "churn_summary.json": lambda: churn.churn_summary(gold("churn_features")),
-        "overview_kpis.json": lambda: marts.overview_kpis(silver("master_orders")),
-    }
+        "overview_kpis.json": (lambda: marts.overview_kpis(read("silver/master_orders")), ["silver/master_orders"]),
+        "period_quality.csv": (lambda: _coverage(store), ["silver/orders"]),
+        "monthly_revenue.csv": (
+            lambda: marts.monthly_revenue(read("gold/bi_revenue"), _coverage(store)), ["gold/bi_revenue", "silver/orders"],
+        ),
+        "state_revenue.csv": (lambda: marts.state_revenue(read("gold/bi_revenue")), ["gold/bi_revenue"]),
+        "payment_mix.csv": (lambda: marts.payment_mix(read("gold/bi_revenue")), ["gold/bi_revenue"]),
+        "delivery_performance.csv": (delivery, ["silver/orders"]),
+        "delivery_trend.csv": (lambda: marts.delivery_trend(delivery()), ["silver/orders"]),
+        "rfm_segment_distribution.csv": (lambda: rfm.rfm_distribution(read("gold/rfm_segments")), ["gold/rfm_segments"]),
+        "rfm_segment_profiles.csv": (lambda: rfm.rfm_profiles(read("gold/rfm_segments")), ["gold/rfm_segments"]),
+        "seller_performance.csv": (
+            lambda: sellers.seller_ranking(read("silver/seller_performance")), ["silver/seller_performance"],
+        ),
+        "churn_summary.json": (lambda: churn.churn_summary(read("gold/churn_features")), ["gold/churn_features"]),
+        "demand_history.csv": (lambda: demand.demand_history(read("silver/product_demand")), ["silver/product_demand"]),
+        "demand_backtest_input.csv": (lambda: read("forecast/backtest_input"), ["forecast/backtest_input"]),
+        "demand_backtest_predictions.csv": (lambda: read(predictions), [predictions]),
+        "demand_backtest_monthly_aggregate.csv": (lambda: backtest.backtest_monthly(read(predictions)), [predictions]),
+        "demand_backtest_category_errors.csv": (lambda: backtest.backtest_category_errors(read(predictions)), [predictions]),
+        "demand_backtest_fold_metrics.csv": (lambda: backtest.fold_metrics(read(predictions)), [predictions]),
+        "demand_model_metrics.json": (lambda: backtest.model_metrics(read(predictions)), [predictions]),
+        "data_quality_summary.json": (
+            lambda: _summary(store), [f"{layer}/{name}" for layer, names in SUMMARY_TABLES.items() for name in names],
+        ),
+    }
+
+
+def export_graph(store: Store) -> list[Step]:
+    """Write every report into a folder of this run; the last step publishes them all by one manifest."""
+    folder, run = store.path("export"), publish.new_folder()
+    entries: dict[str, publish.Entry] = {}
 
+    def write(name: str, build: Callable[[], DataFrame]) -> int:
+        rows, seen = counted(build())
+        (write_json_report if name.endswith(".json") else write_csv_report)(rows, f"{folder}/{run}/{name}")
+        entries[name] = publish.Entry(name, f"{run}/{name}", rows_seen(seen))
+        return entries[name].row_count
+
+    def announce() -> int:
+        publish.publish(store.spark, folder, list(entries.values()))
+        publish.drop_unpublished(store.spark, folder)
+        return len(entries)
 
-def export_steps(store: Store) -> dict[str, Callable[[], DataFrame]]:
-    """Write every report below ``export`` and read it back; the manifest, last, lists them all."""
     reports = export_reports(store)
+    steps = [Step("export", name, partial(write, name, build), tuple(needs)) for name, (build, needs) in reports.items()]
+    return [*steps, Step("export", publish.MANIFEST, announce, tuple(step.key for step in steps))]
+
+
+# What each table is built from.
+NEEDS = {
+    "silver/orders": ["bronze/orders"],
+    "silver/order_items": ["bronze/order_items"],
+    "silver/master_orders": ["silver/orders", "silver/order_items", "bronze/payments", "bronze/reviews", "bronze/customers"],
+    "silver/customer_profile": ["silver/master_orders"],
+    "silver/product_demand": ["silver/order_items", "silver/orders", "bronze/products", "bronze/category_translation"],
+    "silver/seller_performance": ["silver/order_items", "silver/master_orders", "bronze/sellers"],
+    "gold/demand_history": ["silver/product_demand"],
+    "gold/demand_features": ["silver/product_demand", "silver/orders"],
+    "gold/churn_features": ["silver/master_orders", "bronze/reviews"],
+    "gold/rfm_segments": ["silver/customer_profile"],
+    "gold/bi_revenue": ["silver/master_orders"],
+    "forecast/backtest_input": ["gold/demand_features", "silver/orders"],
+    "forecast/predictions": ["forecast/backtest_input"],
+}
 
-    def written(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = store.path(f"export/{name}")
-        if name.endswith(".json"):
-            write_json_report(build(), path)
-            return store.spark.read.json(path)
-        write_csv_report(build(), path)
-        return store.spark.read.option("header", True).csv(path)
-
-    def manifest() -> DataFrame:
-        again = {
-            name: store.spark.read.json(store.path(f"export/{name}"))
-            if name.endswith(".json")
-            else store.spark.read.option("header", True).csv(store.path(f"export/{name}"))
-            for name in reports
-        }
-        listed = marts.row_counts(again, name="filename")
-        write_csv_report(listed, store.path("export/manifest.csv"))
-        return listed
 
-    steps = {name: (lambda name=name, build=build: written(name, build)) for name, build in reports.items()}
-    return steps | {"manifest.csv": manifest}
+def table_steps(
+    store: Store, layer: str, builders: Mapping[str, Callable[[], DataFrame]], gates: Mapping[str, str] = GATES
+) -> list[Step]:
+    """One step per table: build it, write it, and check its gate on what was written."""
+
+    def run(key: str, build: Callable[[], DataFrame]) -> int:
+        rows = store.write(key, build())
+        if key in gates:
+            orders.require_unique(store.read(key), gates[key], key.split("/")[1])
+        return rows
+
+    keys = {name: f"{layer}/{name}" for name in builders}
+    return [Step(layer, name, partial(run, keys[name], build), tuple(NEEDS.get(keys[name], ()))) for name, build in builders.items()]
 
 
 def run_steps(store: Store, layer: str, steps: Mapping[str, Callable[[], DataFrame]]) -> list[tuple]:
     """Build and write every table; a failing step is reported and the rest goes on."""
-    results = []
-    for name, build in steps.items():
-        started = time.monotonic()
-        status, rows, error = "SUCCESS", None, None
-        try:
-            written = build() if layer == "export" else store.write(f"{layer}/{name}", build())
-            rows = written.count()
-            if f"{layer}/{name}" == "silver/master_orders":
-                orders.require_unique(written, "order_id", "master_orders")
-        except Exception as problem:  # noqa: BLE001 - reported in the status row
-            status, error = "FAILED", str(problem)
-        results.append((layer, name, status, rows, round(time.monotonic() - started, 2), error))
-    return results
+    return [outcome.row for outcome in run_graph(store.spark, table_steps(store, layer, steps))]
 
 
 def run_layers(
@@ -187,9 +255,14 @@ def run_layers(
     layers: tuple[str, ...] = LAYERS,
     fmt: str = "parquet",
     variant: str = "standard",
+    gates: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Run the chosen layers in order; one status row per table.
+    """Run the chosen layers as one graph; one status row per table.
 
+    Independent tables are built at the same time; tables below a failed one
+    are SKIPPED, with its name as the error. ``gates`` names further tables
+    that must hold one row per key. Reports are published only if none of
+    them failed; else the former set stays.
     ``variant`` "study": single-row payments, calendar lags, percent-rank
     segments, delivered revenue and the panel of the fixed study window.
     Intermediate tables of the run are deleted at its end, no others.
@@ -197,17 +270,19 @@ def run_layers(
     if variant not in VARIANTS:
         raise ValueError(f"unknown variant: {variant}")
     store = Store(spark, root, fmt)
-    steps = {
+    builders = {
         "bronze": lambda: bronze_steps(store, sources or {}),
         "silver": lambda: silver_steps(store, variant),
         "gold": lambda: gold_steps(store, variant),
-        "export": lambda: export_steps(store),
+        "forecast": lambda: forecast_steps(store),
     }
-    results = []
+    checked = GATES | dict(gates or {})
+    steps: list[Step] = []
+    for layer in layers:
+        steps += export_graph(store) if layer == "export" else table_steps(store, layer, builders[layer](), checked)
     with scratch_run(spark):
-        for layer in layers:
-            results += run_steps(store, layer, steps[layer]())
-    return spark.createDataFrame(results, STATUS)
+        outcomes = run_graph(spark, steps)
+    return spark.createDataFrame([outcome.row for outcome in outcomes], STATUS)
 
 
 def exit_code(status: DataFrame) -> int:

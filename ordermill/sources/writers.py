@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation for ``rows_seen``: rows are counted while they are written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def rows_seen(seen: Observation) -> int:
+    """Rows of a table from ``counted`` after it was written.
+
+    Where Spark found the table empty while it ran, it drops the observation with the rest of the plan.
+    """
+    row = seen._jo.getRow()
+    return row.getLong(0) if row.length() else 0
 
 
 def write_table(
@@ -30,8 +46,9 @@ def write_table(
 def ensure_schema(
     spark: SparkSession, schema: str, comment: str | None = None, location: str | None = None
 ) -> None:
-    described = f" COMMENT '{comment}'" if comment else ""
-    located = f" LOCATION '{location}'" if location else ""
+    quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    described = f" COMMENT {quoted(comment)}" if comment else ""
+    located = f" LOCATION {quoted(location)}" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{described}{located}")
 
 

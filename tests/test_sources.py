@@ -7,8 +7,8 @@ from pathlib import Path
 import pytest
 
 from ordermill.operators import audit, orders
-from ordermill.plans import runner
-from ordermill.sources import ingest, readers, scratch, writers
+from ordermill.plans import graph, runner
+from ordermill.sources import publish, ingest, readers, scratch, writers
 from ordermill.sources.contract import RAW_TABLES
 
 
@@ -165,8 +165,8 @@ def test_all_layers_from_csv(spark, folder):
     }
     status = runner.run_layers(spark, f"{folder}/store", sources)
     rows = {f"{r['layer']}/{r['table_name']}": r for r in status.collect()}
-    failed = {name: r["error"] for name, r in rows.items() if r["status"] == "FAILED"}
-    assert not failed and len(rows) == 9 + 6 + 4 + 13
+    failed = {name: r["error"] for name, r in rows.items() if r["status"] != "SUCCESS"}
+    assert not failed and len(rows) == 9 + 6 + 4 + 2 + 20
     assert runner.exit_code(status) == 0
     assert rows["silver/master_orders"]["row_count"] == 3
     assert rows["gold/rfm_segments"]["row_count"] == 2
@@ -177,19 +177,93 @@ def test_all_layers_from_csv(spark, folder):
     panel = store.read("gold/churn_features").collect()
     assert sorted(str(r["snapshot_date"]) for r in panel) == [f"2018-0{m}-01" for m in range(5, 10)]
     assert {(r["customer_unique_id"], r["is_churned"], r["avg_review_score"]) for r in panel} == {("u1", 1, 4.0)}
-
-
-    reports = runner.export_reports(store)
-    listed = spark.read.option("header", True).csv(f"{folder}/store/export/manifest.csv").collect()
-    assert {r["filename"]: int(r["row_count"]) for r in listed} == {n: rows[f"export/{n}"]["row_count"] for n in reports}
-    kpis = spark.read.json(f"{folder}/store/export/overview_kpis.json").first()
-    assert kpis["total_orders"] == 3
+    for key, row in rows.items():
+        if not key.startswith("export/"):
+            assert store.read(key).count() == row["row_count"], key
+
+    export = f"{folder}/store/export"
+    listed = {r["filename"]: r["row_count"] for r in publish.read_manifest(spark, export).collect()}
+    assert listed == {n: rows[f"export/{n}"]["row_count"] for n in runner.export_reports(store)}
+    on_disk = {name: publish.read_published(spark, export, name).count() for name in listed}
+    assert on_disk == listed
+    assert listed["demand_backtest_predictions.csv"] == 0  # two orders cannot be tested
+    assert "boosted_prediction" in publish.read_published(spark, export, "demand_backtest_predictions.csv").columns
+    assert publish.read_published(spark, export, "overview_kpis.json").first()["total_orders"] == 3
+
+    # A later run that fails leaves the published set whole and says what hung on the failure.
+    again = runner.run_layers(spark, f"{folder}/store", sources, ("silver", "gold", "export"), gates={"silver/seller_performance": "seller_state", "silver/customer_profile": "customer_unique_id", "silver/orders": "order_status"})
+    seen = {f"{r['layer']}/{r['table_name']}": r for r in again.collect()}
+    assert seen["silver/orders"]["status"] == "FAILED" and "one row per order_status" in seen["silver/orders"]["error"]
+    assert (seen["gold/churn_features"]["status"], seen["gold/churn_features"]["error"]) == ("SKIPPED", "below silver/orders")
+    assert seen["silver/order_items"]["status"] == "SUCCESS"
+    assert seen[f"export/{publish.MANIFEST}"]["status"] == "SKIPPED" and runner.exit_code(again) == 1
+    assert {r["filename"]: r["row_count"] for r in publish.read_manifest(spark, export).collect()} == listed
+    assert {name: publish.read_published(spark, export, name).count() for name in listed} == listed
     study = runner.run_layers(spark, f"{folder}/study", sources, ("bronze", "silver", "gold"), variant="study")
     built = {r["table_name"]: r for r in study.where("layer = 'gold'").collect()}
     assert {r["status"] for r in study.collect()} == {"SUCCESS"}, [r["error"] for r in study.collect()]
     assert set(built) == {"demand_history", "demand_features", "churn_features", "rfm_segments", "bi_revenue"}
 
 
+def test_steps_wait_for_what_they_need(spark):
+    import threading
+    import time
+
+    ended, together = [], []
+
+    def work(name: str, seconds: float = 0.0):
+        def run() -> int:
+            together.append(threading.active_count())
+            time.sleep(seconds)
+            ended.append(name)
+            return len(ended)
+
+        return run
+
+    def broken() -> int:
+        raise ValueError("no such column")
+
+    steps = [
+        graph.Step("b", "last", work("last"), ("a/slow", "a/fast")),
+        graph.Step("b", "never", work("never"), ("a/broken",)),
+        graph.Step("c", "never either", work("never either"), ("b/never", "b/last")),
+        graph.Step("a", "slow", work("slow", 0.5)),
+        graph.Step("a", "fast", work("fast", 0.1)),
+        graph.Step("a", "broken", broken, ("stored/elsewhere",)),
+    ]
+    found = {o.step.key: o for o in graph.run_graph(spark, steps)}
+    assert ended == ["fast", "slow", "last"]
+    assert found["a/broken"].status == "FAILED" and found["a/broken"].error == "no such column"
+    assert (found["b/never"].status, found["b/never"].error) == ("SKIPPED", "below a/broken")
+    assert (found["c/never either"].status, found["c/never either"].error) == ("SKIPPED", "below a/broken")
+    assert found["b/last"].rows == 3
+    with pytest.raises(ValueError, match="each other"):
+        graph.ordered([graph.Step("x", "a", broken, ("x/b",)), graph.Step("x", "b", broken, ("x/a",))])
+    with pytest.raises(ValueError, match="two steps"):
+        graph.ordered([graph.Step("x", "a", broken), graph.Step("x", "a", broken)])
+
+
+def test_publishing_replaces_the_set_and_refuses_absent_files(spark, folder):
+    def entry(run: str, name: str, rows: int):
+        writers.write_csv_report(spark.range(rows), f"{folder}/{run}/{name}")
+        return publish.Entry(name, f"{run}/{name}", rows)
+
+    first, second = publish.new_folder(), publish.new_folder()
+    assert publish.read_manifest(spark, folder).count() == 0
+    publish.publish(spark, folder, [entry(first, "a.csv", 2), entry(first, "b.csv", 1)])
+    with pytest.raises(FileNotFoundError):
+        publish.publish(spark, folder, [entry(second, "a.csv", 3), publish.Entry("b.csv", f"{second}/b.csv", 1)])
+    assert publish.read_published(spark, folder, "a.csv").count() == 2
+    publish.publish(spark, folder, [entry(second, "a.csv", 3)])
+    assert publish.read_published(spark, folder, "a.csv").count() == 3
+    with pytest.raises(FileNotFoundError):
+        publish.read_published(spark, folder, "b.csv")
+    assert publish.drop_unpublished(spark, folder) == [first.split("/")[1]]
+    assert publish.drop_unpublished(spark, folder) == []
+    with pytest.raises(ValueError):
+        publish.publish(spark, folder, [entry(second, "a.csv", 3)] * 2)
+
+
 def test_a_failing_step_does_not_stop_the_others(spark, folder):
     store = runner.Store(spark, folder)
     twice = spark.createDataFrame([("a",), ("a",)], "order_id string")
