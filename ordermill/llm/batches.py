@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +31,15 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         start = stop
 
 
+def give_back() -> None:
+    """Hand memory that this worker has freed, also in earlier stages, back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def list_parts(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
     """The values of a list array without nulls, and its n + 1 offsets from zero."""
     lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -77,3 +77,40 @@ def split_letters(texts: pa.Array) -> Words:
     inside = _ASCII_LETTERS[data] | (data == _LEAD)
     inside[1:] |= data[:-1] == _LEAD
     return _cut(data, offsets, inside, None)
+
+
+_KINDS = np.full(256, 2, np.uint8)  # 0: letters, 1: digits, 2: other marks
+_KINDS[_ASCII_LETTERS] = 0
+_KINDS[list(b"0123456789")] = 1
+_ODD = byte_set(bytes(range(128, 256)) + bytes(range(32)) + b"'<\x7f")
+
+
+def split_plain(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Codes of the parts of all texts, the distinct parts, and the n + 1 offsets of the texts in the codes.
+
+    Words of plain ASCII are lower-cased and cut into runs of letters, single
+    digits and runs of other marks. A word with any other byte, an apostrophe
+    or a "<" is one part as it stands. Null texts have no parts.
+    """
+    raw, rows = _bytes_of(texts)
+    inside = ~BLANKS[raw]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    filled_rows = rows[:-1][rows[:-1] < len(raw)]
+    begins[filled_rows] = inside[filled_rows]
+    data = raw[inside]
+    kept = np.append(0, np.cumsum(inside, dtype=np.int64))
+    words = kept[np.flatnonzero(begins)]  # where words start among the kept bytes
+    lengths = np.diff(np.append(words, len(data)))
+    odd_before = np.append(0, np.cumsum(_ODD[data], dtype=np.int64))
+    plain = np.repeat(odd_before[words + lengths] == odd_before[words], lengths)
+    kinds = _KINDS[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == 1)
+    cut &= plain
+    cut[words] = True
+    starts = np.flatnonzero(cut)
+    lowered = np.where(plain, LOWER[data], data)
+    bounds = np.append(starts, len(data)).astype(np.int32)
+    coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(lowered)).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, np.searchsorted(starts, kept[rows])

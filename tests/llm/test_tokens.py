@@ -35,6 +35,16 @@ def test_words_equal_the_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [one.ids for one in expected]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abstdlvmreABZ019'’<|>/.,-_!~^`\"&= \t\n\x00\x1c\x7f\x85\xa0éÉ\u0301\u030cJjſK\u212a漢１²"), max_size=40), max_size=5))
+def test_parts_of_plain_words_equal_the_library(texts):
+    texts = [*texts, "<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|>", "don't it''s 'sabc a'LLb ''d", "A1b22c...3,4--x", "J\u030c e\u0301X"]
+    encoder = word_tokens(WORDS)
+    ids, ends = encoder(pa.array(texts, pa.string()))
+    expected = words_library().encode_batch(texts, add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [one.ids for one in expected]
+
+
 @functools.cache
 def pieces_library() -> SentencePieceProcessor:
     return SentencePieceProcessor(model_file=PIECES)
