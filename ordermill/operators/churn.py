@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.months import first_start_from
 from ordermill.functions.numeric import flag, from_ticks, in_ticks, ratio, ticks
+from ordermill.operators.distinct import first_of_order
 from ordermill.operators.orders import fulfilled
 from ordermill.operators.skew import hot_keys, join_one
 
@@ -137,10 +138,12 @@ def _panel(bookings: list[DataFrame], bounds: Column, horizon_days: int) -> Data
 
 
 def _dated(orders: DataFrame) -> DataFrame:
+    bought = F.col("order_purchase_timestamp")
     return orders.select(
         "order_id",
         "customer_unique_id",
         "order_purchase_timestamp",
+        first_of_order("customer_unique_id", order_by=[bought]).alias("first_of_order"),
         F.to_date("order_purchase_timestamp").alias("bought_on"),
         "order_revenue",
         "order_delivered_customer_date",
@@ -149,9 +152,10 @@ def _dated(orders: DataFrame) -> DataFrame:
 
 
 def _purchase_amounts() -> dict[str, Column]:
+    """An order with several rows is booked once, with its first purchase; its money in every row."""
     exact = in_ticks("order_revenue")
     return {
-        "orders": F.lit(1),
+        "orders": flag(F.col("first_of_order")),
         "revenue": F.when(exact, ticks(F.when(exact, F.col("order_revenue")))),
         "revenue_rest": F.when(~exact, F.col("order_revenue").cast("double")),
         "valued": flag(F.col("order_revenue").isNotNull()),
@@ -255,9 +259,11 @@ def churn_features_first_known(
     """The variant on a fixed study window that takes the order's final review
     score and lateness from the moment of purchase on."""
     eligible = eligible_orders(master)
+    bought = F.col("order_purchase_timestamp")
     orders = eligible.select(
         "customer_unique_id",
         "order_purchase_timestamp",
+        first_of_order("customer_unique_id", order_by=[bought]).alias("first_of_order"),
         F.to_date("order_purchase_timestamp").alias("bought_on"),
         "order_revenue",
         "avg_review_score",

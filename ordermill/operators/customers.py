@@ -15,10 +15,20 @@ def _spend_per_payment_type(master: DataFrame) -> DataFrame:
     """Mergeable facts per customer and payment type.
 
     The first grouping absorbs a customer with very many orders: after it a
-    customer has at most one row per payment type.
+    customer has at most one row per payment type. Rows of one order lie
+    together before it, so that the order counts once: ``orders`` once for
+    each type it has, ``new_orders`` once for the customer.
     """
-    return master.groupBy("customer_unique_id", "primary_payment_type").agg(
-        F.count("order_id").alias("orders"),
+    kind = F.col("primary_payment_type")
+    together = Window.partitionBy("customer_unique_id", "order_id").orderBy(kind.asc_nulls_last())
+    first = F.row_number().over(together) == 1
+    known = F.col("order_id").isNotNull()
+    marked = master.withColumns(
+        {"_new": known & first, "_new_kind": known & (first | ~kind.eqNullSafe(F.lag(kind).over(together)))}
+    )
+    return marked.groupBy("customer_unique_id", "primary_payment_type").agg(
+        F.count_if("_new_kind").alias("orders"),
+        F.count_if("_new").alias("new_orders"),
         F.min("order_purchase_timestamp").alias("first_purchase"),
         F.max("order_purchase_timestamp").alias("last_purchase"),
         money_sum("order_revenue").alias("revenue"),
@@ -48,7 +58,7 @@ def preferred_payment(master: DataFrame) -> DataFrame:
     )
     first = F.struct(-F.col("orders"), F.col("paid").isNull(), -F.col("paid"), "primary_payment_type")
     per_type = known.groupBy("customer_unique_id", "primary_payment_type").agg(
-        F.count("order_id").alias("orders"), money_sum("payment_total").alias("paid")
+        F.count_distinct("order_id").alias("orders"), money_sum("payment_total").alias("paid")
     )
     return (
         per_type.groupBy("customer_unique_id")
@@ -59,7 +69,7 @@ def preferred_payment(master: DataFrame) -> DataFrame:
 def customer_profile(master: DataFrame, reference_date: str = REFERENCE_DATE) -> DataFrame:
     """One row per customer, with the preferred payment type taken on the way.
 
-    ``master`` holds one row per order, so counting rows counts distinct orders.
+    An order with several rows counts once; its money counts in every row.
     """
     placed = _spend_per_payment_type(master).withColumn(
         "_place", F.row_number().over(_preference_window())
@@ -68,7 +78,7 @@ def customer_profile(master: DataFrame, reference_date: str = REFERENCE_DATE) ->
     profile = placed.groupBy("customer_unique_id").agg(
         F.min("first_purchase").alias("first_purchase"),
         F.max("last_purchase").alias("last_purchase"),
-        F.sum("orders").alias("total_orders"),
+        F.sum("new_orders").alias("total_orders"),
         money_sum("revenue").alias("total_revenue"),
         ratio(money_sum("revenue"), F.sum("valued_orders"), empty=None).alias("avg_order_value"),
         ratio(F.sum("score_sum"), F.sum("scored_orders"), empty=None).alias("avg_review_score"),
@@ -107,7 +117,7 @@ def customer_profile_first_order(
     profile = master.groupBy("customer_unique_id").agg(
         F.min(bought).alias("first_purchase"),
         F.max(bought).alias("last_purchase"),
-        F.count("order_id").alias("total_orders"),
+        F.count_distinct("order_id").alias("total_orders"),
         money_sum("order_revenue").alias("total_revenue"),
         ratio(money_sum("order_revenue"), F.count("order_revenue"), empty=None).alias(
             "avg_order_value"

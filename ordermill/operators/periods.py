@@ -19,7 +19,7 @@ def period_coverage(master: DataFrame) -> DataFrame:
         master.where(F.col("order_year_month").isNotNull())
         .groupBy("order_year_month")
         .agg(
-            F.count("order_id").alias("order_count"),
+            F.count_distinct("order_id").alias("order_count"),
             F.min("order_purchase_timestamp").alias("first_purchase"),
             F.max("order_purchase_timestamp").alias("last_purchase"),
         )
@@ -72,7 +72,7 @@ def edge_period_flags(master: DataFrame, min_orders: int = MIN_PERIOD_ORDERS) ->
     coverage = (
         fulfilled(master)
         .groupBy("order_year_month")
-        .agg(F.count("order_id").alias("order_count"))
+        .agg(F.count_distinct("order_id").alias("order_count"))
     )
     first, last = _first_and_last()
     key = F.col("order_year_month")

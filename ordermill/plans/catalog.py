@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.plans import (
+    distinct_queries,
     forecast_queries,
     quality_queries,
     report_queries,
@@ -21,6 +22,7 @@ _GROUPS = (
     storage_queries.QUERIES,
     quality_queries.QUERIES,
     forecast_queries.QUERIES,
+    distinct_queries.QUERIES,
 )
 
 

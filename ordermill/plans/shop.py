@@ -754,17 +754,21 @@ CTES: dict[str, tuple[str, str]] = {
 }
 
 
-def sql(select: str, *names: str) -> str:
-    """``select`` with the definitions it needs, each after those it uses itself."""
+def sql(select: str, *names: str, instead: dict[str, tuple[str, str]] | None = None) -> str:
+    """``select`` with the definitions it needs, each after those it uses itself.
+
+    ``instead``: definitions that are added or take the place of known ones.
+    """
     ordered: list[str] = []
+    known = CTES | (instead or {})
 
     def need(name: str) -> None:
         if name not in ordered:
-            for used in CTES[name][0].split():
+            for used in known[name][0].split():
                 need(used)
             ordered.append(name)
 
     for name in names:
         need(name)
-    definitions = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name][1]})" for name in ordered)
+    definitions = ",\n".join(f"{name} AS MATERIALIZED ({known[name][1]})" for name in ordered)
     return f"WITH {definitions}\n{select}" if ordered else select
