@@ -45,9 +45,7 @@ def _per_table_sql(select: str) -> str:
 def _uniqueness(shop: Shop):
     return _per_table(
         shop,
-        lambda df, name: orders.key_uniqueness(df.where(F.col(_KEYS[name]).isNotNull()), _KEYS[name]).withColumn(
-            "table_name", F.lit(name)
-        ),
+        lambda df, name: orders.key_uniqueness(df, _KEYS[name]).withColumn("table_name", F.lit(name)),
     )
 
 
@@ -96,14 +94,28 @@ def _reference_sql() -> str:
     )
 
 
+# Order times that are replaced by unreadable text: by column, the divisor of the order ids concerned.
+_UNREADABLE = {"order_approved_at": 23, "order_delivered_carrier_date": 29, "order_estimated_delivery_date": 31}
+
+
+def _with_unreadable_times(shop: Shop) -> dict[str, DataFrame]:
+    times = [name for name, kind in RAW_TABLES["orders"].columns.items() if kind == "timestamp"]
+    text = {name: F.date_format(name, "yyyy-MM-dd HH:mm:ss") for name in times}
+    for name, divisor in _UNREADABLE.items():
+        bad = F.col(name).isNotNull() & (F.col("order_id") % divisor == 0)
+        text[name] = F.when(bad, "2018-02-30 25:00:00").otherwise(text[name])
+    return {**shop.raw_tables, "orders": shop.orders.withColumns(text)}
+
+
 def _sanity_sql() -> str:
     times = [n for n, kind in RAW_TABLES["orders"].columns.items() if kind == "timestamp"]
+    unreadable = {name: f"{name} IS NOT NULL AND order_id % {divisor} = 0" for name, divisor in _UNREADABLE.items()}
     rows = [
         ("negative order_items.price", "v_items WHERE price < 0"),
         ("negative order_items.freight_value", "v_items WHERE freight_value < 0"),
         ("negative payments.payment_value", "v_payments WHERE payment_value < 0"),
         ("review score outside 1-5", "v_reviews WHERE review_score NOT BETWEEN 1 AND 5"),
-        *[(f"invalid orders.{name}", "v_orders WHERE false") for name in times],
+        *[(f"invalid orders.{name}", f"v_orders WHERE {unreadable.get(name, 'false')}") for name in times],
         ("delivered before purchase", "v_orders WHERE order_delivered_customer_date < order_purchase_timestamp"),
     ]
     parts = [f"SELECT '{name}' AS check_name, count(*) AS offending_rows FROM {source}" for name, source in rows]
@@ -375,8 +387,8 @@ QUERIES = {
     "uniqueness_gate": (
         _uniqueness,
         _per_table_sql(
-            "SELECT '{name}' AS table_name, count({key}) AS row_count, count(DISTINCT {key}) AS distinct_keys,"
-            " count({key}) = count(DISTINCT {key}) AS is_unique FROM {view}"
+            "SELECT '{name}' AS table_name, row_count, distinct_keys, row_count = distinct_keys AS is_unique FROM (SELECT"
+            " count(*) AS row_count, count(DISTINCT {key}) + CASE WHEN count(*) > count({key}) THEN 1 ELSE 0 END AS distinct_keys FROM {view})"
         ),
     ),
     "column_profile": (lambda shop: _per_table(shop, audit.column_profile), _profile_sql()),
@@ -408,7 +420,7 @@ QUERIES = {
             "v_products", "v_translation",
         ),
     ),
-    "sanity_counts": (lambda shop: audit.sanity_counts(shop.raw_tables), _sanity_sql()),
+    "sanity_counts": (lambda shop: audit.sanity_counts(_with_unreadable_times(shop)), _sanity_sql()),
     "purchase_range": (
         lambda shop: audit.purchase_range(shop.orders).select(
             F.to_date("earliest_purchase").alias("earliest_purchase"),

@@ -13,7 +13,7 @@ from ordermill.operators import audit, backtest, checks, churn, customers, deman
 from ordermill.plans.graph import Step, run_graph
 from ordermill.sources import publish
 from ordermill.sources.contract import RAW_TABLES
-from ordermill.sources.ingest import ingest_source
+from ordermill.sources.ingest import ingest_source, ledger
 from ordermill.sources.readers import read_table, without_metadata
 from ordermill.sources.scratch import scratch_run
 from ordermill.sources.writers import counted, rows_seen, write_csv_report, write_json_report, write_table
@@ -235,6 +235,8 @@ def table_steps(
 
     def run(key: str, build: Callable[[], DataFrame]) -> int:
         rows = store.write(key, build())
+        if layer == "bronze":  # cells that did not parse lie beside the table
+            write_table(ledger(read_table(store.spark, store.path(key), fmt=store.fmt), key.split("/")[1]), store.path(f"rejected/{key.split('/')[1]}"))
         if key in gates:
             orders.require_unique(store.read(key), gates[key], key.split("/")[1])
         return rows

@@ -20,7 +20,7 @@ from ordermill.plans.report_queries import EXPORT_SQL, LAYER_SQL, RAW_SQL
 from ordermill.plans.shop import Shop, sql
 from ordermill.sources import publish, readers, writers
 from ordermill.sources.contract import RAW_TABLES
-from ordermill.sources.ingest import ingest, row_hash, with_metadata
+from ordermill.sources.ingest import ingest, ledger, row_hash, value_reconciliation, with_metadata, with_rejections
 from ordermill.sources.scratch import materialize, scratch_path
 
 
@@ -184,6 +184,81 @@ def _raw_files(shop: Shop) -> dict[str, str]:
     return sources
 
 
+# Cells of the raw tables that are replaced by unreadable text: (table, column, SQL condition, text).
+_SPOILED = [
+    ("orders", "order_purchase_timestamp", "order_id % 31 = 0", "2018-13-45 00:00:00"),
+    ("orders", "order_approved_at", "order_id % 29 = 0", "soon"),
+    ("customers", "customer_zip_code_prefix", "customer_id % 11 = 0", "04 711"),
+    ("order_items", "order_item_id", "order_id % 37 = 0", "one"),
+    ("order_items", "price", "order_id % 41 = 0", "12,50"),
+    ("order_items", "shipping_limit_date", "order_id % 43 = 0", "31/12/2017"),
+    ("payments", "payment_installments", "payment_installments = 1", "n/a"),
+    ("payments", "payment_value", "order_id % 47 = 0", "R$ 10"),
+    ("reviews", "review_score", "review_id % 13 = 0", "five"),
+    ("products", "product_weight_g", "product_id % 17 = 0", "--"),
+    ("geolocation", "geolocation_lat", "geolocation_zip_code_prefix = 3", "23S"),
+]
+
+
+def _spoiled(shop: Shop, name: str) -> DataFrame:
+    typed = shop.raw_tables[name]
+    text = {
+        column: F.when(F.expr(condition) & F.col(column).isNotNull(), F.lit(value))
+        for table, column, condition, value in _SPOILED
+        if table == name
+    }
+    marked = typed.withColumns({f"bad_{column}": bad for column, bad in text.items()}) if text else typed
+    plain = as_text(marked)
+    return plain.withColumns({column: F.coalesce(f"bad_{column}", column) for column in text}).drop(*[f"bad_{c}" for c in text])
+
+
+def _stored_with_ledger(shop: Shop) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
+    """By table: the raw text, the stored table and its ledger, both read back."""
+    result = {}
+    for name in RAW_TABLES:
+        raw = _spoiled(shop, name)
+        stored = writers.write_table(with_metadata(with_rejections(raw, name), name), scratch_path(shop.spark, name))
+        result[name] = (raw, stored, materialize(ledger(stored, name), f"rejected-{name}"))
+    return result
+
+
+def _rejected(shop: Shop) -> DataFrame:
+    """Rejected cells of all raw tables; each must name a stored row."""
+    parts = [
+        rejected.join(stored.select(F.col("_row_hash").alias("row_hash")).distinct(), "row_hash")
+        for _, stored, rejected in _stored_with_ledger(shop).values()
+    ]
+    return reduce(DataFrame.unionAll, parts).groupBy("table_name", "column_name", "text", "reason").agg(F.count(F.lit(1)).alias("cells"))
+
+
+def _rejected_sql() -> str:
+    parts = [
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{text}' AS text, 'no {RAW_TABLES[table].columns[column]}' AS reason,"
+        f" count(*) AS cells FROM {RAW_SQL[table]} WHERE {condition} AND {column} IS NOT NULL HAVING count(*) > 0"
+        for table, column, condition, text in _SPOILED
+    ]
+    return sql(" UNION ALL ".join(parts), *dict.fromkeys(RAW_SQL[table] for table, *_ in _SPOILED))
+
+
+def _values(shop: Shop) -> DataFrame:
+    parts = [value_reconciliation(*tables, name) for name, tables in _stored_with_ledger(shop).items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _values_sql() -> str:
+    bad = {(table, column): condition for table, column, condition, _ in _SPOILED}
+    parts = []
+    for table, raw in RAW_TABLES.items():
+        for column, kind in raw.columns.items():
+            if kind != "string":
+                lost = f"count(*) FILTER (WHERE {bad.get((table, column), 'false')} AND {column} IS NOT NULL)"
+                parts.append(
+                    f"SELECT '{table}' AS table_name, '{column}' AS column_name, count({column}) AS raw_values,"
+                    f" count({column}) - {lost} AS typed_values, {lost} AS rejected_values, 'PASS' AS status FROM {RAW_SQL[table]}"
+                )
+    return sql(" UNION ALL ".join(parts), *RAW_SQL.values())
+
+
 # A gate that the data cannot pass: categories occur in many months.
 _SEEDED = {"silver/product_demand": "category_name_english"}
 _BELOW = [
@@ -247,6 +322,8 @@ def _export_sql() -> str:
 QUERIES = {
     "pipeline_status": (_pipeline_status, _pipeline_sql()),
     "export_manifest": (_export_manifest, _export_sql()),
+    "rejected_values": (_rejected, _rejected_sql()),
+    "value_reconciliation": (_values, _values_sql()),
     "csv_roundtrip": (
         _csv,
         sql(f"SELECT * EXCLUDE (shipping_limit_date), {times('shipping_limit_date')} FROM v_items", "v_items"),

@@ -42,6 +42,63 @@ def ingest(df: DataFrame, name: str) -> DataFrame:
     return apply_types(df, RAW_TABLES[name])
 
 
+def rejections(df: DataFrame, name: str) -> Column:
+    """Cells of a raw row that hold text which does not parse, as an array of (column, text, reason)."""
+    table = RAW_TABLES[name]
+    cells = [
+        F.when(
+            F.col(column).isNotNull() & _typed(df, column, kind).isNull(),
+            F.struct(
+                F.lit(column).alias("column_name"), F.col(column).cast("string").alias("text"),
+                F.lit(f"no {kind}").alias("reason"),
+            ),
+        )
+        for column, kind in table.columns.items()
+        if column in df.columns and kind != "string"
+    ]
+    kind = "array<struct<column_name: string, text: string, reason: string>>"
+    return F.array_compact(F.array(*cells)).cast(kind) if cells else F.array().cast(kind)
+
+
+def with_rejections(df: DataFrame, name: str) -> DataFrame:
+    """Typed form of the raw table, with the cells that were lost on the way in ``_rejected``."""
+    return apply_types(df.withColumn("_rejected", rejections(df, name)), RAW_TABLES[name])
+
+
+def ledger(stored: DataFrame, name: str) -> DataFrame:
+    """One row per rejected cell of a stored bronze table; ``row_hash`` names the row it is missing from.
+
+    Reads the two columns it needs, so raw files are parsed only once.
+    """
+    kept = stored.where(F.size("_rejected") > 0).select(F.col("_row_hash").alias("row_hash"), F.inline("_rejected"))
+    return kept.select(F.lit(name).alias("table_name"), "column_name", "text", "reason", "row_hash")
+
+
+def value_reconciliation(raw: DataFrame, stored: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
+    """Per typed column: values in the raw table against stored and rejected ones; PASS if none is lost."""
+    columns = [column for column, kind in RAW_TABLES[name].columns.items() if kind != "string"]
+
+    def counted(df: DataFrame, label: str) -> DataFrame:
+        counts = df.agg(*[F.count(column).alias(column) for column in columns])
+        return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias(label)) for c in columns])))
+
+    if not columns:
+        return stored.sparkSession.createDataFrame([], VALUES_SCHEMA)
+    lost = rejected.groupBy("column_name").agg(F.count(F.lit(1)).alias("rejected_values"))
+    both = counted(raw, "raw_values").join(counted(stored, "typed_values"), "column_name").join(lost, "column_name", "left")
+    balanced = F.col("raw_values") == F.col("typed_values") + F.coalesce("rejected_values", F.lit(0))
+    return both.select(
+        F.lit(name).alias("table_name"), "column_name", "raw_values", "typed_values",
+        F.coalesce("rejected_values", F.lit(0).cast("bigint")).alias("rejected_values"),
+        F.when(balanced, "PASS").otherwise("FAIL").alias("status"),
+    )
+
+
+VALUES_SCHEMA = (
+    "table_name string, column_name string, raw_values bigint, typed_values bigint, rejected_values bigint, status string"
+)
+
+
 def row_hash(columns: list[str]) -> Column:
     """md5 over all columns; a missing value differs from a missing column."""
     written = [F.coalesce(F.col(name).cast("string"), F.lit(NULL_MARK)) for name in columns]
@@ -67,4 +124,4 @@ def ingest_source(
     """Read, type and stamp one configured raw source."""
     table = RAW_TABLES[name]
     raw = read_csv(spark, source_path(spark, sources, name), table.text_schema, table.multiline)
-    return with_metadata(apply_types(raw, table), name, batch_id)
+    return with_metadata(with_rejections(raw, name), name, batch_id)

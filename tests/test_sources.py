@@ -205,6 +205,23 @@ def test_all_layers_from_csv(spark, folder):
     assert set(built) == {"demand_history", "demand_features", "churn_features", "rfm_segments", "bi_revenue"}
 
 
+def test_rejected_cells_are_kept_and_reconciled(spark, folder):
+    text = "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,two,9.5\no2,x,card,,1e2\no3,2,boleto,3,\no3,2,boleto,3,12.5.1\n"
+    sources = {"payments": write(folder, "payments.csv", text)}
+    stored = writers.write_table(ingest.ingest_source(spark, sources, "payments"), f"{folder}/payments")
+    found = ingest.ledger(stored, "payments")
+    cells = {(r["column_name"], r["text"], r["reason"]): r["row_hash"] for r in found.collect()}
+    assert set(cells) == {("payment_installments", "two", "no int"), ("payment_sequential", "x", "no int"), ("payment_value", "12.5.1", "no double")}
+    hashes = {r["_row_hash"]: r["order_id"] for r in stored.collect()}
+    assert hashes[cells["payment_installments", "two", "no int"]] == "o1"
+    raw = spark.read.option("header", True).csv(f"{folder}/payments.csv")
+    rows = {r["column_name"]: tuple(r)[2:] for r in ingest.value_reconciliation(raw, stored, found, "payments").collect()}
+    assert rows == {"payment_sequential": (4, 3, 1, "PASS"), "payment_installments": (3, 2, 1, "PASS"), "payment_value": (3, 2, 1, "PASS")}
+    lost = ingest.value_reconciliation(raw, stored.where("order_id <> 'o2'"), found, "payments").collect()
+    assert {r["column_name"]: r["status"] for r in lost}["payment_value"] == "FAIL"
+    assert readers.without_metadata(stored).columns == list(RAW_TABLES["payments"].columns)
+
+
 def test_steps_wait_for_what_they_need(spark):
     import threading
     import time
