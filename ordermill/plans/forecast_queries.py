@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.operators import backtest, checks
 from ordermill.plans.presentation import means, show
 from ordermill.plans.shop import Shop, sql
-from ordermill.sources.scratch import materialize
+from ordermill.sources import readers, writers
+from ordermill.sources.scratch import materialize, scratch_path
 
 _METRICS = "mae rmse wape smape mape r2"
 _MONTHLY_COLUMNS = (
@@ -41,19 +45,37 @@ def _boosted(shop: Shop):
     )
 
 
+_NAMES = {"predictions": "predictions.csv", "monthly": "monthly.csv", "category_errors": "categories.json", "fold_metrics": "folds.json"}
+
+
 def _stored_artifacts(shop: Shop) -> dict:
-    """Results written out and read back, as a later audit finds them."""
+    """Results written as CSV and JSON reports and read back, as a later audit finds them."""
     predictions = materialize(shop.compared_predictions, "predictions")
     results = {
+        "predictions": predictions,
         "monthly": backtest.backtest_monthly(predictions),
         "category_errors": backtest.backtest_category_errors(predictions),
         "fold_metrics": backtest.fold_metrics(predictions),
     }
-    return {"predictions": predictions} | {name: materialize(df, name) for name, df in results.items()}
+    folder, stored = scratch_path(shop.spark, "reports"), {}
+    for name, df in results.items():
+        path = f"{folder}/{_NAMES[name]}"
+        (writers.write_json_report if path.endswith(".json") else writers.write_csv_report)(df, path)
+        schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in df.schema)
+        stored[name] = readers.scan_report(shop.spark, path, schema)
+    return stored
+
+
+def _readable(stored: dict, name: str):
+    """Whether no row of any report is unreadable."""
+    bad = reduce(DataFrame.unionAll, [readers.corrupt_rows(df) for df in stored.values()])
+    return bad.agg((F.sum("corrupt_rows") == 0).alias("passed")).select(
+        F.lit(name).alias("artifacts"), F.lit("reports_are_readable").alias("check_name"), "passed"
+    )
 
 
 def _audit(shop: Shop):
-    """The stored results, and the same with one total, one error and one label altered."""
+    """The stored reports; the same with altered totals, errors, labels and cutoffs; the same with spoiled predictions."""
     stored = _stored_artifacts(shop)
     month = stored["monthly"].agg(F.min("forecast_month")).scalar()
     category = stored["category_errors"].agg(F.min("category_name_english")).scalar()
@@ -70,31 +92,127 @@ def _audit(shop: Shop):
         ),
         "fold_metrics": stored["fold_metrics"].withColumn("max_train_forecast_month", F.col("forecast_month")),
     }
+    of_category = F.col("category_name_english") == category
+    spoiled = stored | {
+        "predictions": stored["predictions"].drop("lag_4").withColumns({
+            "naive_prediction": F.col("naive_prediction") + F.when(of_category, 1.0).otherwise(0.0),
+            "max_train_forecast_month": F.when(of_category, F.col("forecast_month")).otherwise(F.col("max_train_forecast_month")),
+            "forecast_month": F.when(~of_category, F.col("forecast_month")),
+        }),
+    }
+
+    def audited(artifacts: dict, name: str, inputs: DataFrame):
+        found = checks.backtest_audit(**artifacts, inputs=inputs)
+        return found.select(F.lit(name).alias("artifacts"), "check_name", "passed").unionAll(_readable(artifacts, name))
+
+    inputs = shop.stored_backtest_input
+    return (
+        audited(stored, "stored", inputs)
+        .unionAll(audited(altered, "altered", inputs))
+        .unionAll(audited(spoiled, "spoiled", inputs.drop("is_partial_period")))
+    )
 
-    def audited(artifacts: dict, name: str):
-        found = checks.backtest_audit(**artifacts, inputs=shop.stored_backtest_input)
-        return found.select(F.lit(name).alias("artifacts"), "check_name", "passed")
 
-    return audited(stored, "stored").unionAll(audited(altered, "altered"))
+_SPOILED_CATEGORY = "category_name_english = (SELECT min(category_name_english) FROM bt_pred)"
+# The audited tables of every case: predictions, monthly totals, category errors, folds, inputs.
+_AUDITED = {
+    "stored": ("bt_pred", "stored_months", "stored_categories", "bt_folds", "bt_input"),
+    "altered": ("bt_pred", "altered_months", "altered_categories", "altered_folds", "bt_input"),
+    "spoiled": ("spoiled_pred", "stored_months", "stored_categories", "bt_folds", "spoiled_input"),
+}
+_TOTALS = "actual_units naive_prediction moving_average_prediction champion_prediction".split()
+
+
+def _months_of(predictions: str) -> str:
+    return f"""SELECT forecast_month, strftime(CAST(forecast_month || '-01' AS DATE), '%b %Y') AS forecast_month_label,
+    sum(target_units) AS actual_units, sum(naive_prediction) AS naive_prediction, sum(moving_average_prediction) AS moving_average_prediction,
+    sum(champion_prediction) AS champion_prediction, abs(sum(target_units) - sum(champion_prediction)) AS champion_abs_error,
+    count(*) AS evaluated_rows, count(DISTINCT category_name_english) AS category_count FROM {predictions} GROUP BY forecast_month"""
+
+
+def _categories_of(predictions: str) -> str:
+    return f"""SELECT category_name_english, sum(target_units) AS actual_units, sum(naive_prediction) AS naive_prediction,
+    sum(moving_average_prediction) AS moving_average_prediction, sum(champion_prediction) AS champion_prediction,
+    sum(abs(target_units - champion_prediction)) AS absolute_error, sum(abs(target_units - champion_prediction)) / count(*) AS mae,
+    count(*) AS evaluated_rows, count(DISTINCT forecast_month) AS forecast_month_count FROM {predictions} GROUP BY category_name_english"""
 
 
-# What each check comes to: over the tables themselves, and where an altered table must fail.
-_AUDIT_SQL = {
-    "prediction_columns": ("true", "true"),
-    "target_period_comparability_flags": ("true", "true"),
-    "one_forecast_month_per_prediction": ("(SELECT count(*) = 0 FROM bt_pred WHERE forecast_month IS NULL)",) * 2,
-    "naive_equals_lag_1": ("(SELECT count(*) = 0 FROM bt_pred WHERE NOT coalesce(abs(naive_prediction - lag_1) <= 1e-7, false))",) * 2,
-    "no_train_row_reaches_validation_month": (
-        "(SELECT count(*) = 0 FROM bt_pred WHERE NOT coalesce(max_train_forecast_month < forecast_month, false))",
-    ) * 2,
-    "fold_metric_train_cutoff": (
-        "(SELECT count(*) = 0 FROM bt_folds WHERE NOT coalesce(max_train_forecast_month < forecast_month, false))",
-        "(SELECT count(*) = 0 FROM bt_folds WHERE NOT coalesce(forecast_month < forecast_month, false))",
+_AUDIT_TABLES = {
+    "stored_months": ("bt_pred", _months_of("bt_pred")),
+    "stored_categories": ("bt_pred", _categories_of("bt_pred")),
+    "altered_months": (
+        "stored_months",
+        "SELECT * REPLACE (CASE WHEN first THEN actual_units + 1 ELSE actual_units END AS actual_units,"
+        " CASE WHEN first THEN forecast_month ELSE forecast_month_label END AS forecast_month_label) FROM"
+        " (SELECT *, forecast_month = min(forecast_month) OVER () AS first FROM stored_months)",
     ),
-    "monthly_totals_match_predictions": ("true", "(SELECT count(*) = 0 FROM bt_pred)"),
-    "category_errors_match_predictions": ("true", "(SELECT count(*) = 0 FROM bt_pred)"),
-    "monthly_labels_are_month_names": ("true", "(SELECT count(*) = 0 FROM bt_pred)"),
-}
+    "altered_categories": (
+        "stored_categories bt_pred",
+        f"SELECT * REPLACE (CASE WHEN {_SPOILED_CATEGORY} THEN absolute_error + 1 ELSE absolute_error END AS absolute_error) FROM stored_categories",
+    ),
+    "altered_folds": ("bt_folds", "SELECT * REPLACE (forecast_month AS max_train_forecast_month) FROM bt_folds"),
+    "spoiled_pred": (
+        "bt_pred",
+        f"""SELECT * EXCLUDE (lag_4) REPLACE (CASE WHEN {_SPOILED_CATEGORY} THEN naive_prediction + 1 ELSE naive_prediction END AS naive_prediction,
+        CASE WHEN {_SPOILED_CATEGORY} THEN forecast_month ELSE max_train_forecast_month END AS max_train_forecast_month,
+        CASE WHEN {_SPOILED_CATEGORY} THEN NULL ELSE forecast_month END AS forecast_month) FROM bt_pred""",
+    ),
+    "spoiled_input": ("bt_input", "SELECT * EXCLUDE (is_partial_period) FROM bt_input"),
+}
+
+
+def _has_columns(table: str, columns: list[str]) -> str:
+    return f"(SELECT list_has_all(json_keys(to_json(t)), {columns}) FROM {table} t LIMIT 1)"
+
+
+def _same_as(stored: str, again: str, key: str, numbers: list[str], exact: list[str]) -> str:
+    rules = [f"abs(s.{name} - r.{name}) <= 1e-7" for name in numbers] + [f"s.{name} = r.{name}" for name in exact]
+    return f"(SELECT count(*) = 0 FROM {stored} s FULL JOIN ({again}) r ON s.{key} = r.{key} WHERE NOT coalesce({' AND '.join(rules)}, false))"
+
+
+def _audit_rules(predictions: str, months: str, categories: str, folds: str, inputs: str) -> dict[str, str]:
+    """What every check comes to, computed from the audited tables."""
+
+    def none(table: str, offending: str) -> str:
+        return f"(SELECT count(*) = 0 FROM {table} WHERE {offending})"
+
+    early = "NOT coalesce(max_train_forecast_month < forecast_month, false)"
+    rows = ["evaluated_rows"]
+    return {
+        "prediction_columns": _has_columns(
+            predictions,
+            ["category_name_english", "forecast_month", "feature_cutoff_month", "target_units", "lag_1", "lag_2", "lag_4",
+             "rolling_mean_3", "naive_prediction", "champion_prediction", "max_train_forecast_month"],
+        ),
+        "target_period_comparability_flags": _has_columns(
+            inputs, ["target_period_order_count", "is_partial_period", "is_low_volume_period", "is_comparable_period"]
+        ),
+        "one_forecast_month_per_prediction": none(predictions, "forecast_month IS NULL"),
+        "naive_equals_lag_1": none(predictions, "NOT coalesce(abs(naive_prediction - lag_1) <= 1e-7, false)"),
+        "no_train_row_reaches_validation_month": none(predictions, early),
+        "fold_metric_train_cutoff": none(folds, early),
+        "monthly_totals_match_predictions": _same_as(
+            months, _months_of(predictions), "forecast_month", [*_TOTALS, "champion_abs_error"],
+            ["forecast_month_label", "category_count", *rows],
+        ),
+        "category_errors_match_predictions": _same_as(
+            categories, _categories_of(predictions), "category_name_english", [*_TOTALS, "absolute_error", "mae"],
+            ["forecast_month_count", *rows],
+        ),
+        "monthly_labels_are_month_names": none(
+            months, "NOT coalesce(forecast_month_label = strftime(CAST(forecast_month || '-01' AS DATE), '%b %Y'), false)"
+        ),
+        "reports_are_readable": none(predictions, "target_units IS NULL"),
+    }
+
+
+def _audit_sql() -> str:
+    parts = [
+        f"SELECT '{name}' AS artifacts, '{check}' AS check_name, {rule} AS passed"
+        for name, tables in _AUDITED.items()
+        for check, rule in _audit_rules(*tables).items()
+    ]
+    return sql(" UNION ALL ".join(parts), "bt_pred", "bt_folds", "bt_input", *_AUDIT_TABLES, instead=_AUDIT_TABLES)
 
 
 def _metrics(shop: Shop):
@@ -182,7 +300,7 @@ QUERIES = {
         ),
         sql(
             f"""SELECT {_MONTHLY_COLUMNS} FROM (SELECT forecast_month,
-            strftime(CAST(concat(forecast_month, '-01') AS DATE), '%b %Y') AS forecast_month_label,
+            strftime(CAST(forecast_month || '-01' AS DATE), '%b %Y') AS forecast_month_label,
             sum(target_units) AS actual_units, count(*) AS evaluated_rows, count(DISTINCT category_name_english) AS category_count,
             sum(naive_prediction) AS naive_prediction, sum(moving_average_prediction) AS moving_average_prediction,
             sum(champion_prediction) AS champion_prediction,
@@ -211,13 +329,6 @@ QUERIES = {
     ),
     "backtest_audit": (
         _audit,
-        sql(
-            " UNION ALL ".join(
-                f"SELECT '{artifacts}' AS artifacts, '{name}' AS check_name, {rules[place]} AS passed"
-                for place, artifacts in enumerate(("stored", "altered"))
-                for name, rules in _AUDIT_SQL.items()
-            ),
-            "bt_pred", "bt_folds",
-        ),
+        _audit_sql(),
     ),
 }

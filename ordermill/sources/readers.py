@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ordermill.sources.contract import METADATA_PREFIX
 
@@ -62,6 +62,43 @@ def read_report(spark: SparkSession, path: str, schema: StructType | str) -> Dat
     return report
 
 
+CORRUPT = "_corrupt_record"
+
+
+def scan_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored CSV or JSON report (by the name of its path) read without trust.
+
+    Rows that do not fit ``schema`` are kept as text in ``_corrupt_record``
+    instead of failing the scan; columns are taken by name, so a report
+    without a column has NULLs there (``report_columns`` tells).
+    """
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"report is missing: {path}")
+    wanted = StructType.fromDDL(schema)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if path.endswith(".json"):
+        return spark.read.schema(StructType([*wanted, StructField(CORRUPT, StringType())])).options(**options).json(path)
+    types = {field.name: field for field in wanted}
+    there = [types.get(name, StructField(name, StringType())) for name in report_columns(spark, path)]
+    rows = spark.read.schema(StructType([*there, StructField(CORRUPT, StringType())])).options(header=True, **options).csv(path)
+    absent = {name: F.lit(None).cast(field.dataType) for name, field in types.items() if name not in rows.columns}
+    return rows.withColumns(absent).select(*types, CORRUPT) if absent else rows.select(*types, CORRUPT)
+
+
+def corrupt_rows(report: DataFrame) -> DataFrame:
+    """Number of rows of ``scan_report`` that did not fit (``corrupt_rows``).
+
+    Looks at all columns of a row, for Spark finds a misfit only in what it parses.
+    """
+    parsed = F.hash(*[name for name in report.columns if name != CORRUPT]) >= -(1 << 31)  # always so
+    return report.agg(F.count_if(F.col(CORRUPT).isNotNull() & parsed).alias("corrupt_rows"))
+
+
+def report_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the columns that a stored CSV or JSON report has."""
+    return spark.read.json(path).columns if path.endswith(".json") else spark.read.option("header", True).csv(path).columns
+
+
 def read_table(
     spark: SparkSession, path: str, columns: list[str] | None = None, fmt: str = "parquet"
 ) -> DataFrame:

@@ -105,6 +105,20 @@ def test_report_files(spark, folder):
     assert readers.read_json(spark, f"{folder}/j").first()["v"] == 1
 
 
+def test_reports_are_read_without_trust(spark, folder):
+    path = write(folder, "r.csv", "k,v,extra\na,1,x\nb,two,y\nc,3,z\n")
+    found = readers.scan_report(spark, path, "k string, v int, gone double")
+    assert found.columns == ["k", "v", "gone", readers.CORRUPT] and readers.report_columns(spark, path) == ["k", "v", "extra"]
+    rows = {r["k"]: (r["v"], r[readers.CORRUPT]) for r in found.collect()}
+    assert rows["a"] == (1, None) and rows["b"] == (None, "b,two,y")
+    assert readers.corrupt_rows(found).first()[0] == 1
+    path = write(folder, "r.json", '{"k": "a", "v": 1}\n{"k": "b", "v": \n')
+    found = readers.scan_report(spark, path, "k string, v int")
+    assert readers.corrupt_rows(found).first()[0] == 1 and found.where("k = 'a'").first()["v"] == 1
+    with pytest.raises(FileNotFoundError):
+        readers.scan_report(spark, f"{folder}/none.csv", "k string")
+
+
 def test_manifest(spark, folder):
     write(folder, "a.csv", "x\n1\n")
     write(folder, "b.txt", "ignored")
