@@ -116,26 +116,59 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+WHOLE_BYTES = 256 << 20  # files up to here are hashed as one value; Spark ends at 2 GB
+BLOCK_BYTES = 8 << 20
+
+
+def _open(uri: str):
+    """A file of any file system that Arrow knows, as a stream."""
+    from pyarrow import fs
+
+    local = uri.removeprefix("file:") if uri.startswith("file:") else None
+    system, path = (fs.LocalFileSystem(), f"/{local.lstrip('/')}") if local else fs.FileSystem.from_uri(uri)
+    return system.open_input_stream(path)
+
+
+def _streamed_hashes(files: DataFrame) -> DataFrame:
+    """SHA-256 of files of any size, read block by block, one file after the other in a task."""
+
+    def work(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+                digest = hashlib.sha256()
+                with _open(path) as stream:
+                    while block := stream.read(BLOCK_BYTES):
+                        digest.update(block)
+                yield pa.RecordBatch.from_pydict({"path": [path], "length": pa.array([length], pa.int64()), "sha256": [digest.hexdigest()]})
+
+    return files.select("path", "length").repartition("path").mapInArrow(work, "path string, length bigint, sha256 string")
+
+
 def source_manifest(
-    spark: SparkSession, path: str, pattern: str = "*.csv", with_hash: bool = True
+    spark: SparkSession, path: str, pattern: str = "*.csv", with_hash: bool = True, whole_bytes: int = WHOLE_BYTES
 ) -> DataFrame:
-    """Name, size and SHA-256 of each file below ``path``.
+    """Name, size and SHA-256 of each file below ``path``, files of any size.
 
-    The hash needs a file's content as one row, which Spark limits to 2 GB;
-    a larger file fails the job. ``with_hash=False`` lists names and sizes
-    alone, from the file system's metadata, and takes files of any size.
+    Files up to ``whole_bytes`` are hashed where Spark reads them; larger ones
+    are streamed through a fixed buffer, on file systems that Arrow can open.
+    ``with_hash=False`` lists names and sizes from the file system's metadata.
     """
     files = (
         spark.read.format("binaryFile")
         .options(pathGlobFilter=pattern, recursiveFileLookup=True)
         .load(path)
     )
-    listed = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("filename"),
-        F.col("length").alias("bytes"),
-        *[F.sha2("content", 256).alias("sha256")] * with_hash,
-    )
-    return listed
+    name = F.element_at(F.split("path", "/"), -1).alias("filename")
+    if not with_hash:
+        return files.select(name, F.col("length").alias("bytes"))
+    # The filters on the length reach the scan, which then does not open the other files.
+    small = files.where(F.col("length") <= whole_bytes).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    large = _streamed_hashes(files.where(F.col("length") > whole_bytes))
+    return small.unionAll(large).select(name, F.col("length").alias("bytes"), "sha256")
 
 
 def reader_reconciliation(spark: SparkSession, path: str, true_rows: int | DataFrame) -> DataFrame:

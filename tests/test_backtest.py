@@ -132,6 +132,28 @@ def test_monthly_and_category_tables(predictions):
     assert backtest.top_category_errors(backtest.backtest_category_errors(predictions), 1).count() == 1
 
 
+def test_boosted_forecasts_do_not_depend_on_partitions(spark, folder):
+    rows = features(spark)
+    few = backtest.boosted_backtest(rows.coalesce(1), most=2, params={"maxIter": 4})
+    many = backtest.boosted_backtest(rows.repartition(5), most=2, params={"maxIter": 4}, model_path=f"{folder}/models")
+    key = ["category_name_english", "forecast_month", "boosted_prediction"]
+    assert sorted(map(tuple, few.select(*key).collect())) == sorted(map(tuple, many.select(*key).collect()))
+    compared = backtest.with_champion(many)
+    best = backtest.champion(backtest.pooled_metrics(many)).first()["champion_model"]
+    for r in compared.collect():
+        assert r["champion_prediction"] == r[backtest.PREDICTIONS[best]]
+    listed = {r["model"]: r for r in backtest.model_metrics(compared).collect()}
+    assert set(listed) == {"naive_lag_1", "boosted_trees"} and listed[best]["is_champion"]
+    assert {r["evaluated_rows"] for r in listed.values()} == {4}
+
+
+def test_too_few_months_give_no_predictions(spark):
+    one = features(spark).where("forecast_month = '2024-01'")
+    assert not backtest.can_be_tested(one) and backtest.can_be_tested(features(spark), most=2)
+    empty = backtest.with_champion(backtest.no_predictions(one))
+    assert empty.count() == 0 and backtest.backtest_monthly(empty).count() == 0
+
+
 @pytest.mark.parametrize(
     "challenger, expected",
     [((1.0, 1.0, 9.0), "boosted_trees"), ((1.0, 3.0, 1.0), "naive_lag_1"), ((3.0, 1.0, 1.0), "naive_lag_1"), ((2.0, 2.0, 2.0), "naive_lag_1")],

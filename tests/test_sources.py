@@ -126,6 +126,27 @@ def test_manifest(spark, folder):
     assert [tuple(r) for r in row] == [("a.csv", 4, hashlib.sha256(b"x\n1\n").hexdigest())]
 
 
+def test_manifest_of_streamed_files(spark, folder):
+    data = bytes(range(256)) * 100_000  # several blocks
+    Path(folder, "big.csv").write_bytes(data)
+    write(folder, "a.csv", "x\n1\n")
+    found = {r["filename"]: (r["bytes"], r["sha256"]) for r in readers.source_manifest(spark, folder, whole_bytes=10).collect()}
+    assert found == {
+        "big.csv": (len(data), hashlib.sha256(data).hexdigest()), "a.csv": (4, hashlib.sha256(b"x\n1\n").hexdigest())
+    }
+
+
+def test_manifest_of_a_file_beyond_two_gigabytes(spark, folder):
+    size = (2 << 30) + 5
+    with open(f"{folder}/huge.csv", "wb") as file:
+        file.truncate(size)  # takes no room on the disk
+    digest, block = hashlib.sha256(), bytes(1 << 20)
+    for _ in range(2 << 10):
+        digest.update(block)
+    digest.update(bytes(5))
+    assert [tuple(r) for r in readers.source_manifest(spark, folder).collect()] == [("huge.csv", size, digest.hexdigest())]
+
+
 def test_manifest_without_hash(spark, folder):
     write(folder, "a.csv", "x\n1\n")
     listed = readers.source_manifest(spark, folder, with_hash=False)
