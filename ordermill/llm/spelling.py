@@ -31,7 +31,7 @@ from ordermill.llm.spans import split_letters
 from ordermill.sources.scratch import materialize
 
 GROUPS = 16
-LIMIT = 32_768  # words of a subtree
+LIMIT = 8192  # words of a subtree
 MIN_LETTERS = 6
 MIN_COUNT = 5
 FORM_RATIO = 5
