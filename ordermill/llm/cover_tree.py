@@ -264,8 +264,8 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, chunk: int =
     linked directly; ``component_id``: the least ``vec_id`` reachable, itself
     included; ``kept``: it is its own component's. Vectors that are null,
     zero, or hold null or non-finite components link with nothing, nor do
-    rows with a null id or label. Rows may repeat; each counts. Extra columns
-    are not read.
+    rows with a null id or label. Rows may repeat and an id may have several
+    vectors; each row counts and has its own links. Extra columns are not read.
 
     Copies of a vector are one point with a count. Chunks of a label are
     compared in pairs, each pair in a task of its own with two trees of
@@ -285,7 +285,8 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, chunk: int =
             F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"),
             F.first("label").alias("label"), F.first("embedding").alias("embedding"),
         )
-        .withColumn("dims", F.size("embedding")),
+        .withColumn("dims", F.size("embedding"))
+        .withColumn("node", F.monotonically_increasing_id()),  # an id may stand for several points
         "tree-points",
     )
     kind = F.concat_ws("|", "dims", "label")
@@ -293,22 +294,24 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, chunk: int =
     dealt = join_one(points.withColumn("kind", kind), sizes, "kind", "vec_id").withColumn(
         "chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int")
     )
-    grown = dealt.select("label", "dims", "chunk", "chunks", "vec_id", "copies", "embedding")
+    grown = dealt.select("label", "dims", "chunk", "chunks", F.col("node").alias("vec_id"), "copies", "embedding")
     trees = materialize(grown.groupBy("label", "dims", "chunk").applyInPandas(_grow, TREE_SCHEMA), "tree-chunks")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     paired = trees.select("*", other.alias("other")).select(
         "*", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")
     )
     found = materialize(paired.groupBy("label", "dims", "i", "j").applyInPandas(_walk(cosine), FOUND_SCHEMA), "tree-links")
-    partners = found.groupBy(F.col("a").alias("vec_id")).agg(F.sum("links").alias("links"))
+    partners = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = components(found.where("b is not null").select("a", "b"), "tree-components")
+    named = points.select("node", "vec_id").join(joined, "node")
+    least = named.groupBy("component").agg(F.min("vec_id").alias("least_id"))
     of_point = (
-        points.join(partners, "vec_id", "left")
-        .join(joined.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+        points.join(partners, "node", "left")
+        .join(join_one(joined, least, "component", "node", "inner").select("node", "least_id"), "node", "left")
         .select(
             "point",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
+            F.coalesce("least_id", "vec_id").alias("component_id"),
         )
     )
     linked = join_one(keyed.select("vec_id", "point"), of_point, "point", "vec_id")

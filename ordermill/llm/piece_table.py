@@ -144,17 +144,16 @@ class PieceTable:
 
     def _blank_run(self, count: int) -> list[int]:
         """Blanks that no word took: joined from the left as long as a longer run is a piece."""
-        ids = [self.blank_id] * count
-        sizes = [1] * count
-        at = 0
-        while at < len(ids) - 1:
-            if sizes[at] + sizes[at + 1] in self.runs:
-                sizes[at : at + 2] = [sizes[at] + sizes[at + 1]]
-                ids[at : at + 2] = [self.runs[sizes[at]]]
-                at = 0
+        sizes: list[int] = []  # no two neighbours can be joined
+        for _ in range(count):
+            if sizes and sizes[-1] + 1 in self.runs:
+                sizes[-1] += 1
+                while len(sizes) > 1 and sizes[-2] + sizes[-1] in self.runs:
+                    last = sizes.pop()
+                    sizes[-1] += last
             else:
-                at += 1
-        return ids
+                sizes.append(1)
+        return [self.blank_id if size == 1 else self.runs[size] for size in sizes]
 
     def word_ids(self, word: str) -> list[int]:
         """Ids of a word with at most one blank in front. A letter without a piece becomes its bytes."""

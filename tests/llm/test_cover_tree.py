@@ -83,3 +83,10 @@ def test_empty_repeated_and_null_ids(spark):
     rows = [(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.0], 0), (2, [1.0, 0.01], 0)]
     found = sorted(map(tuple, cover_tree.near_duplicates(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert found == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 0, None, False), (2, 2, 1, False)], key=str)
+
+
+def test_an_id_with_several_vectors_has_links_of_its_own_for_each(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.001]), (3, [0.9999, 0.002]), (4, [0.001, 1.0])]
+    df = spark.createDataFrame([(i, "x", v) for i, v in rows], "vec_id long, label string, embedding array<double>")
+    found = cover_tree.near_duplicates(df).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(1, 1, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 1, 1)]

@@ -226,3 +226,13 @@ def test_blocks_carry_their_open_window():
     assert sum(len(row[-1]) for row in rows) == total
     short = [row for row in rows if row[5] < 12 and row[3] < rows[-1][3] - 4]
     assert len({row[3] for row in short}) < 0.5 * len({row[3] for row in rows})
+
+
+def test_long_runs_of_blanks_are_linear():
+    table, library = piece_table(PIECES), pieces_library()
+    for count in [*range(1, 140), 1000, 4097]:
+        for text in (" " * count, "a" + " " * count + "b"):
+            ids, _ = table.encode(pa.array([text]))
+            assert ids.tolist() == [*library.encode(text), 2]
+    ids, _ = table.encode(pa.array(["x" + " " * 1_000_000 + "y"]))
+    assert table.decode(ids[:-1].tolist()) == "x" + " " * 1_000_000 + "y"
