@@ -36,7 +36,7 @@ from ordermill.sources.scratch import materialize
 
 STATES = 8
 HEAD = 8192  # words with a class of their own
-KNOWN = 1 << 17  # words whose counts every task holds
+KNOWN = 1 << 18  # words whose counts every task holds
 KNOWN_BYTES = 64  # longer words are never among them, so the table stays below KNOWN * (KNOWN_BYTES + 8) bytes
 BUCKETS = 16  # steps of the frequency scale for each doubling
 TAIL = 512  # classes of all other words
@@ -320,7 +320,7 @@ def first_model(lexicon: Lexicon, states: int = STATES, seed: int = SEED) -> Mod
 
 def _batches_of_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
-        for part in slices(batch, "classes", 1 << 20):
+        for part in slices(batch, "classes", 2 << 20):
             yield part, [np.frombuffer(one, np.uint16) for one in part.column("classes").to_pylist()]
 
 
