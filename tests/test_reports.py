@@ -94,3 +94,14 @@ def test_counts_and_choices(spark, master):
     counts = marts.layer_row_counts({"silver": {"master": master}, "gold": {"none": master.limit(0)}})
     assert [tuple(r) for r in counts.collect()] == [("silver", "master", 4), ("gold", "none", 0)]
     assert [r[0] for r in marts.distinct_values(master, "customer_state").collect()] == ["RJ", "SP"]
+
+
+def test_changed_input_is_read_anew(spark, folder):
+    from ordermill.plans.catalog import shop_of
+
+    spark.range(3).write.parquet(f"{folder}/orders.parquet")
+    first = shop_of(spark, folder)
+    assert shop_of(spark, folder) is first and first.table("orders").count() == 3
+    spark.range(5).write.mode("overwrite").parquet(f"{folder}/orders.parquet")
+    again = shop_of(spark, folder)
+    assert again is not first and again.table("orders").count() == 5
