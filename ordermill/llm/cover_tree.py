@@ -28,6 +28,7 @@ COSINE = 0.93
 CHUNK = 2048  # vectors of a tree; bounds the memory of a task, not what is compared
 BLOCK = 1024  # nodes of one side compared at once
 SLACK = 1e-6  # pairs this close to a bound are compared by the cosine itself
+DIRECT = 4096  # two nodes with at most so many pairs below them are compared without going down further
 LEAF = 2.0**-6  # radius below which a node's vectors are listed and no longer divided
 
 
@@ -156,6 +157,7 @@ def traverse(
             i, j = np.nonzero(near)
             links.some(own[at + i], other[j])
 
+    sizes_a, sizes_b = a.ends - a.starts, b.ends - b.starts
     root = np.zeros(1, np.int64)
     work = [(root, root, same)]  # nodes of either side, all against all; True: a set against itself
     while work:
@@ -181,12 +183,16 @@ def traverse(
                 if same and x == y:
                     if 2 * a.radii[x] < bound - SLACK:
                         links.within(a.below(x))
+                    elif sizes_a[x] ** 2 <= DIRECT:
+                        compare(a.below(x), a.below(x), once=True)
                     elif len(a.children[x]):
                         work.append((a.children[x], a.children[x], True))
                     else:
                         compare(a.below(x), a.below(x), once=True)
                 elif all_near:
                     links.all_of(a.below(x), b.below(y))
+                elif sizes_a[x] * sizes_b[y] <= DIRECT:
+                    compare(a.below(x), b.below(y))
                 elif len(a.children[x]) and (a.radii[x] >= b.radii[y] or not len(b.children[y])):
                     work.append((a.children[x], np.array([y]), False))
                 elif len(b.children[y]):
