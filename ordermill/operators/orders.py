@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import UNKNOWN
 from ordermill.functions.months import month_key
 from ordermill.functions.numeric import flag, from_ticks, in_ticks, money_sum, ratio, ticks
-from ordermill.operators.skew import join_one
+from ordermill.operators.skew import hot_keys, join_one
 
 DELIVERED = "delivered"
 CANCELED = "canceled"
@@ -116,22 +116,45 @@ def payment_types(payments: DataFrame) -> DataFrame:
     """
     paid = F.col("payment_value")
     exact = in_ticks(paid)
-    rest = F.coalesce(F.sum(F.when(~exact, paid.cast("double"))), F.lit(0.0))
-    return (
-        payments.groupBy("order_id", "payment_type")
-        .agg(
-            F.sum(F.when(exact, ticks(F.when(exact, paid)))).alias("type_ticks"),
-            rest.alias("type_rest"),
-            F.count("payment_value").alias("type_rows"),
-            F.min("payment_sequential").alias("first_sequence"),
-        )
-        .withColumn(
-            "type_value",
-            F.when(F.col("type_rows") > 0, from_ticks(F.coalesce("type_ticks", F.lit(0))) + F.col("type_rest")),
-        )
+    single = payments.select(
+        "order_id",
+        "payment_type",
+        F.when(exact, ticks(F.when(exact, paid))).alias("type_ticks"),
+        F.when(~exact, paid.cast("double")).alias("type_rest"),
+        F.when(paid.isNotNull(), 1).otherwise(0).cast("bigint").alias("type_rows"),
+        F.col("payment_sequential").alias("first_sequence"),
+    )
+    return _summed_types(_gathered(single)).withColumns(
+        {
+            "type_rest": F.coalesce("type_rest", F.lit(0.0)),
+            "type_value": F.when(
+                F.col("type_rows") > 0,
+                from_ticks(F.coalesce("type_ticks", F.lit(0))) + F.coalesce("type_rest", F.lit(0.0)),
+            ),
+        }
+    )
+
+
+def _summed_types(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("order_id", "payment_type").agg(
+        F.sum("type_ticks").alias("type_ticks"),
+        F.sum("type_rest").alias("type_rest"),
+        F.sum("type_rows").alias("type_rows"),
+        F.min("first_sequence").alias("first_sequence"),
     )
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt by order, so that sums per type and per order need no shuffle of their own.
+
+    Orders with very many payments (and rows without an order) are summed by
+    type first: no order brings more than a fair share of rows to its task.
+    """
+    order = F.col("order_id")
+    often = order.isNull() | F.element_at(hot_keys(rows, "order_id"), order).isNotNull()
+    return rows.where(~often).unionAll(_summed_types(rows.where(often))).repartition("order_id")
+
+
 def payment_totals(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(
         money_sum("payment_value").alias("payment_total")
@@ -142,28 +165,15 @@ def payments_by_type(payments: DataFrame) -> DataFrame:
     """Paid total per order and the type with the largest *summed* value.
 
     Ties go to the earlier sequence number, then to the alphabet. Both results
-    come from the same per-type rows in one sort, so payments are shuffled once
-    and an order never holds more rows than there are types.
+    come from the same per-type rows in one grouping, so payments are shuffled once
+    and are not read at all where a later step needs neither.
     """
-    ranked = Window.partitionBy("order_id").orderBy(
-        F.desc("type_value"), F.asc("first_sequence"), F.asc("payment_type")
-    )
-    whole_order = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    def over_order(name: str) -> Column:
-        return F.coalesce(F.sum(name).over(whole_order), F.lit(0))
-
-    total = from_ticks(over_order("type_ticks")) + over_order("type_rest")
-    return (
-        payment_types(payments)
-        .select(
-            "order_id",
-            F.when(over_order("type_rows") > 0, total).alias("payment_total"),
-            F.col("payment_type").alias("primary_payment_type"),
-            F.row_number().over(ranked).alias("_place"),
-        )
-        .where("_place = 1")
-        .drop("_place")
+    value = F.col("type_value")
+    largest = F.struct(value.isNull(), ~F.isnan(value), -value, "first_sequence", "payment_type")
+    total = from_ticks(F.coalesce(F.sum("type_ticks"), F.lit(0))) + F.sum("type_rest")
+    return payment_types(payments).groupBy("order_id").agg(
+        F.when(F.sum("type_rows") > 0, total).alias("payment_total"),
+        F.min_by("payment_type", largest).alias("primary_payment_type"),
     )
 
 
