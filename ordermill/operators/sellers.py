@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.labels import (
@@ -22,21 +24,24 @@ def seller_orders(items: DataFrame) -> DataFrame:
     return items.select("seller_id", "order_id").dropDuplicates()
 
 
-def _order_shares(items: DataFrame, master: DataFrame) -> DataFrame:
-    """Money per seller and order next to the order's review and lateness.
+def _seller_totals(items: DataFrame, master: DataFrame, money: Mapping[str, Column]) -> DataFrame:
+    """Money per seller next to the number, mean review and late share of its orders.
 
-    Grouping before the join counts each order once per seller and keeps item
-    money out of the order join.
+    Money is added up per seller before the shuffle; only the pairs of seller
+    and order meet the orders, so each order counts once per seller.
     """
-    shares = items.groupBy("seller_id", "order_id").agg(
-        money_sum("price").alias("product_revenue"),
-        money_sum("freight_value").alias("freight"),
-        money_sum(F.col("price") + F.col("freight_value")).alias("revenue"),
-    )
+    paid = items.groupBy("seller_id").agg(*[money_sum(value).alias(name) for name, value in money.items()])
     facts = master.select("order_id", "avg_review_score", "is_late")
-    return join_one(
-        shares, facts, "order_id", spread_on="seller_id", hot=hot_keys(items, "order_id")
+    pairs = join_one(
+        seller_orders(items), facts, "order_id", spread_on="seller_id", hot=hot_keys(items, "order_id")
     )
+    judged = pairs.groupBy(F.col("seller_id").alias("_seller")).agg(
+        F.count("order_id").alias("total_orders"),
+        F.avg("avg_review_score").alias("avg_review"),
+        F.avg("is_late").alias("late_rate"),
+    )
+    both = paid.join(judged, F.col("seller_id").eqNullSafe(F.col("_seller")))
+    return both.select("seller_id", "total_orders", *money, "avg_review", "late_rate")
 
 
 def seller_performance(
@@ -47,14 +52,9 @@ def seller_performance(
     medium_from: float = TIER_MEDIUM_FROM,
 ) -> DataFrame:
     """One row per seller; the tier looks at revenue including freight."""
-    totals = _order_shares(items, master).groupBy("seller_id").agg(
-        F.count("order_id").alias("total_orders"),
-        money_sum("product_revenue").alias("total_product_revenue"),
-        money_sum("freight").alias("total_freight"),
-        money_sum("revenue").alias("total_revenue"),
-        F.avg("avg_review_score").alias("avg_review"),
-        F.avg("is_late").alias("late_rate"),
-    )
+    price, freight = F.col("price"), F.col("freight_value")
+    money = {"total_product_revenue": price, "total_freight": freight, "total_revenue": price + freight}
+    totals = _seller_totals(items, master, money)
     return totals.join(sellers.select("seller_id", "seller_state"), "seller_id", "left").withColumns(
         {
             "seller_state": F.coalesce("seller_state", F.lit(UNKNOWN)),
@@ -71,12 +71,7 @@ def seller_performance_two_level(
     medium_from: float = TIER_MEDIUM_FROM,
 ) -> DataFrame:
     """The shorter variant; an unlisted seller keeps a NULL state."""
-    totals = _order_shares(items, master).groupBy("seller_id").agg(
-        F.count("order_id").alias("total_orders"),
-        money_sum("revenue").alias("total_revenue"),
-        F.avg("avg_review_score").alias("avg_review"),
-        F.avg("is_late").alias("late_rate"),
-    )
+    totals = _seller_totals(items, master, {"total_revenue": F.col("price") + F.col("freight_value")})
     return totals.join(sellers.select("seller_id", "seller_state"), "seller_id", "left").withColumn(
         "performance_tier", revenue_tier("total_revenue", high_above, medium_from)
     )

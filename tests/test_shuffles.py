@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from ordermill.operators import orders
+import re
+
+from ordermill.operators import orders, sellers
 from ordermill.plans.shop import Shop
 
 SMALL = "/root/testdata/sf0.001"
@@ -27,3 +29,21 @@ def test_orders_with_very_many_payments_keep_their_totals(spark):
     assert found[1] == (750.0, "card") and found[None] == (2.0, "card")
     assert found[2] == (10.0, "c") and found[3] == (None, "x")
     assert found[4][1] == "n"  # not a number sorts above all amounts
+
+
+def test_money_of_sellers_is_not_shuffled_by_order(spark):
+    shop = Shop(spark, SMALL)
+    grouped = re.findall(r"Aggregate \[seller_id#\d+, order_id#\d+L?\], \[(.*)\]", plan(shop.seller_performance))
+    assert grouped and not any("sum(" in columns for columns in grouped)
+
+
+def test_sellers_and_orders_may_be_unknown(spark):
+    items = spark.createDataFrame(
+        [("o1", "s1", 10.0, 1.0), ("o1", "s1", 5.0, 0.5), (None, "s1", 2.0, 0.0), ("o1", None, 7.0, 0.0)],
+        "order_id string, seller_id string, price double, freight_value double",
+    )
+    facts = spark.createDataFrame([("o1", 4.0, 1)], "order_id string, avg_review_score double, is_late int")
+    people = spark.createDataFrame([("s1", "SP")], "seller_id string, seller_state string")
+    found = {r["seller_id"]: r for r in sellers.seller_performance(items, facts, people).collect()}
+    assert (found["s1"]["total_orders"], found["s1"]["total_revenue"], found["s1"]["avg_review"]) == (1, 18.5, 4.0)
+    assert (found[None]["total_orders"], found[None]["total_revenue"]) == (1, 7.0)
