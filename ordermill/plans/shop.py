@@ -223,6 +223,11 @@ class Shop:
         """The fact table written out, for reports that read it more than once."""
         return materialize(self.master, "master")
 
+    @property
+    def facts(self) -> DataFrame:
+        """The fact table as stored if a report stored it before, else as computed from the columns in use."""
+        return self.__dict__.get("stored_master", self.master)
+
     @cached_property
     def valued_orders(self) -> DataFrame:
         """Orders with item money and customer only: no payments, no reviews."""

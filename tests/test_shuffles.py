@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from ordermill.operators import orders, sellers
+from ordermill.plans.distinct_queries import with_repeats
 from ordermill.plans.shop import Shop
 
 SMALL = "/root/testdata/sf0.001"
@@ -31,6 +32,20 @@ def test_orders_with_very_many_payments_keep_their_totals(spark):
     assert found[4][1] == "n"  # not a number sorts above all amounts
 
 
+def test_repeated_orders_are_computed_once(spark):
+    shop = Shop(spark, SMALL)
+    rows = with_repeats(shop.orders.selectExpr("*", "'card' AS primary_payment_type"))
+    assert plan(rows).count("Relation ") == 1
+    once = shop.orders.selectExpr("sum(1 + int(order_id % 10 = 0) + int(order_id % 20 = 0))").first()[0]
+    assert rows.count() == once
+
+
+def test_repeats_need_no_stored_facts(spark):
+    shop = Shop(spark, SMALL)
+    joins = plan(with_repeats(shop.facts).select("order_id", "order_revenue")).count("Join")
+    assert joins == 3 and "stored_master" not in shop.__dict__  # customers, their nations, items
+
+
 def test_money_of_sellers_is_not_shuffled_by_order(spark):
     shop = Shop(spark, SMALL)
     grouped = re.findall(r"Aggregate \[seller_id#\d+, order_id#\d+L?\], \[(.*)\]", plan(shop.seller_performance))
