@@ -209,7 +209,7 @@ def _silver_tables(shop: Shop) -> dict[str, DataFrame]:
         "master_orders": shop.stored_master,
         "customer_profile": shop.stored_profile,
         "product_demand": shop.stored_demand,
-        "seller_performance": shop.seller_performance,
+        "seller_performance": shop.stored_seller_performance,
     }
 
 
@@ -232,7 +232,7 @@ def _silver(shop: Shop):
         "product_demand": shop.stored_demand.withColumn(
             "category_name_english", F.when(category.startswith(UNTRANSLATED_PREFIX), None).otherwise(category)
         ),
-        "seller_performance": shop.seller_performance.withColumn("total_revenue", -total),
+        "seller_performance": shop.stored_seller_performance.withColumn("total_revenue", -total),
     }
     return _on(
         {name: checks.silver_checks(tables, shop.products, shop.translation)

@@ -62,3 +62,9 @@ def test_sellers_and_orders_may_be_unknown(spark):
     found = {r["seller_id"]: r for r in sellers.seller_performance(items, facts, people).collect()}
     assert (found["s1"]["total_orders"], found["s1"]["total_revenue"], found["s1"]["avg_review"]) == (1, 18.5, 4.0)
     assert (found[None]["total_orders"], found[None]["total_revenue"]) == (1, 7.0)
+
+
+def test_profile_reads_the_stored_facts(spark):
+    shop = Shop(spark, SMALL)
+    stored = set(shop.stored_master.inputFiles())
+    assert set(shop.profile.inputFiles()) == stored
