@@ -95,17 +95,16 @@ def column_profile(df: DataFrame, table: str) -> DataFrame:
 def exact_duplicates(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every column.
 
-    A first pass counts 128-bit hashes of the rows, 16 bytes a row in the
+    A first pass counts 64-bit hashes of the rows, 8 bytes a row in the
     shuffle. Whole rows are shuffled and compared only where a hash occurs more
     than once, so rows that merely share a hash are told apart.
     """
     cells = [F.col(f"`{name}`") for name in df.columns]
     cells += [cell.isNull() for cell in cells]  # hashing skips missing values
-    hashed = df.withColumns({"_hash_a": F.xxhash64(*cells), "_hash_b": F.xxhash64(F.lit("b"), *cells)})
-    hashes = ["_hash_a", "_hash_b"]
-    often = hashed.groupBy(*hashes).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select(*hashes)
-    suspects = hashed.join(often, hashes, "left_semi")
-    copies = suspects.groupBy(*hashes, *[F.col(f"`{name}`") for name in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    hashed = df.withColumn("_hash", F.xxhash64(*cells))
+    often = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_hash")
+    suspects = hashed.join(often, "_hash", "left_semi")
+    copies = suspects.groupBy("_hash", *[F.col(f"`{name}`") for name in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
     surplus = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
     return copies.agg(surplus.alias("exact_duplicate_rows"))
 

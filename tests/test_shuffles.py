@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from ordermill.operators import orders, sellers
+from ordermill.operators import audit, orders, sellers
 from ordermill.plans.distinct_queries import with_repeats
 from ordermill.plans.shop import Shop
 
@@ -68,3 +68,9 @@ def test_profile_reads_the_stored_facts(spark):
     shop = Shop(spark, SMALL)
     stored = set(shop.stored_master.inputFiles())
     assert set(shop.profile.inputFiles()) == stored
+
+
+def test_duplicates_are_looked_for_by_one_hash(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (2, "")], "a int, b string")
+    assert plan(audit.exact_duplicates(rows)).count("xxhash64(") == 2  # counted, then looked up
+    assert audit.exact_duplicates(rows).first()[0] == 2
