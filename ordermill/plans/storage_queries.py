@@ -6,7 +6,7 @@ Each writes given tables to scratch storage and reads them back.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType
 from ordermill.operators import audit, orders
 from ordermill.operators.marts import row_counts
 from ordermill.plans import runner
+from ordermill.plans.graph import Step, run_graph
 from ordermill.plans.presentation import show, times
 from ordermill.plans.report_queries import EXPORT_SQL, LAYER_SQL, RAW_SQL
 from ordermill.plans.shop import Shop, sql
@@ -213,19 +214,25 @@ def _spoiled(shop: Shop, name: str) -> DataFrame:
 
 
 def _stored_with_ledger(shop: Shop) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
-    """By table: the raw text, the stored table and its ledger, both read back."""
+    """By table: the raw text, the stored table and its ledger, both read back; some tables at the same time."""
+    raw = {name: _spoiled(shop, name) for name in RAW_TABLES}
     result = {}
-    for name in RAW_TABLES:
-        raw = _spoiled(shop, name)
-        stored = writers.write_table(with_metadata(with_rejections(raw, name), name), scratch_path(shop.spark, name))
-        result[name] = (raw, stored, materialize(ledger(stored, name), f"rejected-{name}"))
-    return result
+
+    def store(name: str) -> int:
+        stored = writers.write_table(with_metadata(with_rejections(raw[name], name), name), scratch_path(shop.spark, name))
+        result[name] = (raw[name], stored, materialize(ledger(stored, name), f"rejected-{name}"))
+        return 0
+
+    for outcome in run_graph(shop.spark, [Step("raw", name, partial(store, name)) for name in RAW_TABLES]):
+        if outcome.error:
+            raise RuntimeError(f"{outcome.step.key}: {outcome.error}")
+    return {name: result[name] for name in RAW_TABLES}
 
 
 def _rejected(shop: Shop) -> DataFrame:
     """Rejected cells of all raw tables; each must name a stored row."""
     parts = [
-        rejected.join(stored.select(F.col("_row_hash").alias("row_hash")).distinct(), "row_hash")
+        rejected.join(stored.select(F.col("_row_hash").alias("row_hash")), "row_hash", "left_semi")
         for _, stored, rejected in _stored_with_ledger(shop).values()
     ]
     return reduce(DataFrame.unionAll, parts).groupBy("table_name", "column_name", "text", "reason").agg(F.count(F.lit(1)).alias("cells"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +43,15 @@ def ingest(df: DataFrame, name: str) -> DataFrame:
     return apply_types(df, RAW_TABLES[name])
 
 
-def rejections(df: DataFrame, name: str) -> Column:
-    """Cells of a raw row that hold text which does not parse, as an array of (column, text, reason)."""
-    table = RAW_TABLES[name]
+def rejections(df: DataFrame, name: str, parsed: Mapping[str, Column] | None = None) -> Column:
+    """Cells of a raw row that hold text which does not parse, as an array of (column, text, reason).
+
+    ``parsed`` names the typed form of columns that are parsed already.
+    """
+    table, known = RAW_TABLES[name], parsed or {}
     cells = [
         F.when(
-            F.col(column).isNotNull() & _typed(df, column, kind).isNull(),
+            F.col(column).isNotNull() & known.get(column, _typed(df, column, kind)).isNull(),
             F.struct(
                 F.lit(column).alias("column_name"), F.col(column).cast("string").alias("text"),
                 F.lit(f"no {kind}").alias("reason"),
@@ -62,7 +66,17 @@ def rejections(df: DataFrame, name: str) -> Column:
 
 def with_rejections(df: DataFrame, name: str) -> DataFrame:
     """Typed form of the raw table, with the cells that were lost on the way in ``_rejected``."""
-    return apply_types(df.withColumn("_rejected", rejections(df, name)), RAW_TABLES[name])
+    table = RAW_TABLES[name]
+    kinds = {column: kind for column, kind in table.columns.items() if column in df.columns and kind != "string"}
+    both = df.withColumns({f"_parsed_{column}": _typed(df, column, kind) for column, kind in kinds.items()}) if kinds else df
+    parsed = {column: F.col(f"_parsed_{column}") for column in kinds}  # each cell is parsed once
+    typed = both.select(
+        *[parsed[c].alias(c) if c in parsed else F.col(f"`{c}`") for c in df.columns],
+        rejections(df, name, parsed).alias("_rejected"),
+    )
+    for column, expression in table.derived.items():
+        typed = typed.withColumn(column, F.expr(expression))
+    return typed
 
 
 def ledger(stored: DataFrame, name: str) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 
 from ordermill.operators import audit, orders, sellers
+from ordermill.plans import storage_queries
 from ordermill.plans.distinct_queries import with_repeats
 from ordermill.plans.shop import Shop
+from ordermill.sources import ingest
 
 SMALL = "/root/testdata/sf0.001"
 PAYMENTS = "order_id bigint, payment_sequential int, payment_type string, payment_value double"
@@ -74,3 +76,33 @@ def test_duplicates_are_looked_for_by_one_hash(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (2, "")], "a int, b string")
     assert plan(audit.exact_duplicates(rows)).count("xxhash64(") == 2  # counted, then looked up
     assert audit.exact_duplicates(rows).first()[0] == 2
+
+
+def test_cells_are_parsed_once(spark):
+    raw = spark.createDataFrame([("o1", "2018-13-45 00:00:00"), ("o2", "2018-01-02 03:04:05")], "order_id string, order_purchase_timestamp string")
+    typed = ingest.with_rejections(raw, "orders")
+    assert plan(typed).count("yyyy-MM-dd HH:mm:ss") == 1
+    assert [(r[1] is None, len(r["_rejected"])) for r in typed.orderBy("order_id").collect()] == [(True, 1), (False, 0)]
+
+
+def test_raw_tables_are_stored_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    inside, most, lock = [], [], threading.Lock()
+    write, meet = storage_queries.writers.write_table, threading.Event()
+
+    def watched(*arguments):
+        with lock:
+            inside.append(1)
+            most.append(len(inside))
+            if len(inside) > 1:
+                meet.set()
+        meet.wait(20)  # until a second table is written
+        try:
+            return write(*arguments)
+        finally:
+            inside.pop()
+
+    monkeypatch.setattr(storage_queries.writers, "write_table", watched)
+    assert len(storage_queries._stored_with_ledger(Shop(spark, SMALL))) == 9
+    assert max(most) > 1
