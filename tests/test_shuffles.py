@@ -8,7 +8,7 @@ from ordermill.operators import audit, orders, sellers
 from ordermill.plans import storage_queries
 from ordermill.plans.distinct_queries import with_repeats
 from ordermill.plans.shop import Shop
-from ordermill.sources import ingest
+from ordermill.sources import ingest, writers
 
 SMALL = "/root/testdata/sf0.001"
 PAYMENTS = "order_id bigint, payment_sequential int, payment_type string, payment_value double"
@@ -106,3 +106,11 @@ def test_raw_tables_are_stored_at_the_same_time(spark, monkeypatch):
     monkeypatch.setattr(storage_queries.writers, "write_table", watched)
     assert len(storage_queries._stored_with_ledger(Shop(spark, SMALL))) == 9
     assert max(most) > 1
+
+
+def test_stored_tables_and_raw_files_are_compressed(spark, folder):
+    stored = writers.write_table(spark.range(5), f"{folder}/table")
+    assert all("zstd" in name for name in stored.inputFiles()) and stored.count() == 5
+    writers.write_csv(spark.range(5), f"{folder}/csv", "gzip")
+    back = spark.read.option("header", True).csv(f"{folder}/csv")
+    assert all(name.endswith(".csv.gz") for name in back.inputFiles()) and back.count() == 5
