@@ -114,3 +114,10 @@ def test_stored_tables_and_raw_files_are_compressed(spark, folder):
     writers.write_csv(spark.range(5), f"{folder}/csv", "gzip")
     back = spark.read.option("header", True).csv(f"{folder}/csv")
     assert all(name.endswith(".csv.gz") for name in back.inputFiles()) and back.count() == 5
+
+
+def test_row_hashes_are_added_behind_the_shuffle(spark, folder):
+    with open(f"{folder}/payments.csv", "w") as file:
+        file.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,2,9.5\n")
+    read = plan(ingest.ingest_source(spark, {"payments": f"{folder}/payments.csv"}, "payments"))
+    assert "md5" in read.split("RebalancePartitions")[0] and "md5" not in read.split("RebalancePartitions")[1]
