@@ -32,22 +32,44 @@ def in_ticks(value: Column | str) -> Column:
     return F.coalesce((F.abs(scaled) < LARGEST_TICKS) & (F.abs(scaled - F.rint(scaled)) <= slack), F.lit(False))
 
 
-def money_sum(value: Column | str) -> Column:
+def _money_parts(value: Column | str) -> dict[str, Column]:
+    """High and low bits of an amount in whole ten-thousandths, or the amount itself if it is none."""
+    stored = as_column(value)
+    exact = in_ticks(stored)
+    amount = F.when(exact, ticks(F.when(exact, stored)))
+    return {
+        "high": F.shiftright(amount, _LOW_BITS),
+        "low": amount.bitwiseAND((1 << _LOW_BITS) - 1),
+        "rest": F.when(~exact, stored.cast("double")),
+    }
+
+
+MONEY_BEGUN = "struct<high:bigint,low:bigint,rest:double>"
+
+
+def money_begun(value: Column | str) -> Column:
+    """A total of some of the rows, from which ``money_sum`` goes on without loss."""
+    return F.struct(*[F.sum(part).alias(name) for name, part in _money_parts(value).items()])
+
+
+def money_sum(value: Column | str, begun: Column | str | None = None) -> Column:
     """Total as double; NULL when there is nothing to add.
 
+    Where ``begun`` is given and not NULL, a row stands for the rows of that ``money_begun``.
+
     Amounts of at most four decimals are added up exactly, as whole
     ten-thousandths: high and low bits as two plain integers, several times
     faster than a wide decimal and too small to overflow even for a whole
     large table. All other amounts (more decimals, too large, not finite)
     are added up as they are stored, so nothing is rounded away.
     """
-    stored = as_column(value)
-    exact = in_ticks(stored)
-    amount = F.when(exact, ticks(F.when(exact, stored)))
-    high = F.sum(F.shiftright(amount, _LOW_BITS)).cast("decimal(28,0)")
-    low = F.sum(amount.bitwiseAND((1 << _LOW_BITS) - 1)).cast("decimal(20,0)")
+    parts = _money_parts(value)
+    if begun is not None:
+        parts = {name: F.coalesce(as_column(begun)[name], part) for name, part in parts.items()}
+    high = F.sum(parts["high"]).cast("decimal(28,0)")
+    low = F.sum(parts["low"]).cast("decimal(20,0)")
     whole = from_ticks(high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low)
-    rest = F.sum(F.when(~exact, stored.cast("double")))
+    rest = F.sum(parts["rest"])
     return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
 
 

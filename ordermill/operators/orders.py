@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.labels import UNKNOWN
 from ordermill.functions.months import month_key
-from ordermill.functions.numeric import flag, from_ticks, in_ticks, money_sum, ratio, ticks
-from ordermill.operators.skew import hot_keys, join_one
+from ordermill.functions.numeric import MONEY_BEGUN, flag, from_ticks, in_ticks, money_begun, money_sum, ratio, ticks
+from ordermill.operators.skew import gathered, join_one
 
 DELIVERED = "delivered"
 CANCELED = "canceled"
@@ -100,11 +100,26 @@ def require_unique(df: DataFrame, key: str, table: str) -> DataFrame:
 
 def item_totals(items: DataFrame, count_lines: bool = False) -> DataFrame:
     """Money and item count per order; ``count_lines`` skips items without a number."""
-    counted = F.count("order_item_id") if count_lines else F.count(F.lit(1))
-    return items.groupBy("order_id").agg(
-        money_sum("price").alias("order_revenue"),
-        money_sum("freight_value").alias("freight_total"),
-        counted.alias("item_count"),
+    counted = flag(F.col("order_item_id").isNotNull()) if count_lines else F.lit(1)
+    money = ["price", "freight_value"]
+    kinds = {name: items.schema[name].dataType for name in money}
+    rows = items.select(
+        "order_id",
+        *money,
+        counted.cast("bigint").alias("lines"),
+        *[F.lit(None).cast(MONEY_BEGUN).alias(f"{name}_begun") for name in money],
+    )
+
+    def combined(often: DataFrame) -> DataFrame:
+        begun = [money_begun(name).alias(f"{name}_begun") for name in money]
+        return often.groupBy("order_id").agg(F.sum("lines").alias("lines"), *begun).withColumns(
+            {name: F.lit(None).cast(kind) for name, kind in kinds.items()}
+        )
+
+    return gathered(rows, "order_id", combined).groupBy("order_id").agg(
+        money_sum("price", "price_begun").alias("order_revenue"),
+        money_sum("freight_value", "freight_value_begun").alias("freight_total"),
+        F.sum("lines").alias("item_count"),
     )
 
 
@@ -124,7 +139,7 @@ def payment_types(payments: DataFrame) -> DataFrame:
         F.when(paid.isNotNull(), 1).otherwise(0).cast("bigint").alias("type_rows"),
         F.col("payment_sequential").alias("first_sequence"),
     )
-    return _summed_types(_gathered(single)).withColumns(
+    return _summed_types(gathered(single, "order_id", _summed_types)).withColumns(
         {
             "type_rest": F.coalesce("type_rest", F.lit(0.0)),
             "type_value": F.when(
@@ -144,17 +159,6 @@ def _summed_types(rows: DataFrame) -> DataFrame:
     )
 
 
-def _gathered(rows: DataFrame) -> DataFrame:
-    """``rows`` dealt by order, so that sums per type and per order need no shuffle of their own.
-
-    Orders with very many payments (and rows without an order) are summed by
-    type first: no order brings more than a fair share of rows to its task.
-    """
-    order = F.col("order_id")
-    often = order.isNull() | F.element_at(hot_keys(rows, "order_id"), order).isNotNull()
-    return rows.where(~often).unionAll(_summed_types(rows.where(often))).repartition("order_id")
-
-
 def payment_totals(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(
         money_sum("payment_value").alias("payment_total")

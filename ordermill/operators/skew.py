@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,26 @@ def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> Column:
     return df.agg(F.map_from_entries(spread).alias("hot")).scalar()
 
 
+def gathered(
+    rows: DataFrame,
+    key: str,
+    combined: Callable[[DataFrame], DataFrame],
+    hot: Column | None = None,
+    parts: int | None = None,
+) -> DataFrame:
+    """``rows`` dealt by ``key``, so that groups and joins by it need no shuffle of their own.
+
+    Nothing is grouped before the shuffle, where nearly every row has a key of its own and a
+    hash table would hold a whole input split. Only rows of hot keys, and those without a key,
+    are ``combined`` first (to few rows per key, of the same columns): no key brings more than
+    a fair share of rows to its task. With ``parts`` the partitions stay that many: adaptive
+    execution merges others up to a size at which groups of wide rows may not fit a task.
+    """
+    hot = hot_keys(rows, key) if hot is None else hot
+    often = F.col(key).isNull() | F.element_at(hot, F.col(key)).isNotNull()
+    return rows.where(~often).unionByName(combined(rows.where(often))).repartition(*([parts] if parts else []), key)
+
+
 def join_one(
     fact: DataFrame,
     one: DataFrame,

@@ -104,7 +104,7 @@ QUERIES = {
         _repeated_sql("SELECT * FROM preferred", "master", "preferred"),
     ),
     "churn_repeated": (
-        lambda shop: churn.churn_features(with_repeats(shop.stored_valued_orders), shop.reviews).select(
+        lambda shop: churn.churn_features(with_repeats(shop.stored_eligible_orders), shop.reviews).select(
             "snapshot_date", "customer_unique_id", "total_orders", "total_revenue", "is_churned"
         ),
         _repeated_sql(

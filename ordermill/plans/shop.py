@@ -235,8 +235,9 @@ class Shop:
         return orders.with_item_totals(owned, self.clean_items)
 
     @cached_property
-    def stored_valued_orders(self) -> DataFrame:
-        return materialize(self.valued_orders, "orders")
+    def stored_eligible_orders(self) -> DataFrame:
+        """What the churn panel reads: its orders alone, in the columns in use."""
+        return materialize(churn.eligible_orders(self.valued_orders).select(*churn.ORDER_COLUMNS), "orders")
 
     @cached_property
     def reviewed_orders(self) -> DataFrame:
@@ -288,7 +289,7 @@ class Shop:
 
     @cached_property
     def churn(self) -> DataFrame:
-        return churn.churn_features(self.stored_valued_orders, self.reviews)
+        return churn.churn_features(self.stored_eligible_orders, self.reviews)
 
     @cached_property
     def rfm(self) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
-from ordermill.operators import audit, orders, sellers
+from ordermill.operators import audit, churn, orders, sellers
 from ordermill.plans import storage_queries
 from ordermill.plans.distinct_queries import with_repeats
 from ordermill.plans.shop import Shop
@@ -14,6 +15,18 @@ SMALL = "/root/testdata/sf0.001"
 PAYMENTS = "order_id bigint, payment_sequential int, payment_type string, payment_value double"
 
 
+@contextmanager
+def shuffle_partitions(spark, number):
+    """Enough partitions that a key can be a hot one."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, number)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
@@ -121,3 +134,33 @@ def test_row_hashes_are_added_behind_the_shuffle(spark, folder):
         file.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,2,9.5\n")
     read = plan(ingest.ingest_source(spark, {"payments": f"{folder}/payments.csv"}, "payments"))
     assert "md5" in read.split("RebalancePartitions")[0] and "md5" not in read.split("RebalancePartitions")[1]
+
+
+ITEMS = "order_id bigint, order_item_id int, price double, freight_value double"
+
+
+def test_items_are_dealt_before_they_are_summed(spark):
+    tree = plan(orders.item_totals(Shop(spark, SMALL).clean_items).select("order_id", "order_revenue"))
+    above, below = tree.split("RepartitionByExpression")
+    assert above.count("Aggregate [order_id") == 1 and below.count("Aggregate [order_id") == 1  # hot orders only
+    assert "l_tax" not in below.split("Relation ")[0]  # no freight where nothing needs it
+
+
+def test_orders_with_very_many_items_keep_their_totals(spark):
+    many = [(1, n if n % 2 else None, 0.25 if n % 3 else None, 1e-7 if n == 5 else 0.5) for n in range(3000)]
+    rest = [(None, 1, 2.0, 1.0), (None, 2, 3.0, None), (2, 1, float("inf"), 0.1), (2, 2, 1.0, 0.2), (3, 1, None, None)]
+    with shuffle_partitions(spark, 64):
+        items = spark.createDataFrame(many + rest, ITEMS)
+        totals = orders.item_totals(items, count_lines=True)
+        assert totals.dtypes == [("order_id", "bigint"), ("order_revenue", "double"), ("freight_total", "double"), ("item_count", "bigint")]
+        found = {r[0]: tuple(r)[1:] for r in totals.collect()}
+    assert found[1] == (500.0, 1499.5 + 1e-7, 1500)
+    assert found[None] == (5.0, 1.0, 2) and found[3] == (None, None, 1)
+    assert found[2][0] == float("inf") and found[2][1] == 0.3
+
+
+def test_churn_stores_only_the_orders_and_columns_it_reads(spark):
+    shop = Shop(spark, SMALL)
+    stored = shop.stored_eligible_orders
+    assert stored.columns == churn.ORDER_COLUMNS
+    assert stored.count() == churn.eligible_orders(shop.valued_orders).count() < shop.orders.count()
