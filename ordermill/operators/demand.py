@@ -10,7 +10,7 @@ from ordermill.functions.months import is_last_quarter, month_key, month_start,
 from ordermill.functions.numeric import money_sum, ratio
 from ordermill.operators.orders import fulfilled
 from ordermill.operators.periods import edge_period_flags
-from ordermill.operators.skew import join_one
+from ordermill.operators.skew import hot_keys, join_one
 
 MEASURES = ["monthly_units", "monthly_revenue", "avg_price"]
 
@@ -36,11 +36,12 @@ def category_sales(
 ) -> DataFrame:
     """Units, revenue and average price per category and purchase month.
 
-    Only fulfilled orders count. Sales are summed per product and month before
-    products are looked up, so a best-selling product reaches the lookup with
-    one row per month.
+    Only fulfilled orders count. Sold items reach the lookup of their product as they
+    are, a best-selling product spread over sub-keys: few share product and month, so
+    sums per product would group nearly all rows for nothing. The side with one row
+    per key is the smaller one and is hashed, so the items are never sorted.
     """
-    months = fulfilled(orders).select("order_id", "order_year_month")
+    months = fulfilled(orders).select("order_id", "order_year_month").hint("shuffle_hash")
     sold = join_one(
         items.select("order_id", "order_item_id", "product_id", "price"),
         months,
@@ -48,19 +49,18 @@ def category_sales(
         spread_on="product_id",
         how="inner",
     )
-    per_product = sold.groupBy("product_id", "order_year_month").agg(
-        F.count("order_item_id").alias("units"),
-        money_sum("price").alias("revenue"),
-        F.count("price").alias("priced"),
-    )
     unknown = category_label(F.lit(None).cast("string"), F.lit(None).cast("string"))
-    labelled = per_product.join(labelled_products(products, translation), "product_id", "left").withColumn(
-        "category_name_english", F.coalesce("category_name_english", unknown)
-    )
+    labelled = join_one(
+        sold,
+        labelled_products(products, translation).hint("shuffle_hash"),
+        "product_id",
+        spread_on="order_id",
+        hot=hot_keys(items, "product_id"),
+    ).withColumn("category_name_english", F.coalesce("category_name_english", unknown))
     return labelled.groupBy("category_name_english", "order_year_month").agg(
-        F.sum("units").alias("monthly_units"),
-        money_sum("revenue").alias("monthly_revenue"),
-        ratio(money_sum("revenue"), F.sum("priced"), empty=None).alias("avg_price"),
+        F.count("order_item_id").alias("monthly_units"),
+        money_sum("price").alias("monthly_revenue"),
+        ratio(money_sum("price"), F.count("price"), empty=None).alias("avg_price"),
     )
 
 

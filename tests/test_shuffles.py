@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from contextlib import contextmanager
 
-from ordermill.operators import audit, churn, orders, sellers
+from ordermill.operators import audit, churn, demand, orders, sellers
 from ordermill.plans import storage_queries
 from ordermill.plans.distinct_queries import with_repeats
 from ordermill.plans.shop import Shop
@@ -164,3 +164,24 @@ def test_churn_stores_only_the_orders_and_columns_it_reads(spark):
     stored = shop.stored_eligible_orders
     assert stored.columns == churn.ORDER_COLUMNS
     assert stored.count() == churn.eligible_orders(shop.valued_orders).count() < shop.orders.count()
+
+
+def test_sold_items_are_neither_sorted_nor_summed_by_product(spark):
+    shop = Shop(spark, SMALL)
+    sales = demand.category_sales(shop.clean_items, shop.clean_orders, shop.products, shop.translation)
+    assert "Aggregate [product_id" not in plan(sales)
+    joins = sales._jdf.queryExecution().executedPlan().toString()
+    assert joins.count("ShuffledHashJoin") == 2 and "SortMergeJoin [order_id" not in joins
+
+
+def test_a_best_selling_product_keeps_its_sales(spark):
+    with shuffle_partitions(spark, 64):
+        items = spark.range(3000).selectExpr(
+            "id % 50 AS order_id", "int(id) AS order_item_id", "IF(id % 10 = 0, id, IF(id % 7 = 0, NULL, 1)) AS product_id", "0.25D AS price"
+        )
+        facts = spark.range(40).selectExpr("id AS order_id", "'delivered' AS order_status", "current_timestamp() AS order_purchase_timestamp", "'2018-01' AS order_year_month")
+        products = spark.range(3000).selectExpr("id AS product_id", "IF(id = 1, 'best', 'other') AS product_category_name")
+        words = spark.createDataFrame([("best", "best"), ("other", "other")], "product_category_name string, product_category_name_english string")
+        found = {r[0]: tuple(r)[1:] for r in demand.category_sales(items, facts, products, words).collect()}
+    kinds = ["other" if n % 10 == 0 else "unknown" if n % 7 == 0 else "best" for n in range(3000) if n % 50 < 40]
+    assert found == {kind: ("2018-01", kinds.count(kind), kinds.count(kind) / 4, 0.25) for kind in set(kinds)}
