@@ -7,11 +7,23 @@ from pyspark.sql import functions as F
 
 from ordermill.sources.scratch import materialize
 
+BROADCAST_ROWS = 100_000  # a table of more rows is never sent to the driver, however small its files are
 
-def _stars(links: DataFrame, small: bool) -> DataFrame:
+
+def unsent(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` to be joined on its keys' own partitions if it may hold more than ``BROADCAST_ROWS`` rows.
+
+    Spark sizes a stored table by its compressed files, and an exploded one
+    like the table before: it would broadcast either, many times its estimate.
+    """
+    return df.hint("merge") if rows > BROADCAST_ROWS else df
+
+
+def _stars(links: DataFrame, small: bool, rows: int) -> DataFrame:
     """Hang neighbours of a node on the least of them; ``small``: only the lesser ones, and the node.
 
-    ``links``: node a > node b, distinct. Both rounds keep the components.
+    ``links``: node a > node b, distinct, ``rows`` at most. Both rounds keep
+    the components and bring no more links than there were.
     """
     if small:
         directed = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
@@ -20,7 +32,7 @@ def _stars(links: DataFrame, small: bool) -> DataFrame:
             links.select(F.col("b").alias("node"), F.col("a").alias("other"))
         )
     least = directed.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("root"))
-    hung = directed.join(least, "node")
+    hung = directed.join(unsent(least, rows), "node")
     if small:
         moved = hung.select(F.col("other").alias("a"), F.col("root").alias("b")).unionAll(
             least.select(F.col("node").alias("a"), F.col("root").alias("b"))
@@ -48,7 +60,7 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     )
     state = _state(current)
     while True:
-        current = materialize(_stars(_stars(current, small=False), small=True), label)
+        current = materialize(_stars(_stars(current, False, state[0]), True, state[0]), label)
         after = _state(current)
         if after == state:
             break

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.batches import filled, list_parts, slices
-from ordermill.llm.components import components
+from ordermill.llm.components import components, unsent
 from ordermill.operators.skew import join_one
 from ordermill.sources.scratch import materialize
 
@@ -157,6 +157,9 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
     bucket of more than ``bucket`` members is dealt to smaller ones by the
     next level's masks, until all are small: members of a bucket differ only
     in the places not yet compared, and those halve with each level.
+
+    Neither side of the join with the bucket sizes is broadcast: Spark would
+    take the rows of all tables for as small as the fingerprints alone.
     """
     rows = prints.select("fp", F.lit(0).cast("long").alias("used"))
     found = None
@@ -170,7 +173,7 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
         if level:
             tabled = materialize(tabled.distinct(), "simhash-buckets")
         sizes = tabled.groupBy("used", "key").agg(F.count(F.lit(1)).alias("size"))
-        small = tabled.join(sizes.where(F.col("size").between(2, bucket)), ["used", "key"])
+        small = tabled.join(sizes.where(F.col("size").between(2, bucket)).hint("merge"), ["used", "key"])
         part = materialize(
             small.groupBy("used", "key")
             .agg(F.collect_list("fp").alias("fps"))
@@ -181,9 +184,10 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
         )
         found = part if found is None else found.unionAll(part)
         large = materialize(sizes.where(F.col("size") > bucket).select("used", "key"), "simhash-large")
-        if large.isEmpty():
+        count = large.count()
+        if not count:
             return found
-        rows = materialize(tabled.join(large, ["used", "key"], "left_semi").select("fp", "used"), "simhash-split")
+        rows = materialize(tabled.join(unsent(large, count), ["used", "key"], "left_semi").select("fp", "used"), "simhash-split")
     raise AssertionError("all places are compared before the last level")
 
 
@@ -200,7 +204,7 @@ def groups(documents: DataFrame, radius: int = RADIUS, words: int = WORDS, seed:
     prints = materialize(fingerprints(documents, words, seed), "simhash-prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     joined = components(links(nodes.select("fp"), radius), "simhash-components")
-    rooted = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+    rooted = nodes.join(joined.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
     roots = rooted.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 from itertools import combinations
 
 import numpy as np
@@ -107,3 +108,41 @@ def test_majority_needs_more_than_half():
     assert simhash.majority_bits(np.array([1, 2], np.uint64)) == 0
     assert simhash.majority_bits(np.array([3, 1, 4], np.uint64)) == 1
     assert simhash.majority_bits(np.zeros(0, np.uint64)) == 0
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """The plans of all tables that are stored, by label, as they are before they run."""
+    found: dict[str, list[str]] = {}
+
+    def noted(module):
+        store = module.materialize
+
+        def note(df, label="table"):
+            found.setdefault(label, []).append(df._jdf.queryExecution().sparkPlan().toString())
+            return store(df, label)
+
+        monkeypatch.setattr(module, "materialize", note)
+
+    noted(simhash)
+    noted(sys.modules[components.__module__])
+    return found
+
+
+def test_rows_of_all_tables_are_never_broadcast(spark, plans):
+    made = spark.createDataFrame([(i * i * 2654435761,) for i in range(50)], "fp long")
+    simhash.links(made, 4, 8)
+    simhash.groups(spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")).collect()
+    assert plans["simhash-links"]
+    for plan in plans["simhash-links"]:
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_many_links_are_never_broadcast(spark, plans, monkeypatch):
+    links = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    components(links, "few")
+    monkeypatch.setattr(sys.modules[components.__module__], "BROADCAST_ROWS", 5)
+    found = {r["node"]: r["component"] for r in components(links, "many").collect()}
+    assert found == dict.fromkeys(range(21), 0)
+    assert "BroadcastHashJoin" in plans["few"][1]
+    assert plans["many"][1:] and not any("Broadcast" in plan for plan in plans["many"][1:])
