@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import time
 from contextlib import contextmanager
 
 from ordermill.operators import audit, churn, demand, orders, sellers
-from ordermill.plans import storage_queries
+from ordermill.plans import runner, storage_queries
 from ordermill.plans.distinct_queries import with_repeats
+from ordermill.plans.graph import Step, run_graph
 from ordermill.plans.shop import Shop
 from ordermill.sources import ingest, writers
 
@@ -136,6 +138,41 @@ def test_row_hashes_are_added_behind_the_shuffle(spark, folder):
     assert "md5" in read.split("RebalancePartitions")[0] and "md5" not in read.split("RebalancePartitions")[1]
 
 
+def test_raw_tables_are_stored_without_a_shuffle(spark, folder):
+    with open(f"{folder}/payments.csv", "w") as file:
+        file.write("order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,card,2,9.5\no2,1,,x,1\n")
+    store = runner.Store(spark, f"{folder}/store")
+    rows = runner.bronze_steps(store, {"payments": f"{folder}/payments.csv"})["payments"]()
+    assert "md5" in plan(rows) and "RebalancePartitions" not in plan(rows)
+    assert store.write("bronze/payments", rows) == 2
+    back = store.read("bronze/payments").select("order_id", "payment_type", "payment_installments")
+    assert {tuple(r) for r in back.collect()} == {("o1", "card", 2), ("o2", None, None)}
+    assert back.where("payment_type = 'card'").inputFiles() and "payment_type=card" in " ".join(back.inputFiles())
+
+
+def test_shuffle_files_go_when_a_step_has_ended(spark, folder):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set[str]:
+        return set(re.findall(r"shuffle_\d+", disk.getAllFiles().mkString(" ")))
+
+    before, made = shuffles(), set()
+
+    def shuffled() -> int:
+        spark.range(1000).repartition(4, "id").write.parquet(f"{folder}/table")
+        made.update(shuffles() - before)
+        return 1000
+
+    def later() -> int:
+        until = time.monotonic() + 20  # they are deleted in the background
+        while made & shuffles() and time.monotonic() < until:
+            time.sleep(0.1)
+        return len(made & shuffles())
+
+    first, second = run_graph(spark, [Step("some", "table", shuffled), Step("some", "later", later, ("some/table",))])
+    assert first.rows == 1000 and made and second.rows == 0
+
+
 ITEMS = "order_id bigint, order_item_id int, price double, freight_value double"
 
 
